@@ -84,8 +84,8 @@ LINE_SPLIT_SQL = LINES_SQL + ", " + binned_sql("lines", "charge", "row_key")
 def _prepared(app: str, sf_dir: str, columns: tuple[str, ...]):
     df = lines(SparkSession.getActiveSession(), sf_dir).select("row_key", *columns, "charge")
     plan = FeaturePlan(key=["row_key"], target="charge")
-    train, test = stratified_split(df, "row_key", "charge").apply(df)
-    return prepare(train, test, plan, k=5, parallelism=4)
+    rows = stratified_split(df, "row_key", "charge").mark(df)
+    return prepare(rows, plan, k=5, parallelism=4)
 
 
 def prepared(spark, sf_dir, *columns):
@@ -280,7 +280,8 @@ q AS (SELECT quantile_cont(quantity, 0.25) AS q1, median(quantity) AS q2, quanti
   quantile_cont(least(spend, c), 0.25) AS c1, quantile_cont(least(spend, c), 0.75) AS c3
   FROM train, (SELECT quantile_cont(spend, 0.99) AS c FROM train)),
 c AS (SELECT row_key, flag, is_test,
-  coalesce(greatest(least(quantity, q3 + 1.5 * (q3 - q1)), q1 - 1.5 * (q3 - q1)), q2) AS quantity,
+  CASE WHEN quantity IS NULL THEN q2
+    ELSE greatest(least(quantity, q3 + 1.5 * (q3 - q1)), q1 - 1.5 * (q3 - q1)) END AS quantity,
   greatest(least(spend, s3 + 1.5 * (s3 - s1)), s1 - 1.5 * (s3 - s1)) AS spend,
   greatest(least(least(spend, cap), c3 + 1.5 * (c3 - c1)), c1 - 1.5 * (c3 - c1)) AS spend_cap FROM split, q),
 s AS (SELECT avg(quantity) AS qm, stddev_pop(quantity) AS qs, avg(spend) AS sm, stddev_pop(spend) AS ss,

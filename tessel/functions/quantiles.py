@@ -1,16 +1,17 @@
 """Exact interpolated quantiles of many columns without sorting any column.
 
 ``percentile`` keeps every distinct value of a column in one task, which cannot hold at scale.
-Here an approximate sketch brackets each wanted rank, one more pass counts what lies below
-and inside each bracket, and only the rows inside still open brackets are grouped and ranked.
-Three passes over pruned columns, whatever the size; a bracket that is still large is
-narrowed again.
+Here a sketch proposes cut points close to every wanted rank, one grouped count tells exactly
+how many rows lie between neighbouring cut points, and only the rows of the few intervals that
+hold a wanted rank are grouped by value and ranked. That is three passes over pruned columns
+whatever the size; an interval that still holds many rows is first cut again.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from bisect import bisect_left
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,46 +22,6 @@ ACCURACY = 10_000
 OPEN_ROWS = 2_000_000
 
 
-@dataclass
-class _Bracket:
-    column: str
-    prob: float
-    low: float | None = None
-    high: float | None = None
-    below: int = 0
-    inside: int = 0
-    total: int = 0
-    before: float | None = None
-    after: float | None = None
-
-    @property
-    def position(self) -> float:
-        return (self.total - 1) * self.prob
-
-    @property
-    def ranks(self) -> tuple[int, int]:
-        return math.floor(self.position), math.ceil(self.position)
-
-    def holds(self, c: Column) -> Column:
-        return c.isNotNull() if self.low is None else c.between(self.low, self.high)
-
-    def known(self, rank: int) -> float | None:
-        """The value at ``rank`` if the counts alone settle it."""
-        if rank == self.below - 1:
-            return self.before
-        if rank == self.below + self.inside:
-            return self.after
-        if self.low is not None and self.below <= rank < self.below + self.inside:
-            if self.low == self.high or rank == self.below:
-                return self.low
-            if rank == self.below + self.inside - 1:
-                return self.high
-        return None
-
-    def covers(self, rank: int) -> bool:
-        return self.below - 1 <= rank <= self.below + self.inside
-
-
 @dataclass
 class Quantiles:
     values: dict[str, list[float | None]]
@@ -68,70 +29,110 @@ class Quantiles:
     rows: int
 
 
-def _value(c: str) -> Column:
-    return col(c).cast("double")
+@dataclass
+class _Interval:
+    """Rows of one column at a cut point, or strictly between two of them."""
+
+    first: int
+    n: int
+    low: float
+    high: float
+
+    def value_at(self, rank: int) -> float | None:
+        if self.low == self.high or rank == self.first:
+            return self.low
+        return self.high if rank == self.first + self.n - 1 else None
+
+
+@dataclass
+class _Ranked:
+    cuts: list[float] = field(default_factory=list)
+    intervals: list[_Interval] = field(default_factory=list)
+    present: int = 0
+    found: dict[int, float] = field(default_factory=dict)
+
+    def ranks(self, prob: float) -> tuple[int, int]:
+        at = (self.present - 1) * prob
+        return math.floor(at), math.ceil(at)
+
+    def holding(self, rank: int) -> _Interval:
+        return next(i for i in self.intervals if i.first <= rank < i.first + i.n)
 
+    def at(self, rank: int) -> float | None:
+        return self.found[rank] if rank in self.found else self.holding(rank).value_at(rank)
 
-def _narrow(df: DataFrame, brackets: list[_Bracket], accuracy: int, exprs: dict[str, Column]) -> int:
-    """Sketch, then count. Updates the brackets and returns the row count of ``df``."""
+    def quantile(self, prob: float) -> float | None:
+        if not self.present:
+            return None
+        low, high = (self.at(r) for r in self.ranks(prob))
+        part = (self.present - 1) * prob - self.ranks(prob)[0]
+        return low if part == 0 else low + (high - low) * part
+
+
+def _around(prob: float, accuracy: int) -> list[float]:
     slack = 2.0 / accuracy
-    groups: dict[tuple, list[_Bracket]] = {}
-    for b in brackets:
-        groups.setdefault((b.column, b.low, b.high), []).append(b)
-    sketches = []
-    for members in groups.values():
-        probs = []
-        for b in members:
-            p = b.prob if not b.inside or b.inside < 2 else (b.position - b.below) / (b.inside - 1)
-            probs += [min(max(p - slack, 0.0), 1.0), min(max(p + slack, 0.0), 1.0)]
-        c = exprs[members[0].column]
-        sketches.append(F.percentile_approx(F.when(members[0].holds(c), c), probs, accuracy))
-    found = df.agg(*[s.alias(f"s{i}") for i, s in enumerate(sketches)]).first()
-    for i, members in enumerate(groups.values()):
-        for j, b in enumerate(members):
-            if found[i] is not None:
-                b.low, b.high = found[i][2 * j], found[i][2 * j + 1]
-
-    counts = [F.count(F.lit(1)).alias("rows")]
-    counts += [F.count(e).alias(f"n_{c}") for c, e in exprs.items()]
-    for i, b in enumerate(brackets):
-        c = exprs[b.column]
-        low, high = (F.lit(None).cast("double"),) * 2 if b.low is None else (F.lit(b.low), F.lit(b.high))
-        counts += [
-            F.count_if(c < low).alias(f"b{i}"),
-            F.count_if(c.between(low, high)).alias(f"i{i}"),
-            F.max(F.when(c < low, c)).alias(f"p{i}"),
-            F.min(F.when(c > high, c)).alias(f"a{i}"),
-        ]
-    row = df.agg(*counts).first()
-    for i, b in enumerate(brackets):
-        b.total = row[f"n_{b.column}"]
-        b.below, b.inside = row[f"b{i}"], row[f"i{i}"]
-        b.before, b.after = row[f"p{i}"], row[f"a{i}"]
-        if b.total and not all(b.covers(r) for r in b.ranks):
-            b.low = b.high = b.before = b.after = None
-            b.below, b.inside = 0, b.total
-    return row["rows"]
-
-
-def _rank_inside(df: DataFrame, brackets: list[_Bracket], exprs: dict[str, Column]) -> dict[int, tuple]:
-    """The values at both ranks of each open bracket, from grouped and ranked bracket rows."""
-    tagged, keep = [], F.lit(False)
-    for i, b in enumerate(brackets):
-        c = exprs[b.column]
-        k0, k1 = (min(max(r - b.below, 0), b.inside - 1) for r in b.ranks)
-        tagged.append(F.when(b.holds(c), F.struct(
-            F.lit(i).alias("b"), F.lit(k0).cast("bigint").alias("k0"),
-            F.lit(k1).cast("bigint").alias("k1"), c.alias("v"))))
-        keep = keep | b.holds(c)
-    inside = df.where(keep).select(F.explode(F.array_compact(F.array(*tagged))).alias("x")).select("x.*")
-    counted = inside.groupBy("b", "k0", "k1", "v").agg(F.count(F.lit(1)).alias("n"))
+    return [min(max(prob + d, 0.0), 1.0) for d in (-slack, slack)]
+
+
+def _sketch(df: DataFrame, wanted: list[tuple[Column, list[float]]], accuracy: int) -> list[list[float]]:
+    found = df.agg(*[
+        F.percentile_approx(c, probs, accuracy).alias(f"s{i}") for i, (c, probs) in enumerate(wanted)]).first()
+    return [list(points or []) for points in found]
+
+
+def _interval_of(c: Column, cuts: list[float]) -> Column:
+    """``2i`` between cuts, ``2i + 1`` on cut ``i``; NULL for a missing value."""
+    where = F.when(c.isNull(), F.lit(None).cast("int"))
+    for i, cut in enumerate(cuts):
+        where = where.when(c < F.lit(cut), F.lit(2 * i)).when(c == F.lit(cut), F.lit(2 * i + 1))
+    return where.otherwise(F.lit(2 * len(cuts)))
+
+
+def _count(df: DataFrame, exprs: dict[str, Column], ranked: dict[str, _Ranked]) -> int:
+    """Fill in the intervals of all columns; returns the number of rows.
+
+    Few distinct groups: the shuffle moves a handful of rows per task.
+    """
+    names = list(ranked)
+    cells = F.array(*[
+        F.struct(F.lit(i).alias("c"), _interval_of(exprs[n], ranked[n].cuts).alias("at"), exprs[n].alias("v"))
+        for i, n in enumerate(names)])
+    found = (df.select(F.explode(cells).alias("x")).select("x.*").groupBy("c", "at")
+             .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect())
+    for i, n in enumerate(names):
+        mine = sorted((r for r in found if r["c"] == i and r["at"] is not None), key=lambda r: r["at"])
+        first, intervals = 0, []
+        for r in mine:
+            intervals.append(_Interval(first, r["n"], r["low"], r["high"]))
+            first += r["n"]
+        ranked[n].intervals, ranked[n].present = intervals, first
+    return sum(r["n"] for r in found if r["c"] == 0)
+
+
+def _rank_inside(df: DataFrame, open_ranks: dict[tuple[str, int], list[int]], exprs: dict[str, Column],
+                 ranked: dict[str, _Ranked]) -> None:
+    """Group and rank the rows of the open intervals, one partition per interval."""
+    spans = {key: ranked[key[0]].holding(ranks[0]) for key, ranks in open_ranks.items()}
+    inside = {key: exprs[key[0]].between(F.lit(s.low), F.lit(s.high)) for key, s in spans.items()}
+    keep = F.lit(False)
+    for test in inside.values():
+        keep = keep | test
+    tagged = F.array(*[
+        F.when(inside[key], F.struct(F.lit(i).alias("b"), exprs[key[0]].alias("v"))) for i, key in enumerate(spans)])
+    wanted = F.array(*[
+        F.array(*[F.lit(r - spans[key].first).cast("bigint") for r in ranks]) for key, ranks in open_ranks.items()])
     upto = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("cum", F.sum("n").over(upto))
-    found = ranked.groupBy("b").agg(
-        F.min(F.when(F.col("cum") > F.col("k0"), F.col("v"))).alias("v0"),
-        F.min(F.when(F.col("cum") > F.col("k1"), F.col("v"))).alias("v1"))
-    return {r["b"]: (r["v0"], r["v1"]) for r in found.collect()}
+    rows = (df.where(keep).select(F.explode(F.array_compact(tagged)).alias("x")).select("x.*")
+            .groupBy("b", "v").agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("end", F.sum("n").over(upto))
+            .where(F.exists(F.get(wanted, F.col("b")),
+                            lambda r: (r < F.col("end")) & (r >= F.col("end") - F.col("n"))))
+            .collect())
+    for i, (key, ranks) in enumerate(open_ranks.items()):
+        for rank in ranks:
+            at = rank - spans[key].first
+            ranked[key[0]].found[rank] = next(
+                r["v"] for r in rows if r["b"] == i and r["end"] - r["n"] <= at < r["end"])
 
 
 def quantile_report(
@@ -141,49 +142,62 @@ def quantile_report(
     accuracy: int = ACCURACY,
     exact: bool = True,
     exprs: dict[str, Column] | None = None,
+    open_rows: int = OPEN_ROWS,
 ) -> Quantiles:
     """Quantiles of every column, with the number of present values and rows.
 
     ``exact=False`` stops at the sketch (rank error at most ``rows / accuracy``).
     """
-    exprs = {c: (exprs or {}).get(c, _value(c)) for c in columns}
+    exprs = {c: (exprs or {}).get(c, col(c).cast("double")) for c in columns}
     if not columns:
         return Quantiles({}, {}, 0)
     if not exact:
         row = df.agg(
-            F.count(F.lit(1)),
-            *[F.count(e) for e in exprs.values()],
-            *[F.percentile_approx(e, list(probs), accuracy) for e in exprs.values()],
+            F.count(F.lit(1)).alias("rows"),
+            *[F.count(e).alias(f"n{i}") for i, e in enumerate(exprs.values())],
+            *[F.percentile_approx(e, list(probs), accuracy).alias(f"q{i}") for i, e in enumerate(exprs.values())],
         ).first()
-        k = len(columns)
         return Quantiles(
-            {c: list(row[1 + k + i] or [None] * len(probs)) for i, c in enumerate(columns)},
-            {c: row[1 + i] for i, c in enumerate(columns)}, row[0])
+            {c: list(row[f"q{i}"] or [None] * len(probs)) for i, c in enumerate(columns)},
+            {c: row[f"n{i}"] for i, c in enumerate(columns)}, row["rows"])
 
-    brackets = [_Bracket(c, p) for c in columns for p in probs]
-    rows = _narrow(df, brackets, accuracy, exprs)
+    around = [p for prob in probs for p in _around(prob, accuracy)]
+    points = _sketch(df, [(exprs[c], around) for c in columns], accuracy)
+    ranked = {c: _Ranked(sorted(set(p))) for c, p in zip(columns, points)}
+    rows = _count(df, exprs, ranked)
     while True:
-        wide = [b for b in brackets
-                if b.total and b.inside > OPEN_ROWS and any(b.known(r) is None for r in b.ranks)]
-        sizes = [b.inside for b in wide]
-        if wide:
-            _narrow(df, wide, accuracy, exprs)
-        if all(b.inside >= s for b, s in zip(wide, sizes)):
+        open_ranks: dict[tuple[str, int], list[int]] = {}
+        for c, r in ranked.items():
+            for rank in sorted({k for p in probs for k in r.ranks(p)} if r.present else set()):
+                if r.at(rank) is None:
+                    open_ranks.setdefault((c, r.holding(rank).first), []).append(rank)
+        wide = {key: ranks for key, ranks in open_ranks.items() if ranked[key[0]].holding(ranks[0]).n > open_rows}
+        if not wide:
             break
-    still = [b for b in brackets if b.total and any(b.known(r) is None for r in b.ranks)]
-    ranked = _rank_inside(df, still, exprs) if still else {}
-    values: dict[str, list[float | None]] = {c: [] for c in columns}
-    for b in brackets:
-        if not b.total:
-            values[b.column].append(None)
-            continue
-        pair = [b.known(r) for r in b.ranks]
-        if None in pair:
-            inner = ranked[still.index(b)]
-            pair = [v if v is not None else inner[i] for i, v in enumerate(pair)]
-        part = b.position - b.ranks[0]
-        values[b.column].append(pair[0] if part == 0 else pair[0] + (pair[1] - pair[0]) * part)
-    return Quantiles(values, {b.column: b.total for b in brackets}, rows)
+        _cut_again(df, wide, exprs, ranked, accuracy)
+        _count(df, exprs, ranked)
+    if open_ranks:
+        _rank_inside(df, open_ranks, exprs, ranked)
+    return Quantiles(
+        {c: [r.quantile(p) for p in probs] for c, r in ranked.items()},
+        {c: r.present for c, r in ranked.items()}, rows)
+
+
+def _cut_again(df, wide, exprs, ranked, accuracy) -> None:
+    """More cut points inside wide intervals. Every interval gets at least its own end points, so
+    that it shrinks each time."""
+    wanted, spans = [], []
+    for (name, _), ranks in wide.items():
+        span = ranked[name].holding(ranks[0])
+        rel = [p for r in ranks for p in _around((r - span.first) / (span.n - 1), accuracy)]
+        c = exprs[name]
+        wanted.append((F.when(c.between(F.lit(span.low), F.lit(span.high)), c), rel))
+        spans.append((name, span))
+    for (name, span), points in zip(spans, _sketch(df, wanted, accuracy)):
+        for p in {*points, span.low, span.high}:
+            at = bisect_left(ranked[name].cuts, p)
+            if at == len(ranked[name].cuts) or ranked[name].cuts[at] != p:
+                ranked[name].cuts.insert(at, p)
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], **options) -> dict[str, list]:

@@ -21,10 +21,10 @@ def inner_edges(found: list[float | None]) -> list[float]:
 
 def bin_of(c: Column, edges: list[float]) -> Column:
     """Right-closed bin number, the count of edges below the value; NULL stays NULL."""
-    if not edges:
-        return F.when(c.isNotNull(), F.lit(0))
-    below = F.size(F.filter(F.array(*[F.lit(float(e)) for e in edges]), lambda e: e < c))
-    return F.when(c.isNotNull(), below)
+    found = F.when(c.isNull(), F.lit(None).cast("int"))
+    for i, e in enumerate(sorted(edges)):
+        found = found.when(c <= F.lit(float(e)), F.lit(i))
+    return found.otherwise(F.lit(len(edges)))
 
 
 def quantile_edges(df: DataFrame, columns: list[str], bins: int, exact: bool = True) -> dict[str, list[float]]:

@@ -28,9 +28,12 @@ def target_bin(df: DataFrame, target: str, bins: int = N_BINS) -> Column:
     return bin_of(col(target).cast("double"), quantile_edges(df, [target], bins)[target])
 
 
+HELD = "is_test"
+
+
 @dataclass
 class Split:
-    """Rows at or below the cut hash of their stratum are the holdout."""
+    """Rows at or below the cut hash of their stratum are the holdout. Strata are 0, 1, 2 ..."""
 
     stratum: Column
     hashed: Column
@@ -38,10 +41,14 @@ class Split:
 
     @property
     def is_test(self) -> Column:
-        cut = F.lit(None).cast("string")
-        for s, h in self.cuts.items():
-            cut = F.when(self.stratum == F.lit(s), F.lit(h)).otherwise(cut)
-        return F.coalesce(self.hashed <= cut, F.lit(False))
+        if not self.cuts:
+            return F.lit(False)
+        cuts = F.array(*[F.lit(self.cuts.get(s)).cast("string") for s in range(max(self.cuts) + 1)])
+        return F.coalesce(self.hashed <= F.get(cuts, self.stratum), F.lit(False))
+
+    def mark(self, df: DataFrame, name: str = HELD) -> DataFrame:
+        """Adds the holdout flag: one scan serves both sides."""
+        return df.select("*", self.is_test.alias(name))
 
     def apply(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         return df.where(~self.is_test), df.where(self.is_test)
@@ -61,14 +68,14 @@ def cut_hashes(df: DataFrame, stratum: Column, hashed: Column, share: float) ->
     found = holding.select("s", "p", (F.col("take") - F.col("cum") + F.col("n")).alias("rank")).collect()
     if not found:
         return {}
-    here = F.lit(False)
-    rank = F.lit(None).cast("bigint")
-    for r in found:
-        here = here | ((F.col("s") == r["s"]) & (F.col("p") == r["p"]))
-        rank = F.when(F.col("s") == r["s"], F.lit(r["rank"])).otherwise(rank)
+    at = {r["s"]: r for r in found}
+    strata = range(max(at) + 1)
+    prefix = F.array(*[F.lit(at[i]["p"] if i in at else None).cast("bigint") for i in strata])
+    rank = F.array(*[F.lit(at[i]["rank"] if i in at else None).cast("bigint") for i in strata])
     in_order = Window.partitionBy("s").orderBy("h")
-    cuts = (rows.where(here).withColumn("at", F.row_number().over(in_order))
-            .where(F.col("at") == rank).select("s", "h").collect())
+    cuts = (rows.where(F.col("p") == F.get(prefix, F.col("s")))
+            .withColumn("at", F.row_number().over(in_order))
+            .where(F.col("at") == F.get(rank, F.col("s"))).select("s", "h").collect())
     return {r["s"]: r["h"] for r in cuts}
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tessel.functions.metrics import regression_metrics
 from tessel.functions.nulls import col
 from tessel.operators.models import SEED, LabelStats, Spec
-from tessel.operators.splits import with_folds
+from tessel.operators.splits import HELD, with_folds
 from tessel.plans.features import FeaturePlan, FittedFeatures, fit_features
 from tessel.session import settle, shared_dir
 
@@ -58,35 +58,30 @@ class Prepared:
             return pool.map(inheritable_thread_target(spark)(work), items, chunksize=1)
 
 
-def _encode(fitted: FittedFeatures, rows: DataFrame, held: str, plan: FeaturePlan, seed: int) -> Encoded:
-    """``held`` is a boolean column of ``rows``."""
+def _encode(fitted: FittedFeatures, rows: DataFrame, plan: FeaturePlan, seed: int) -> Encoded:
     table = settle(fitted.transform(rows).select(
-        *plan.key, col(plan.target).cast("double").alias(plan.target), "features", held), "encoded")
-    train = table.where(~F.col(held)).drop(held)
+        *plan.key, col(plan.target).cast("double").alias(plan.target), "features", HELD), "encoded")
+    train = table.where(~F.col(HELD)).drop(HELD)
     stats = LabelStats.of(train, plan.target, len(fitted.names), seed, plan.key)
-    return Encoded(fitted, train, table.where(F.col(held)).drop(held), stats)
+    return Encoded(fitted, train, table.where(F.col(HELD)).drop(HELD), stats)
 
 
-def prepare(train: DataFrame, test: DataFrame, plan: FeaturePlan, k: int = 5, seed: int = SEED,
-            parallelism: int = 2) -> Prepared:
-    shared_dir(train.sparkSession)
-    both = train.select("*", F.lit(False).alias("__held")).unionByName(test.select("*", F.lit(True).alias("__held")))
-    rows = settle(with_folds(both, plan.key, k, seed, FOLD), "rows")
-    plan = replace(plan, exclude=sorted({*plan.exclude, FOLD, "__held"}))
-    known = rows.where(~F.col("__held"))
+def prepare(rows: DataFrame, plan: FeaturePlan, k: int = 5, seed: int = SEED, parallelism: int = 2) -> Prepared:
+    """``rows`` carries the holdout flag of :meth:`Split.mark`."""
+    shared_dir(rows.sparkSession)
+    rows = settle(with_folds(rows, plan.key, k, seed, FOLD), "rows")
+    plan = replace(plan, exclude=sorted({*plan.exclude, FOLD, HELD}))
+    known = rows.where(~F.col(HELD))
 
     def one(fold: int | None) -> Encoded:
         if fold is None:
-            return _encode(fit_features(known, plan), rows, "__held", plan, seed)
-        marked = known.drop("__held").select("*", (F.col(FOLD) == fold).alias("__held"))
-        return _encode(fit_features(marked.where(~F.col("__held")), plan), marked, "__held", plan, seed)
-
-    made = Prepared(plan, [], None, parallelism)  # type: ignore[arg-type]
-    threads = max(1, parallelism)
-    with ThreadPool(threads) as pool:
-        done = pool.map(inheritable_thread_target(train.sparkSession)(one), [*range(k), None], chunksize=1)
-    made.folds, made.full = done[:-1], done[-1]
-    return made
+            return _encode(fit_features(known, plan), rows, plan, seed)
+        fitted = fit_features(known.where(F.col(FOLD) != fold), plan)
+        return _encode(fitted, known.withColumn(HELD, F.col(FOLD) == fold), plan, seed)
+
+    with ThreadPool(max(1, parallelism)) as pool:
+        done = pool.map(inheritable_thread_target(rows.sparkSession)(one), [*range(k), None], chunksize=1)
+    return Prepared(plan, done[:-1], done[-1], parallelism)
 
 
 def fit_and_score(spec: Spec, data: Encoded, label: str) -> tuple[object, dict]:
