@@ -125,12 +125,12 @@ def median_impute(spark, sf_dir):
 
 @query("standardize", f"""WITH {LINE_GAPS_SQL},
 m AS (SELECT avg(quantity) AS qm, stddev_pop(quantity) AS qs, avg(price) AS pm, stddev_pop(price) AS ps FROM gaps)
-SELECT row_key, round((quantity - qm) / qs, 7) AS quantity, round((price - pm) / ps, 7) AS price,
+SELECT row_key, round((quantity - qm) / qs, 5) AS quantity, round((price - pm) / ps, 5) AS price,
   0.0::DOUBLE AS constant FROM gaps, m""")
 def standardize(spark, sf_dir):
     df = line_gaps(spark, sf_dir).select("row_key", "quantity", "price", F.lit(3.0).alias("constant"))
     made = st.Standardize().fit(df).transform(df)
-    return made.select("row_key", F.round("quantity", 7).alias("quantity"), F.round("price", 7).alias("price"), "constant")
+    return made.select("row_key", F.round("quantity", 5).alias("quantity"), F.round("price", 5).alias("price"), "constant")
 
 
 def _hot(df, columns):

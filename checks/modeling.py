@@ -208,7 +208,7 @@ def results_table_query(spark, sf_dir):
 
 
 SCORES_SQL = f"""WITH {FOLD_SQL}
-SELECT row_key, round({_shrunk("n / (n + 10)")}, 3) AS prediction FROM xy JOIN m ON xy.fold = m.fold WHERE m.fold = 5"""
+SELECT row_key, round({_shrunk("n / (n + 10)")}, 2) AS prediction FROM xy JOIN m ON xy.fold = m.fold WHERE m.fold = 5"""
 
 
 def _ridge_model(spark, sf_dir):
@@ -227,7 +227,7 @@ def model_roundtrip(spark, sf_dir):
     """Holdout scores of a model that was saved and loaded."""
     path = save_model({"ridge": _ridge_model(spark, sf_dir)}, "ridge", new_path(spark, "models"))
     _, model = load_model(path)
-    return score(model, _holdout(spark, sf_dir), "row_key").withColumn("prediction", F.round("prediction", 3))
+    return score(model, _holdout(spark, sf_dir), "row_key").withColumn("prediction", F.round("prediction", 2))
 
 
 @query("score_output", SCORES_SQL)
@@ -236,7 +236,7 @@ def score_output(spark, sf_dir):
     path = new_path(spark, "scores") + ".csv"
     write_scores(score(_ridge_model(spark, sf_dir), _holdout(spark, sf_dir), "row_key"), path)
     made = spark.read.schema("row_key string, prediction double").csv(path, header=True)
-    return made.withColumn("prediction", F.round("prediction", 3))
+    return made.withColumn("prediction", F.round("prediction", 2))
 
 
 # --- the feature plan --------------------------------------------------------------------
@@ -248,7 +248,7 @@ s AS (SELECT median(p_size) AS md, avg(p_size) AS m, stddev_pop(p_size) AS s FRO
 SELECT p_partkey, 'p_brand_' || b AS feature, 1.0::DOUBLE AS value FROM o
 UNION ALL SELECT p_partkey, 'p_type_' || t, 1.0 FROM o
 UNION ALL SELECT p_partkey, 'width', CASE w WHEN 'small' THEN 1.0 ELSE 2.0 END FROM o
-UNION ALL SELECT p_partkey, 'p_size', round((p_size - m) / s, 7) FROM o, s""")
+UNION ALL SELECT p_partkey, 'p_size', round((p_size - m) / s, 5) FROM o, s""")
 def encode_columns(spark, sf_dir):
     """Categories, then ordinals, then numbers, in long form."""
     df = part_gaps(spark, sf_dir).select(
@@ -257,7 +257,7 @@ def encode_columns(spark, sf_dir):
     plan = FeaturePlan(key=["p_partkey"], target="p_retailprice", ordinals={"width": ["small", "wide"]})
     fitted = fit_features(df, plan)
     made = explode_vector(fitted.transform(df), ["p_partkey"], fitted.names)
-    return made.withColumn("value", F.round("value", 7))
+    return made.withColumn("value", F.round("value", 5))
 
 
 @query("feature_names", f"""WITH {PART_GAPS_SQL},
@@ -291,9 +291,9 @@ s AS (SELECT avg(quantity) AS qm, stddev_pop(quantity) AS qs, avg(spend) AS sm,
 def _long_block(side: str) -> str:
     return f"""WITH {GAPS_PLAN_SQL}
 SELECT row_key, 'flag_' || flag AS feature, 1.0::DOUBLE AS value FROM c WHERE {side}
-UNION ALL SELECT row_key, 'quantity', round((quantity - qm) / qs, 6) FROM c, s WHERE {side}
-UNION ALL SELECT row_key, 'spend', round((spend - sm) / ss, 6) FROM c, s WHERE {side}
-UNION ALL SELECT row_key, 'spend_cap', round((spend_cap - cm) / cs, 6) FROM c, s WHERE {side}"""
+UNION ALL SELECT row_key, 'quantity', round((quantity - qm) / qs, 5) FROM c, s WHERE {side}
+UNION ALL SELECT row_key, 'spend', round((spend - sm) / ss, 5) FROM c, s WHERE {side}
+UNION ALL SELECT row_key, 'spend_cap', round((spend_cap - cm) / cs, 5) FROM c, s WHERE {side}"""
 
 
 def _gaps_plan(spark, sf_dir):
@@ -304,7 +304,7 @@ def _gaps_plan(spark, sf_dir):
 
 
 def _long(fitted, df):
-    return explode_vector(fitted.transform(df), ["row_key"], fitted.names).withColumn("value", F.round("value", 6))
+    return explode_vector(fitted.transform(df), ["row_key"], fitted.names).withColumn("value", F.round("value", 5))
 
 
 @query("feature_plan_fit", _long_block("NOT is_test"))

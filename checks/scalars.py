@@ -108,11 +108,11 @@ def floored_ratio(spark, sf_dir):
 
 
 @query("cyclical_month", f"""WITH {SHIPMENTS_SQL}
-SELECT row_key, round(sin(month / 12.0::DOUBLE * {2 * math.pi!r}), 9) AS month_sin,
-  round(cos(month / 12.0::DOUBLE * {2 * math.pi!r}), 9) AS month_cos FROM ships""")
+SELECT row_key, round(sin(month / 12.0::DOUBLE * {2 * math.pi!r}), 7) AS month_sin,
+  round(cos(month / 12.0::DOUBLE * {2 * math.pi!r}), 7) AS month_cos FROM ships""")
 def cyclical_month(spark, sf_dir):
     made = d.derive(shipments(spark, sf_dir), [d.cycle("month", "month", 12)])
-    return made.select("row_key", F.round("month_sin", 9).alias("month_sin"), F.round("month_cos", 9).alias("month_cos"))
+    return made.select("row_key", F.round("month_sin", 7).alias("month_sin"), F.round("month_cos", 7).alias("month_cos"))
 
 
 @query("category_cross", f"""WITH {PART_GAPS_SQL}
@@ -122,10 +122,10 @@ def category_cross(spark, sf_dir):
 
 
 @query("log1p_feature", f"""WITH {LINE_GAPS_SQL}
-SELECT row_key, round(ln(1 + price), 9) AS ln_price, round(ln(1 + quantity), 9) AS ln_quantity FROM gaps""")
+SELECT row_key, round(ln(1 + price), 7) AS ln_price, round(ln(1 + quantity), 7) AS ln_quantity FROM gaps""")
 def log1p_feature(spark, sf_dir):
     made = d.derive(line_gaps(spark, sf_dir), [d.log1p("a", "price"), d.log1p("b", "quantity")])
-    return made.select("row_key", F.round("a", 9).alias("ln_price"), F.round("b", 9).alias("ln_quantity"))
+    return made.select("row_key", F.round("a", 7).alias("ln_price"), F.round("b", 7).alias("ln_quantity"))
 
 
 @query("interaction", f"""WITH {LINE_GAPS_SQL}
