@@ -54,28 +54,26 @@ def information(counts: DataFrame) -> DataFrame:
     return parts.groupBy("feature").agg(F.sum(term).alias("mi"))
 
 
-def level_information(counts: DataFrame, target_bins: int) -> DataFrame:
+def level_information(counts: DataFrame) -> DataFrame:
     """``(feature, mi)`` of the 0/1 flag of every level, named ``<feature>_<level>``.
 
-    Only rows with the flag set were counted; the others follow from the totals per target bin.
+    Only rows with the flag set were counted. The others follow from the totals per target bin;
+    target bins in which a level never occurs hold unset rows only and are summed at once.
     """
-    wide = counts.groupBy("feature", "xb").pivot("yb", list(range(target_bins))).agg(F.sum("n")).na.fill(0)
-    whole = Window.partitionBy("feature")
-    cells = [F.col(f"`{j}`").cast("double") for j in range(target_bins)]
-    wide = wide.select(
-        F.concat_ws("_", "feature", "xb").alias("feature"),
-        F.array(*cells).alias("on"), F.array(*[F.sum(c).over(whole) for c in cells]).alias("ny"))
-
-    def add(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
-
-    def term(n: Column, ny: Column, nx: Column, total: Column) -> Column:
-        return F.when(n > 0, n / total * F.log(n * total / (nx * ny))).otherwise(0.0)
-
-    total, set_rows = add(F.col("ny")), add(F.col("on"))
-    mi = add(F.zip_with("on", "ny", lambda n, ny: (
-        term(n, ny, set_rows, total) + term(ny - n, ny, total - set_rows, total))))
-    return wide.select("feature", mi.alias("mi"))
+    def total(*by: str) -> Column:
+        return F.sum("n").over(Window.partitionBy(*by)).cast("double")
+
+    def term(n: Column, nx: Column) -> Column:
+        return F.when(n > 0, n / F.col("all") * F.log(n * F.col("all") / (nx * F.col("ny")))).otherwise(0.0)
+
+    parts = counts.select(
+        "feature", "xb", F.col("n").cast("double").alias("n"), total("feature", "xb").alias("nx"),
+        total("feature", "yb").alias("ny"), total("feature").alias("all"))
+    n, nx, ny, rows = (F.col(c) for c in ("n", "nx", "ny", "all"))
+    summed = (parts.select("feature", "xb", "nx", "ny", "all", (term(n, nx) + term(ny - n, rows - nx)).alias("t"))
+              .groupBy("feature", "xb", "nx", "all").agg(F.sum("t").alias("t"), F.sum("ny").alias("met")))
+    absent = F.when(rows > nx, (rows - F.col("met")) / rows * F.log(rows / (rows - nx))).otherwise(0.0)
+    return summed.select(F.concat_ws("_", "feature", "xb").alias("feature"), (F.col("t") + absent).alias("mi"))
 
 
 def mutual_info(df: DataFrame, columns: list[str], target: str, bins: int = 16, exact: bool = True) -> DataFrame:

@@ -252,6 +252,6 @@ def _best_slots(derived, plan, levels, kept, numbers, names):
     if measured:
         scores = information(joint_counts(table, {c: bin_of(col(c), edges[c]) for c in measured}, y_bin))
     if levels:
-        flags = level_information(joint_counts(table, {c: col(c) for c in levels}, y_bin), len(edges["__y"]) + 1)
+        flags = level_information(joint_counts(table, {c: col(c) for c in levels}, y_bin))
         scores = flags if scores is None else scores.unionByName(flags)
     return {r["feature"] for r in top_features(scores.where(F.col("feature").isin(names)), k).collect()}
