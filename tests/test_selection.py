@@ -121,17 +121,28 @@ def test_out_of_fold_rows_are_whole_and_unseen(data):
     assert both.where(F.abs(F.col("p_ridge") - F.col("seen")) < 1e-12).count() == 0
 
 
+def objective(m, w, alpha, l1):
+    scaled = w * (m.cov.diagonal()[:-1] ** 0.5)
+    fit = m.cov[-1, -1] / 2 - w @ m.cov[:-1, -1] + w @ m.cov[:-1, :-1] @ w / 2
+    return fit + alpha * l1 * abs(scaled).sum() + alpha * (1 - l1) / 2 * scaled @ scaled
+
+
 def test_moments_give_the_model_that_training_gives(data):
     """The pass-free trial equals the trained, scaled elastic net, and its error the scored one."""
     table = stack_table(data.folds[0], LINEAR, "y", 3, 42)
     combo = ("ridge", "lasso", "elasticnet")
     known, held = table.moments()
-    for alpha, l1 in ((0.5, 0.5), (0.001, 0.9)):
+    for alpha, l1 in ((0.5, 0.5), (0.001, 0.9), (5.0, 1.0)):
         w, b = elastic_net_of(known, alpha, l1)
         stats = LabelStats.of(table.rows.where("not held"), "y", 3)
         model = fit_meta(table, stats, combo, alpha, l1, False)
+        scaler, net = model.stages[1], model.stages[2]
+        trained = net.coefficients.toArray() / scaler.std.toArray()
+        assert objective(known, w, alpha, l1) <= objective(known, trained, alpha, l1) + 1e-9
+        assert objective(known, w, alpha, l1) == pytest.approx(objective(known, trained, alpha, l1), rel=1e-2)
         scored = regression_metrics(model.transform(table.rows.where("held")), "y").first()["rmse"]
-        assert rmse_of(held, w, b) == pytest.approx(scored, rel=1e-5)
+        assert rmse_of(held, trained, net.intercept) == pytest.approx(scored, rel=1e-9)
+        assert rmse_of(held, w, b) == pytest.approx(scored, rel=1e-2)
 
 
 def test_stack_search_and_fit(data):
