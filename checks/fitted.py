@@ -9,7 +9,7 @@ from checks.registry import query
 from checks.views import (
     LINE_GAPS_SQL, LINES_SQL, PART_GAPS_SQL, PRIORITIES, line_gaps, lines, part_gaps, table)
 from tessel.operators import stages as st
-from tessel.operators.encode import assemble, explode_vector, one_hot, slot_names
+from tessel.operators.encode import HOT, assemble, explode_vector, one_hot, slot_names
 from tessel.operators.mutual import mutual_info, top_features
 
 
@@ -137,7 +137,7 @@ def _hot(df, columns):
     """Fitted one-hot stages for all levels present in ``columns``."""
     pairs = st.value_counts(df, columns).where(F.col("value").isNotNull()).collect()
     levels = {c: sorted(r["value"] for r in pairs if r["column"] == c) for c in columns}
-    return levels, one_hot(df, levels)
+    return levels, one_hot(levels)
 
 
 @query("one_hot", f"""WITH {PART_GAPS_SQL}
@@ -148,7 +148,7 @@ def one_hot_query(spark, sf_dir):
     df = part_gaps(spark, sf_dir)
     levels, steps = _hot(df, ["p_brand", "p_type"])
     made = df
-    for step in [*steps, *assemble(list(levels), [], [])]:
+    for step in [*steps, *assemble(True, [], [])]:
         made = step.transform(made)
     return explode_vector(made, ["p_partkey"], slot_names(levels, [], []))
 
@@ -162,7 +162,7 @@ def one_hot_width(spark, sf_dir):
     made = df
     for step in _hot(df, ["p_brand"])[1]:
         made = step.transform(made)
-    slots = vector_to_array("p_brand__hot")
+    slots = vector_to_array(HOT)
     return made.select("p_partkey", F.size(slots).cast("bigint").alias("width"),
                        (F.array_position(slots, 1.0) - 1).alias("slot"))
 

@@ -16,7 +16,7 @@ from tessel.functions.metrics import regression_metrics
 from tessel.operators import derive as d
 from tessel.operators.encode import explode_vector
 from tessel.operators.models import LabelStats, Spec
-from tessel.operators.splits import random_split, stratified_split, target_bin
+from tessel.operators.splits import HELD, random_split, stratified_split, target_bin
 from tessel.plans.evaluate import cross_validate, fit_and_score, prepare, train_one
 from tessel.plans.features import FeaturePlan, fit_features
 from tessel.session import new_path, settle
@@ -299,7 +299,8 @@ UNION ALL SELECT row_key, 'spend_cap', round((spend_cap - cm) / cs, 5) FROM c, s
 def _gaps_plan(spark, sf_dir):
     df = line_gaps(spark, sf_dir).select("row_key", "quantity", "spend", "flag", "charge")
     plan = FeaturePlan(key=["row_key"], target="charge", recipes=[d.winsorize("spend_cap", "spend", 0.99)])
-    train, test = stratified_split(df, "row_key", "charge").apply(df)
+    marked = settle(stratified_split(df, "row_key", "charge").mark(df), "marked")
+    train, test = (marked.where(F.col(HELD) == side).drop(HELD) for side in (False, True))
     return fit_features(train, plan), train, test
 
 
@@ -350,7 +351,8 @@ def sales_frame(spark, sf_dir):
 def flagship(spark, sf_dir):
     """Join, split, feature plan, ridge, holdout metrics."""
     df = settle(sales_frame(spark, sf_dir), "sales")
-    train, test = stratified_split(df, "row_key", "charge").apply(df)
+    marked = settle(stratified_split(df, "row_key", "charge").mark(df), "marked")
+    train, test = (marked.where(F.col(HELD) == side).drop(HELD) for side in (False, True))
     fitted = fit_features(train, sales_plan())
     encoded = settle(fitted.transform(train).select("row_key", "charge", "features"), "train")
     stats = LabelStats.of(encoded, "charge", len(fitted.names))

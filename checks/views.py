@@ -78,7 +78,11 @@ SHIPMENTS_SQL = LINES_SQL + """, ships AS (
 
 
 def sales(spark, sf_dir) -> DataFrame:
-    """Line items with their part, order, customer and nation; Spark picks the joins by size."""
+    """Line items with their part, order, customer and nation.
+
+    Orders meet their customers first, so that the line items are shuffled by order and by part
+    only; Spark picks each join by size and splits hot keys.
+    """
     line = lines(spark, sf_dir).select(
         "row_key", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
         "l_tax", "l_returnflag", "charge")
@@ -86,10 +90,10 @@ def sales(spark, sf_dir) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return (line.join(part, F.col("l_partkey") == F.col("p_partkey"))
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    buyers = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    bought = orders.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+    return (line.join(bought, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(part, F.col("l_partkey") == F.col("p_partkey"))
             .select("row_key", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "p_brand",
                     "p_type", "p_size", "o_orderpriority", "c_mktsegment", "n_name", "l_linenumber", "charge"))
 

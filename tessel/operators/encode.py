@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler, VectorSlicer
+from pyspark.ml import Transformer
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from tessel.functions.nulls import col
 
 
+TOKENS, HOT = "__tokens", "__hot"
+
+
 class ColumnDrop(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Drops helper columns at the end of a plan."""
 
@@ -26,28 +29,40 @@ class ColumnDrop(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         return df.drop(*self.getOrDefault("columns"))
 
 
-def one_hot(df: DataFrame, levels: dict[str, list[str]]) -> list:
-    """Fitted stages that one-hot the given levels in sorted order.
+class Tokens(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """One array of ``<column number>=<level>`` per row; a missing level gives an unknown word."""
+
+    columns = Param(Params._dummy(), "columns", "category columns", TypeConverters.identity)
+    outputCol = Param(Params._dummy(), "outputCol", "output column", TypeConverters.toString)
+
+    def __init__(self, columns: list[str] | None = None, outputCol: str = TOKENS):
+        super().__init__()
+        self._set(columns=columns or [], outputCol=outputCol)
+
+    def _transform(self, df):
+        words = [F.coalesce(F.concat(F.lit(f"{i}="), col(c)), F.lit(""))
+                 for i, c in enumerate(self.getOrDefault("columns"))]
+        return df.select("*", F.array(*words).alias(self.getOrDefault("outputCol")))
+
+
+def one_hot(levels: dict[str, list[str]]) -> list:
+    """Fitted stages that one-hot the given levels in sorted order, all columns in one vector.
 
-    Unknown and missing texts give an empty vector. No pass over the data: the sizes come from
-    the level lists.
+    Unknown and missing texts set no slot. Nothing is fitted: the level lists are the vocabulary
+    of a binary count vector, which stays sparse and looks all columns up in one call.
     """
     names = [c for c, known in levels.items() if known]
     if not names:
         return []
-    indexers = [StringIndexerModel.from_labels(
-        sorted(levels[c]), inputCol=c, outputCol=f"{c}__index", handleInvalid="keep") for c in names]
-    encoder = OneHotEncoder(
-        inputCols=[f"{c}__index" for c in names], outputCols=[f"{c}__hot" for c in names], dropLast=True)
-    indexed = PipelineModel(stages=indexers).transform(df.select(*[col(c) for c in names]).limit(0))
-    return [*indexers, encoder.fit(indexed)]
+    words = [f"{i}={v}" for i, c in enumerate(names) for v in sorted(levels[c])]
+    return [Tokens(names), CountVectorizerModel.from_vocabulary(words, TOKENS, HOT, minTF=1.0, binary=True)]
 
 
-def assemble(cats: list[str], ords: list[str], nums: list[str], out: str = "features") -> list:
+def assemble(hot: bool, ords: list[str], nums: list[str], out: str = "features") -> list:
     """Stages that build the vector: categories, then ordinals, then numbers."""
     return [
-        VectorAssembler(inputCols=[f"{c}__hot" for c in cats] + ords + nums, outputCol=out, handleInvalid="error"),
-        ColumnDrop([f"{c}{s}" for c in cats for s in ("__index", "__hot")]),
+        VectorAssembler(inputCols=([HOT] if hot else []) + ords + nums, outputCol=out, handleInvalid="error"),
+        *([ColumnDrop([TOKENS, HOT])] if hot else []),
     ]
 
 

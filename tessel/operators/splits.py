@@ -1,8 +1,8 @@
 """Holdout and folds. Sides are decided by the hash of the row key, never by row order.
 
 A stratified holdout takes the exact share of every stratum: the rows with the smallest hashes.
-No stratum is sorted. Hash prefixes are counted, the one prefix that holds the cut is ranked,
-and what remains is one cut hash per stratum, so that splitting is a projection.
+No stratum is sorted. Hash prefixes are counted, the rows of the one prefix that holds the cut are
+ranked, and what remains is one cut hash per stratum, so that splitting is a projection.
 """
 
 from __future__ import annotations
@@ -12,12 +12,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessel.functions.hashing import fold_of, hash_int, row_hash
+from tessel.functions.hashing import fold_of, row_hash
 from tessel.functions.nulls import col
 from tessel.operators.mutual import bin_of, quantile_edges
 
 N_BINS = 15
-PREFIX_DIGITS = 5
+DIGITS = 3
+RANKABLE = 100_000
 
 
 def target_bin(df: DataFrame, target: str, bins: int = N_BINS) -> Column:
@@ -54,31 +55,56 @@ class Split:
         return df.where(~self.is_test), df.where(self.is_test)
 
 
-def cut_hashes(df: DataFrame, stratum: Column, hashed: Column, share: float) -> dict[int, str]:
-    """Per stratum the hash at rank ``round(rows * share)``; strata must be few."""
+def cut_hashes(
+    df: DataFrame, stratum: Column, hashed: Column, share: float, rankable: int = RANKABLE,
+) -> dict[int, str]:
+    """Per stratum the hash at rank ``round(rows * share)``; strata must be few.
+
+    Counts rows by the next digits of the hash, keeps to the digits that hold the wanted rank, and
+    goes on until what is left of a stratum is small enough to rank. Counts combine before the
+    shuffle: there are at most ``strata * 16**DIGITS`` groups.
+    """
     rows = df.select(stratum.alias("s"), hashed.alias("h")).where(F.col("s").isNotNull())
-    rows = rows.withColumn("p", hash_int(F.col("h"), PREFIX_DIGITS))
-    counts = rows.groupBy("s", "p").agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.partitionBy("s").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("s")
-    ranked = counts.select(
-        "s", "p", "n", F.sum("n").over(upto).alias("cum"),
-        F.round(F.sum("n").over(whole) * F.lit(share)).cast("bigint").alias("take"))
-    holding = ranked.where((F.col("cum") >= F.col("take")) & (F.col("cum") - F.col("n") < F.col("take")))
-    found = holding.select("s", "p", (F.col("take") - F.col("cum") + F.col("n")).alias("rank")).collect()
-    if not found:
-        return {}
-    at = {r["s"]: r for r in found}
-    strata = range(max(at) + 1)
-    prefix = F.array(*[F.lit(at[i]["p"] if i in at else None).cast("bigint") for i in strata])
-    rank = F.array(*[F.lit(at[i]["rank"] if i in at else None).cast("bigint") for i in strata])
-    in_order = Window.partitionBy("s").orderBy("h")
-    cuts = (rows.where(F.col("p") == F.get(prefix, F.col("s")))
-            .withColumn("at", F.row_number().over(in_order))
-            .where(F.col("at") == F.get(rank, F.col("s"))).select("s", "h").collect())
+    held: dict[int, tuple[str, int]] = {}
+    depth = 0
+    while True:
+        found = _next_digits(_inside(rows, held, depth), held, depth, share)
+        depth += DIGITS
+        held = {r["s"]: (held.get(r["s"], ("", 0))[0] + r["p"], r["rank"]) for r in found}
+        if not held:
+            return {}
+        if max(r["n"] for r in found) <= rankable or depth >= 32 - DIGITS:
+            break
+    at = F.row_number().over(Window.partitionBy("s").orderBy("h"))
+    cuts = (_inside(rows, held, depth).withColumn("at", at)
+            .where(F.col("at") == _of_stratum({s: r for s, (_, r) in held.items()}, "bigint"))
+            .select("s", "h").collect())
     return {r["s"]: r["h"] for r in cuts}
 
 
+def _of_stratum(values: dict[int, object], kind: str) -> Column:
+    """The value of the row's stratum, from a literal array."""
+    return F.get(F.array(*[F.lit(values.get(s)).cast(kind) for s in range(max(values) + 1)]), F.col("s"))
+
+
+def _inside(rows: DataFrame, held: dict[int, tuple[str, int]], depth: int) -> DataFrame:
+    if not held:
+        return rows
+    return rows.where(F.substring("h", 1, depth) == _of_stratum({s: p for s, (p, _) in held.items()}, "string"))
+
+
+def _next_digits(rows: DataFrame, held: dict, depth: int, share: float) -> list:
+    """Per stratum the next digits that hold the wanted rank, their rows, and the rank inside."""
+    counts = rows.groupBy("s", F.substring("h", depth + 1, DIGITS).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("s").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
+    take = (_of_stratum({s: r for s, (_, r) in held.items()}, "bigint") if held else
+            F.round(F.sum("n").over(Window.partitionBy("s")) * F.lit(share)).cast("bigint"))
+    ranked = counts.select("s", "p", "n", F.sum("n").over(upto).alias("cum"), take.alias("take"))
+    before = F.col("cum") - F.col("n")
+    return (ranked.where((F.col("cum") >= F.col("take")) & (before < F.col("take")))
+            .select("s", "p", "n", (F.col("take") - before).alias("rank")).collect())
+
+
 def stratified_split(
     df: DataFrame, keys: list[str] | str, target: str,
     test_size: float = 0.2, seed: int = 42, bins: int = N_BINS,

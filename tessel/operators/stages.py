@@ -144,16 +144,16 @@ class MissingFlagsModel(_Fitted):
 # --- level tables: small ones inline, others as a stored table ---------------------------
 
 def keep_levels(table: DataFrame, columns: list[str], inline: int, label: str) -> dict:
-    """``table`` has ``column, value, x``. Inline it up to a checked size, else write it."""
-    rows = table.limit(inline + 1).collect()
-    if len(rows) <= inline:
-        levels: dict[str, list] = {c: [] for c in columns}
-        for r in sorted(rows, key=lambda r: (r["column"], r["value"])):
-            levels[r["column"]].append([r["value"], r["x"]])
-        return {"columns": columns, "levels": levels}
+    """``table`` has ``column, value, x``. Written once; inlined if it has at most ``inline`` rows."""
     path = new_path(table.sparkSession, label)
     table.write.parquet(path)
-    return {"columns": columns, "table": path}
+    rows = table.sparkSession.read.schema(table.schema).parquet(path).limit(inline + 1).collect()
+    if len(rows) > inline:
+        return {"columns": columns, "table": path}
+    levels: dict[str, list] = {c: [] for c in columns}
+    for r in sorted(rows, key=lambda r: (r["column"], r["value"])):
+        levels[r["column"]].append([r["value"], r["x"]])
+    return {"columns": columns, "levels": levels}
 
 
 def join_levels(df: DataFrame, state: dict, keys: dict[str, Column]) -> tuple[DataFrame, dict[str, Column]]:

@@ -149,9 +149,7 @@ def fit_features(df: DataFrame, plan: FeaturePlan) -> FittedFeatures:
     levels = {c: sorted(set(v)) for c, v in levels.items() if v}
     if sum(map(len, levels.values())) > MAX_SLOTS:
         raise ValueError(f"more than {MAX_SLOTS} one-hot slots: raise min_freq or target-encode the column")
-    shape = derived.select(*[F.lit("").alias(c) for c in levels]) if levels else derived
-    steps += one_hot(shape, levels)
-    steps += assemble(list(levels), ords, nums + flags + encoded, "all_features")
+    steps += one_hot(levels)
 
     names = slot_names(levels, ords, nums + flags + encoded)
     keep = list(range(len(names)))
@@ -165,7 +163,9 @@ def fit_features(df: DataFrame, plan: FeaturePlan) -> FittedFeatures:
         binned = {c: clean[c] for c in ords + nums}
         best = _best_slots(derived, plan, levels, kept, binned, [names[i] for i in keep])
         keep = [i for i in keep if names[i] in best]
-    steps += keep_slots(keep, "all_features")
+    whole = keep == list(range(len(names)))
+    steps += assemble(bool(levels), ords, nums + flags + encoded, "features" if whole else "all_features")
+    steps += [] if whole else keep_slots(keep, "all_features")
     return FittedFeatures(PipelineModel(stages=steps), [names[i] for i in keep], replace(
         roles, ordinal=ords, numeric=nums), plan)
 

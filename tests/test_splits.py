@@ -50,3 +50,15 @@ def test_empty_side(table):
 def test_folds_partition_the_rows(table):
     counts = [r["count"] for r in with_folds(table, "id", 5).groupBy("fold").count().collect()]
     assert len(counts) == 5 and sum(counts) == 1000 and min(counts) > 150
+
+
+@pytest.mark.parametrize("rankable", [1, 5, 100_000])
+def test_cut_is_the_rank_however_deep_the_digits_go(table, rankable):
+    from tessel.functions.hashing import row_hash
+    from tessel.operators.splits import cut_hashes
+
+    rows = table.select((F.col("id") % 3).cast("int").alias("s"), row_hash("id", 42).alias("h"))
+    cuts = cut_hashes(rows, F.col("s"), F.col("h"), 0.3, rankable)
+    for s in range(3):
+        hashes = sorted(r["h"] for r in rows.where(F.col("s") == s).collect())
+        assert cuts[s] == hashes[round(len(hashes) * 0.3) - 1]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tessel.operators import derive as d
 from tessel.operators import stages as st
-from tessel.operators.encode import one_hot
+from tessel.operators.encode import HOT, one_hot
 from tessel.operators.roles import infer_roles
 
 NAN, INF = float("nan"), float("inf")
@@ -160,11 +160,13 @@ def test_variance_is_strict(spark):
 
 
 def test_one_hot_unknown_is_empty(spark):
-    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "z"), (4, None)], "id int, a string")
+    """Texts that look alike across columns keep their own slots."""
+    df = spark.createDataFrame([(1, "a", "b"), (2, "b", "z"), (3, "z", None), (4, None, "a")], "id int, a string, b string")
     made = df
-    for step in one_hot(df, {"a": ["b", "a"]}):
+    for step in one_hot({"a": ["b", "a"], "b": ["a", "b", "1=a"]}):
         made = step.transform(made)
-    assert [list(v.toArray()) for v in column(made, "a__hot")] == [[1, 0], [0, 1], [0, 0], [0, 0]]
+    assert [list(v.toArray()) for v in column(made, HOT)] == [
+        [1, 0, 0, 0, 1], [0, 1, 0, 0, 0], [0, 0, 0, 0, 0], [0, 0, 0, 1, 0]]
 
 
 def test_roles(spark):
