@@ -90,14 +90,14 @@ def target_encode_stored(spark, sf_dir):
 @query("iqr_clip", f"""WITH {LINE_GAPS_SQL},
 q AS (SELECT quantile_cont(spend, 0.25) AS s1, quantile_cont(spend, 0.75) AS s3,
   quantile_cont(quantity, 0.25) AS q1, quantile_cont(quantity, 0.75) AS q3 FROM gaps)
-SELECT row_key, round(greatest(least(spend, s3 + 0.75 * (s3 - s1)), s1 - 0.75 * (s3 - s1)), 4) AS spend,
+SELECT row_key, round(greatest(least(spend, s3 + 0.75 * (s3 - s1)), s1 - 0.75 * (s3 - s1)), 6) AS spend,
   CASE WHEN quantity IS NOT NULL
     THEN greatest(least(quantity, q3 + 0.75 * (q3 - q1)), q1 - 0.75 * (q3 - q1)) END AS quantity,
   constant FROM (SELECT *, 7.0::DOUBLE AS constant FROM gaps), q""")
 def iqr_clip(spark, sf_dir):
     df = line_gaps(spark, sf_dir).select("row_key", "spend", "quantity", F.lit(7.0).alias("constant"))
     made = st.ClipOutliers(factor=0.75).fit(df).transform(df)
-    return made.select("row_key", F.round("spend", 4).alias("spend"), "quantity", "constant")
+    return made.select("row_key", F.round("spend", 6).alias("spend"), "quantity", "constant")
 
 
 @query("mode_impute", f"""WITH {PART_GAPS_SQL},

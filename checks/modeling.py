@@ -242,7 +242,8 @@ def score_output(spark, sf_dir):
 # --- the feature plan --------------------------------------------------------------------
 
 @query("encode_columns", f"""WITH {PART_GAPS_SQL},
-o AS (SELECT p_partkey, coalesce(p_brand, 'nan') AS b, p_type AS t,
+o AS (SELECT p_partkey, CASE WHEN count(*) OVER (PARTITION BY p_brand) >= 20 THEN coalesce(p_brand, 'nan') ELSE 'Other' END AS b,
+  CASE WHEN count(*) OVER (PARTITION BY p_type) >= 20 THEN p_type ELSE 'Other' END AS t,
   CASE WHEN p_size > 10 THEN 'wide' ELSE 'small' END AS w, p_size FROM parts),
 s AS (SELECT median(p_size) AS md, avg(p_size) AS m, stddev_pop(p_size) AS s FROM o)
 SELECT p_partkey, 'p_brand_' || b AS feature, 1.0::DOUBLE AS value FROM o
@@ -261,11 +262,12 @@ def encode_columns(spark, sf_dir):
 
 
 @query("feature_names", f"""WITH {PART_GAPS_SQL},
-k AS (SELECT 0 AS part, 'p_name_' || CASE WHEN n >= 30 THEN p_name ELSE 'Other' END AS feature
-  FROM (SELECT p_name, count(*) AS n FROM parts GROUP BY 1) GROUP BY 2
-  UNION ALL SELECT 1, 'p_brand_' || coalesce(p_brand, 'nan') FROM parts GROUP BY 2
-  UNION ALL SELECT 2, 'p_type_' || p_type FROM parts GROUP BY 2
-  UNION ALL SELECT 3, 'p_size' FROM parts GROUP BY 2)
+n AS (SELECT CASE WHEN count(*) OVER (PARTITION BY p_name) >= 30 THEN p_name ELSE 'Other' END AS a,
+  CASE WHEN count(*) OVER (PARTITION BY p_brand) >= 30 THEN coalesce(p_brand, 'nan') ELSE 'Other' END AS b,
+  CASE WHEN count(*) OVER (PARTITION BY p_type) >= 30 THEN p_type ELSE 'Other' END AS c FROM parts),
+u AS (SELECT 0 AS part, 'p_name_' || a AS feature FROM n UNION ALL SELECT 1, 'p_brand_' || b FROM n
+  UNION ALL SELECT 2, 'p_type_' || c FROM n),
+k AS (SELECT part, feature FROM u GROUP BY 1, 2 HAVING count(*) < (SELECT count(*) FROM parts) UNION ALL SELECT 3, 'p_size')
 SELECT CAST(row_number() OVER (ORDER BY part, feature) - 1 AS INT) AS idx, feature FROM k""")
 def feature_names(spark, sf_dir):
     """Slot names in vector order."""

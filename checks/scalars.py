@@ -138,13 +138,13 @@ def interaction(spark, sf_dir):
 
 @query("winsorize_upper", f"""WITH {LINE_GAPS_SQL},
 caps AS (SELECT quantile_cont(spend, 0.99) AS s, quantile_cont(quantity, 0.9) AS q FROM gaps)
-SELECT row_key, round(least(spend, s), 4) AS spend_cap,
+SELECT row_key, round(least(spend, s), 6) AS spend_cap,
   CASE WHEN quantity IS NOT NULL THEN least(quantity, q) END AS quantity_cap FROM gaps, caps""")
 def winsorize_upper(spark, sf_dir):
     df = line_gaps(spark, sf_dir)
     recipes = [d.winsorize("spend_cap", "spend", 0.99), d.winsorize("quantity_cap", "quantity", 0.9)]
     made = d.derive(df, recipes, upper_caps(df, recipes))
-    return made.select("row_key", F.round("spend_cap", 4).alias("spend_cap"), "quantity_cap")
+    return made.select("row_key", F.round("spend_cap", 6).alias("spend_cap"), "quantity_cap")
 
 
 @query("backfill_columns", f"""
