@@ -27,6 +27,7 @@ class Quantiles:
     values: dict[str, list[float | None]]
     present: dict[str, int]
     rows: int
+    extremes: dict[str, tuple[float, float]] = field(default_factory=dict)
 
 
 @dataclass
@@ -180,7 +181,8 @@ def quantile_report(
         _rank_inside(df, open_ranks, exprs, ranked)
     return Quantiles(
         {c: [r.quantile(p) for p in probs] for c, r in ranked.items()},
-        {c: r.present for c, r in ranked.items()}, rows)
+        {c: r.present for c, r in ranked.items()}, rows,
+        {c: (r.intervals[0].low, r.intervals[-1].high) for c, r in ranked.items() if r.present})
 
 
 def _cut_again(df, wide, exprs, ranked, accuracy) -> None:

@@ -8,6 +8,7 @@ medians (clipping never moves a median); one aggregation serves scaling and the
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessel.functions.counts import value_counts
-from tessel.functions.nulls import clip, col, finite
+from tessel.functions.nulls import clip, col, finite, replace_columns
 from tessel.functions.quantiles import quantile_report
 from tessel.operators import stages as st
 from tessel.operators.encode import assemble, keep_slots, one_hot, slot_names
@@ -116,28 +117,36 @@ def fit_features(df: DataFrame, plan: FeaturePlan) -> FittedFeatures:
     bounds = st.iqr_bounds({c: [v[0], v[2]] for c, v in found.values.items()}, plan.clip_factor)
     missing = [c for c in _numeric_order(derived, roles) if found.present[c] < rows]
     medians = {c: found.values[c][1] for c in nums}
-    endless = [c for c in nums if c not in bounds and medians[c] is not None]
-    if endless:
+    endless = [c for c in nums if c not in bounds and medians[c] is not None
+               and not all(map(math.isfinite, found.extremes.get(c, (math.inf,))))]
+    if endless:  # infinities that clipping leaves are blanked before the median
         again = quantile_report(derived, endless, [0.5], exact=plan.exact, exprs={c: finite(value[c]) for c in endless})
         medians.update({c: v[0] for c, v in again.values.items()})
     fills = {c: _clipped_mode(modes.get(c, {}), bounds.get(c)) for c in ords}
     empty = [c for c in ords + nums if (fills if c in ords else medians)[c] is None]
     ords, nums = [c for c in ords if c not in empty], [c for c in nums if c not in empty]
 
-    # pass 5: means and deviations of what clipping and filling leave
+    encoder = None
+    if plan.target_encode:
+        grouped_rows = replace_columns(derived, st.grouped(kept, cats))
+        encoder = st.TargetEncode(columns=plan.target_encode, target=plan.target).fit(grouped_rows)
+        derived = encoder.transform(grouped_rows)
+
+    # pass 5: means and deviations of what clipping and filling leave, and of carried columns
     clean = {c: F.coalesce(finite(clip(value[c], *bounds[c]) if c in bounds else value[c]),
                            F.lit(fills[c] if c in fills else medians[c])) for c in ords + nums}
-    scale, spread = _scales(derived, clean, ords, nums)
+    added = {}
+    if "indicators" in plan.carry:
+        added.update({f"{c}_was_missing": value[c].isNull().cast("double") for c in missing})
+    if "target_enc" in plan.carry and encoder is not None:
+        added.update({f"TE_{c}": col(f"TE_{c}") for c in encoder.learned["columns"]})
+    scale, spread = _scales(derived, {**clean, **added}, nums)
 
-    flags = [f"{c}_was_missing" for c in missing] if "indicators" in plan.carry else []
-    encoded = [f"TE_{c}" for c in plan.target_encode] if "target_enc" in plan.carry else []
     if ords:
         steps.append(st.OrdinalMap(mapping={c: plan.ordinals[c] for c in ranks}))
     steps.append(st.MissingFlagsModel({"columns": missing}))
     steps.append(st.RareGroupModel({"columns": cats, "levels": kept}))
-    if plan.target_encode:
-        grouped = PipelineModel(stages=steps[1 if plan.recipes else 0:]).transform(derived)
-        steps.append(st.TargetEncode(columns=plan.target_encode, target=plan.target).fit(grouped))
+    steps += [encoder] if encoder is not None else []
     steps += [
         st.ClipOutliersModel({"bounds": bounds}),
         st.FiniteClean(columns=ords + nums),
@@ -151,20 +160,20 @@ def fit_features(df: DataFrame, plan: FeaturePlan) -> FittedFeatures:
         raise ValueError(f"more than {MAX_SLOTS} one-hot slots: raise min_freq or target-encode the column")
     steps += one_hot(levels)
 
-    names = slot_names(levels, ords, nums + flags + encoded)
+    tail = nums + list(added)
+    names = slot_names(levels, ords, tail)
     keep = list(range(len(names)))
     if plan.variance_threshold is not None:
         variance = _slot_variances(levels, kept, other, rows)
-        variance.update({c: spread[c] for c in ords})
+        variance.update({c: spread[c] for c in ords + list(added)})
         unit = rows / (rows - 1) if rows > 1 else 0.0
         variance.update({c: unit if spread[c] > 0 else 0.0 for c in nums})
-        keep = [i for i in keep if variance.get(names[i], 1.0) > plan.variance_threshold]
-    if plan.k_best is not None and len(keep) > 0:
-        binned = {c: clean[c] for c in ords + nums}
-        best = _best_slots(derived, plan, levels, kept, binned, [names[i] for i in keep])
+        keep = [i for i in keep if variance[names[i]] > plan.variance_threshold]
+    if plan.k_best is not None and keep:
+        best = _best_slots(derived, plan, levels, kept, {**clean, **added}, [names[i] for i in keep])
         keep = [i for i in keep if names[i] in best]
     whole = keep == list(range(len(names)))
-    steps += assemble(bool(levels), ords, nums + flags + encoded, "features" if whole else "all_features")
+    steps += assemble(bool(levels), ords, tail, "features" if whole else "all_features")
     steps += [] if whole else keep_slots(keep, "all_features")
     return FittedFeatures(PipelineModel(stages=steps), [names[i] for i in keep], replace(
         roles, ordinal=ords, numeric=nums), plan)
@@ -211,13 +220,14 @@ def _clipped_mode(counts: dict[float, int], bounds) -> float | None:
     return min(merged, key=lambda v: (-merged[v], v)) if merged else None
 
 
-def _scales(derived, clean, ords, nums):
+def _scales(derived, exprs, nums):
+    """Mean and deviation of the numbers, sample variance of every expression."""
     scale, spread = {}, {}
-    if clean:
-        names = list(clean)
+    if exprs:
+        names = list(exprs)
         row = derived.agg(*[a for i, c in enumerate(names) for a in (
-            F.avg(clean[c]).alias(f"m{i}"), F.stddev_pop(clean[c]).alias(f"s{i}"),
-            F.var_samp(clean[c]).alias(f"v{i}"))]).first()
+            F.avg(exprs[c]).alias(f"m{i}"), F.stddev_pop(exprs[c]).alias(f"s{i}"),
+            F.var_samp(exprs[c]).alias(f"v{i}"))]).first()
         for i, c in enumerate(names):
             spread[c] = row[f"v{i}"] or 0.0
             if c in nums:

@@ -8,7 +8,7 @@ from tessel.operators import derive as d
 from tessel.operators.encode import explode_vector
 from tessel.operators.mutual import bin_of, information, joint_counts, level_information, mutual_info, top_features
 from tessel.plans.features import FeaturePlan, feature_stages, fit_features
-from tessel.sources.sinks import load_model, save_model, score
+from tessel.sources.sinks import load_model, run_report, save_model, score, write_report
 
 
 @pytest.fixture(scope="module")
@@ -59,9 +59,13 @@ def test_names_and_selection(table):
 
 def test_indicators_reach_the_vector_only_when_carried(table):
     more = fit_features(table, plan(carry=("indicators", "target_enc"), target_encode=["c"]))
-    assert [n for n in more.names if n.endswith("_was_missing") or n.startswith("TE_")] == [
-        "a_was_missing", "ab_was_missing", "o_was_missing", "TE_c"] or {"a_was_missing", "TE_c"} <= set(more.names)
-    assert not any("was_missing" in n or n.startswith("TE_") for n in fit_features(table, plan(target_encode=["c"])).names)
+    added = [n for n in more.names if n.endswith("_was_missing") or n.startswith("TE_")]
+    assert set(added) == {"a_was_missing", "ab_was_missing", "o_was_missing", "TE_c"}
+    row = dict(zip(more.names, vectors(more, table.where("id = 7"))[7]))
+    assert row["a_was_missing"] == 1.0
+    plain = fit_features(table, plan(target_encode=["c"]))
+    assert not any("was_missing" in n or n.startswith("TE_") for n in plain.names)
+    assert len(fit_features(table, plan(carry=("indicators",), k_best=4)).names) == 4
 
 
 def test_transform_does_not_depend_on_other_rows(table):
@@ -148,3 +152,11 @@ def test_score_columns(table):
     model = Spec("ridge", {}).build(LabelStats.of(enc, "y", len(fitted.names)), "y").fit(enc)
     out = score(PipelineModel(stages=[fitted.model, model]), table.drop("y"), "id")
     assert out.columns == ["id", "prediction"] and out.count() == 600
+
+
+def test_report_lists_what_was_learned(spark, table, tmp_path):
+    report = run_report(fit_features(table, plan()).model, spark)
+    stats = {(r["column"], r["stat"]): r["value"] for r in report.collect()}
+    assert ("b_cap", "cap") in stats and ("a", "median") in stats and ("o", "mode") in stats
+    write_report(report, str(tmp_path / "log"))
+    assert spark.read.text(str(tmp_path / "log")).count() == report.count()
