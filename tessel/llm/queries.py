@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessel.llm import bpe
 from tessel.llm.balltree import exact_topk
+from tessel.llm.chosenpath import similar_classes
 from tessel.llm.scratch import reach
+from tessel.llm.simwindow import find_passages
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -59,3 +61,13 @@ def op5_bpe_lexicon(spark, sf_dir):
     lexicon = bpe.build_lexicon(docs, tokenizer_path())
     return bpe.encode(docs, tokenizer_path(), lexicon, "n_tokens long, ids_sha256 string, decoded_sha256 string",
                       bpe.digests).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query()
+def op9_chosen_path(spark, sf_dir):
+    return similar_classes(table(spark, sf_dir, "documents"), percent=85)
+
+
+@query()
+def op2_simhash_windows(spark, sf_dir):
+    return find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -94,9 +94,9 @@ def shingles(words: Words, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
     keep = np.arange(n) + k <= last
     for d in np.flatnonzero((count > 0) & (count < k)):
         a, b = off[d], off[d + 1]
-        code = np.uint64(b - a)
-        for x in words.code[a:b]:
-            code = code * np.uint64(BASE) + x
+        code = int(b - a)
+        for x in words.code[a:b].tolist():
+            code = (code * BASE + x) % 2**64
         codes[a], keep[a] = code, True
     have = np.where(count >= k, count - k + 1, np.minimum(count, 1))
     return mix(codes[keep]), np.concatenate([[0], np.cumsum(have)])
