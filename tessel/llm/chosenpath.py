@@ -14,11 +14,15 @@ from tessel.llm.scratch import Scratch, keep_keys
 from tessel.llm.text import chunks, mix, shingles
 
 #: Nodes up to this size are compared exhaustively.
-LEAF = 48
+LEAF = 512
+#: ... or up to this many tokens, which bounds a group's memory.
+LEAF_TOKENS = 2_000_000
+#: Branches of a set below a node.
+WAYS = 2
 #: Chance that a pair right at the threshold shares no leaf, over all trees.
 MISS = 1e-6
-#: Levels of branching; what is still mixed below them is compared in blocks.
-LEVELS = 6
+#: Levels of branching; below them all blocks of a mixed node meet in pairs.
+LEVELS = 8
 _SEEDS = np.random.default_rng(4711).integers(1, 2**62, (LEVELS + 1, 64)).astype(np.uint64)
 
 
@@ -65,48 +69,78 @@ def _full_sets(k: int):
     return run
 
 
-def _branch(level: int, ways: int):
+def _branch(level: int):
     def run(parts):
         for pdf in parts:
             keys = []
             for raw in pdf["tokens"]:
                 codes = np.frombuffer(raw, np.uint64)
-                keys.append(_lowest(codes, np.array([0, len(codes)]), _SEEDS[level, :ways])[0])
+                keys.append(_lowest(codes, np.array([0, len(codes)]), _SEEDS[level, :WAYS])[0])
             yield pd.DataFrame({"rep": pdf["rep"], "keys": keys})
     return run
 
 
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections, by products of token indicators in strips."""
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    tokens, at, times = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = times > 1
+    place = np.cumsum(shared) - 1
+    use = shared[at]
+    order = np.argsort(place[at[use]], kind="stable")
+    column, row = place[at[use]][order], owner[use][order]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    strip = max(256, min(4096, (1 << 21) // len(sets)))
+    for low in range(0, int(shared.sum()), strip):
+        a, b = np.searchsorted(column, [low, low + strip])
+        m = np.zeros((len(sets), strip), np.float32)
+        m[row[a:b], column[a:b] - low] = 1
+        both += m @ m.T
+    return both.astype(np.int64)
+
+
 def _compare(percent: int):
+    """A spanning forest of the links among the sets of one group, all pairs of which are compared."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates(["rep", "tokens"])
         ids = pdf["rep"].to_numpy()
         sets = [np.frombuffer(raw, np.uint64) for raw in pdf["tokens"]]
+        size = np.array([len(s) for s in sets])
+        both = overlaps(sets)
+        i, j = np.nonzero(np.triu(100 * both >= percent * (size[:, None] + size[None, :] - both), 1))
         root = list(range(len(sets)))
 
-        def find(i):
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
+        def find(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
 
-        order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
         links = []
-        for x, i in enumerate(order):
-            for j in order[x + 1:]:
-                small, large = sets[i], sets[j]
-                if 100 * len(small) < percent * len(large):
-                    break
-                if find(i) == find(j):
-                    continue
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                both = int((large[at] == small).sum())
-                if 100 * both >= percent * (len(small) + len(large) - both):
-                    root[find(i)] = find(j)
-                    links.append((int(ids[i]), int(ids[j])))
-        return pd.DataFrame(links, columns=["a", "b"])
+        for x, y in zip(i.tolist(), j.tolist()):
+            u, v = find(x), find(y)
+            if u != v:
+                root[u] = v
+                links.append((int(ids[x]), int(ids[y])))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
     return run
 
 
+def _trees(percent: int) -> tuple[int, float]:
+    """Trees to grow, and the odds that a pair at the threshold survives the levels of one of them."""
+    p = min(percent, 99) / 100
+    survive = 1.0
+    for _ in range(LEVELS):
+        survive = 1 - (1 - p * survive) ** WAYS
+    return max(1, math.ceil(math.log(MISS) / math.log(1 - p * survive))), survive
+
+
+def _linked(groups: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, edges: DataFrame | None) -> DataFrame:
+    found = scratch.put(groups.join(sets, "rep").groupBy("g").applyInPandas(_compare(percent), "a long, b long"))
+    return found if edges is None else edges.unionAll(found)
+
+
 def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 85, k: int = 5) -> DataFrame:
     """``(key, n_shingles, component_id, kept)``: classes of documents linked by Jaccard of word shingles.
 
@@ -116,62 +150,77 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     with itself (null) as its class and kept.
 
     Equal sets become one representative. A representative's path in tree t starts at its smallest token
-    under the tree's hash; nodes of up to LEAF sets are compared exhaustively; a larger node is compared in
-    blocks that all hold the node's first set, and branches again by further hashes if that leaves it
-    in more than one class. Trees and branches are as many as keep the chance to miss a pair at the threshold under MISS.
+    under the tree's hash. Nodes of up to LEAF sets are compared exhaustively. A larger node is compared in
+    blocks that all hold its first set. If that leaves it in one class, it is done; if the sets outside its
+    largest class fill half a leaf at most, they are compared with every block of that class; else the node
+    branches, each set to two further nodes, and so on. With two branches a pair at the threshold
+    survives any number of levels with odds near 0.97 a tree; there are as many trees as keep the
+    chance to miss it under MISS.
     """
     scratch = Scratch(docs.sparkSession, "paths")
-    ways = max(1, math.ceil(math.log(MISS) / math.log(1 - min(percent, 99) / 100)))
+    trees, _ = _trees(percent)
     plain = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))
     schema = "id long, n long, f1 long, f2 long, keys array<long>"
-    all_rows = scratch.put(plain.mapInArrow(_sketch(k, ways), schema))
+    all_rows = scratch.put(plain.mapInArrow(_sketch(k, trees), schema))
     rows = all_rows.filter("n > 0 and id is not null")
     same = rows.groupBy("f1", "f2", "n").agg(F.min("id").alias("rep"))
-    member = scratch.put(rows.select("id", "f1", "f2", "n").join(same, ["f1", "f2", "n"]).select("id", "rep", "f1"))
-    reps = same.select(F.col("rep").alias("id"), "rep", "f1", "f2", "n").join(rows, ["id", "f1", "f2", "n"]).select("rep", "keys").distinct()
-    nodes = scratch.put(reps.select("rep", F.posexplode("keys").alias("tree", "token")).select(
-        F.xxhash64("tree", "token").alias("node"), "rep").distinct())
+    member = scratch.put(rows.select("id", "f1", "f2", "n").join(same, ["f1", "f2", "n"]).select("id", "rep"))
+    reps = same.select(F.col("rep").alias("id"), "rep", "f1", "f2", "n").join(rows, ["id", "f1", "f2", "n"]).select("rep", "n", "keys").distinct()
+    nodes = scratch.put(reps.select("rep", "n", F.posexplode("keys").alias("tree", "token")).select(
+        F.xxhash64("tree", "token").alias("node"), "rep", "n").distinct())
     edges, sets = None, None
     for level in range(1, LEVELS + 2):
-        sizes = scratch.put(nodes.groupBy("node").agg(F.count("*").alias("size"), F.min("rep").alias("lead")).filter("size > 1"))
+        sizes = scratch.put(nodes.groupBy("node").agg(
+            F.count("*").alias("size"), F.greatest(F.count("*") / LEAF, F.sum("n") / LEAF_TOKENS).alias("fill"),
+            F.min("rep").alias("lead")).filter("size > 1"))
         met = scratch.put(nodes.join(sizes, "node"))
         scratch.drop(nodes, sizes)
         if met.isEmpty():
             break
-        small = met.filter(F.col("size") <= LEAF).groupBy("node").agg(F.sort_array(F.collect_list("rep")).alias("reps"))
+        small = met.filter("fill <= 1 or size = 2").groupBy("node").agg(F.sort_array(F.collect_list("rep")).alias("reps"))
         small = small.select("reps").distinct().select(F.xxhash64("reps").alias("g"), F.explode("reps").alias("rep"))
-        large = met.filter(F.col("size") > LEAF)
-        blocks = F.expr(f"cast(pow(2, ceil(log2(size / {LEAF}))) as long)")
-        part = large.withColumn("blocks", blocks).withColumn("block", F.expr("pmod(xxhash64(rep), blocks)"))
-        if level <= LEVELS:
-            part = part.select("lead", "blocks", "block", "rep").distinct()
-            part = part.unionAll(part.select("lead", "blocks", "block", F.col("lead").alias("rep")).distinct())
-            part = part.select(F.xxhash64("lead", "blocks", "block").alias("g"), "rep")
-        else:
-            part = part.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)"))).select(
-                F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other")).alias("g"), "rep")
+        large = met.filter("fill > 1 and size > 2").withColumn("blocks", F.expr("cast(pow(2, ceil(log2(fill))) as long)"))
+        large = large.withColumn("block", F.expr("pmod(xxhash64(rep), blocks)"))
+        part = large.select("lead", "blocks", "block", "rep").distinct()
+        part = part.unionAll(part.select("lead", "blocks", "block", F.col("lead").alias("rep")).distinct())
+        part = part.select(F.xxhash64("lead", "blocks", "block").alias("g"), "rep")
         groups = scratch.put(small.unionAll(part).distinct())
         if sets is None:
             active = scratch.put(groups.select(F.col("rep").alias("id")).distinct())
             sets = scratch.put(keep_keys(plain, active, ["id"]).mapInArrow(_full_sets(k), "rep long, tokens binary"))
             scratch.drop(active)
-        found = scratch.put(groups.join(sets, "rep").groupBy("g").applyInPandas(_compare(percent), "a long, b long"))
-        edges = found if edges is None else edges.unionAll(found)
+        edges = _linked(groups, sets, percent, scratch, edges)
         scratch.drop(groups)
-        if level > LEVELS:
+        if large.isEmpty():
             break
         labels = components(edges, scratch)
-        label = F.coalesce("component", "rep")
-        held = large.select("node", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-        mixed = scratch.put(held.groupBy("node").agg(F.min(label).alias("x"), F.max(label).alias("y")).filter("x < y").select("node"))
-        again = scratch.put(large.select("node", "rep").join(mixed, "node"))
-        scratch.drop(labels, mixed, met)
+        held = scratch.put(large.select("node", "rep", "n", "blocks", "block").join(
+            labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("label", F.coalesce("component", "rep")).drop("component"))
+        scratch.drop(labels, met)
+        tally = held.groupBy("node", "label").agg(F.count("*").alias("c"))
+        tally = tally.groupBy("node").agg(F.sum("c").alias("all"), F.max("c").alias("most"), F.max_by("label", "c").alias("main"))
+        mixed = scratch.put(held.join(tally.filter("all > most"), "node"))
+        scratch.drop(held)
+        ends = F.col("all") - F.col("most") <= LEAF // 2
+        if level > LEVELS:  # every two half-blocks of what is left meet once
+            halves = F.expr("pmod(xxhash64(rep, 1), 2 * blocks)")
+            pairs = mixed.withColumn("half", halves).withColumn("other", F.explode(F.expr("sequence(0L, 2 * blocks - 1)")))
+            last = pairs.select(F.xxhash64("node", F.least("half", "other"), F.greatest("half", "other")).alias("g"), "rep").distinct()
+            edges = _linked(scratch.put(last), sets, percent, scratch, edges)
+            break
+        few = mixed.filter(ends)
+        inside = few.filter("label = main").select("node", "blocks", "block", "rep")
+        outside = few.filter("label <> main").select("node", "blocks", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), "rep")
+        last = inside.unionAll(outside).select(F.xxhash64("node", "blocks", "block", F.lit("end")).alias("g"), "rep")
+        edges = _linked(scratch.put(last), sets, percent, scratch, edges)
+        again = mixed.filter(~ends)
         if again.isEmpty():
             break
-        turn = scratch.put(again.select("rep").distinct().join(sets, "rep").mapInPandas(_branch(level, ways), "rep long, keys array<long>"))
-        nodes = scratch.put(again.join(turn, "rep").select("node", "rep", F.posexplode("keys").alias("way", "token")).select(
-            F.xxhash64("node", "way", "token").alias("node"), "rep").distinct())
-        scratch.drop(again, turn)
+        turn = scratch.put(again.select("rep").distinct().join(sets, "rep").mapInPandas(_branch(level), "rep long, keys array<long>"))
+        nodes = scratch.put(again.select("node", "rep", "n").join(turn, "rep").select(
+            "node", "rep", "n", F.posexplode("keys").alias("way", "token")).select(
+            F.xxhash64("node", "way", "token").alias("node"), "rep", "n").distinct())
+        scratch.drop(mixed, turn)
     scratch.drop(sets)
     named = member.select("id", "rep").distinct()
     if edges is not None:

@@ -8,10 +8,11 @@ import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessel.llm import bpe
+from tessel.llm import bpe, setscan
 from tessel.llm.balltree import exact_topk
 from tessel.llm.chosenpath import similar_classes
 from tessel.llm.scratch import reach
+from tessel.llm.simline import removed_lines
 from tessel.llm.simwindow import find_passages
 
 QUERIES: dict = {}
@@ -71,3 +72,38 @@ def op9_chosen_path(spark, sf_dir):
 @query()
 def op2_simhash_windows(spark, sf_dir):
     return find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op3_simhash_lines(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    got = removed_lines(docs)
+    lost = F.array_join(F.transform("removed", lambda i: i.cast("string")), ",")
+    return got.select(F.col("doc").alias("doc_id"), "n_lines", F.size("removed").cast("long").alias("n_removed"), lost.alias("removed"))
+
+
+def _scan_sql() -> str:
+    phrases = ", ".join(f"('{p}', '{label}')" for p, label in setscan.PHRASES.items())
+    templates = ", ".join(f"({i}, '{t}', '{label}')" for i, (t, label) in enumerate(setscan.TEMPLATES.items()))
+    split = "list_filter(regexp_split_to_array(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
+    return f"""
+WITH p(phrase, label) AS (VALUES {phrases}), t(n, template, label) AS (VALUES {templates}),
+d AS (SELECT doc_id, {split.format("coalesce(text, '')")} AS w FROM documents),
+hit AS (SELECT doc_id, label, unnest(list_filter(range(len(w)), lambda i: w[i + 1:i + len(string_split(phrase, ' '))] = string_split(phrase, ' '))) AS pos FROM d, p),
+base AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM hit GROUP BY 1),
+l AS (SELECT doc_id, {split.format("line")} AS w FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
+m AS (SELECT doc_id, label, len(list_intersect(w, string_split(template, ' '))) / len(list_distinct(string_split(template, ' '))) AS part FROM l, t),
+f AS (SELECT doc_id, label, max(part) AS part FROM m WHERE part >= {setscan.CONTAINMENT} - 1e-9 GROUP BY 1, 2),
+every AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(part) AS part
+          FROM (SELECT doc_id, label, 0.0 AS part FROM hit UNION ALL SELECT doc_id, label, part FROM f) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CAST(CASE WHEN n_base > 0 THEN 1 ELSE coalesce(part, 0) END AS DOUBLE) AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN every USING (doc_id)
+"""
+
+
+@query(_scan_sql())
+def op4_license_scan(spark, sf_dir):
+    return setscan.scan(table(spark, sf_dir, "documents"))
