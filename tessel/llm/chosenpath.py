@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -69,14 +70,16 @@ def _full_sets(k: int):
     return run
 
 
-def _branch(level: int):
-    def run(parts):
-        for pdf in parts:
-            keys = []
-            for raw in pdf["tokens"]:
-                codes = np.frombuffer(raw, np.uint64)
-                keys.append(_lowest(codes, np.array([0, len(codes)]), _SEEDS[level, :WAYS])[0])
-            yield pd.DataFrame({"rep": pdf["rep"], "keys": keys})
+def _branch(level: int, k: int):
+    def run(batches):
+        for batch in batches:
+            for row, words in chunks(batch.column(1)):
+                codes, off = shingles(words, k)
+                low = _lowest(codes, off, _SEEDS[level, :WAYS])
+                n = len(off) - 1
+                yield pa.RecordBatch.from_pydict({
+                    "rep": batch.column(0).slice(row, n),
+                    "keys": pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * WAYS, pa.int32()), low.ravel())})
     return run
 
 
@@ -101,9 +104,9 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _compare(percent: int):
-    """A spanning forest of the links among the sets of one group, all pairs of which are compared."""
+    """``(a, b)``: each set of a group and the first set of its class; all pairs of the group are compared."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates(["rep", "tokens"])
+        pdf = pdf.drop_duplicates(["rep", "tokens"]).sort_values("rep")
         ids = pdf["rep"].to_numpy()
         sets = [np.frombuffer(raw, np.uint64) for raw in pdf["tokens"]]
         size = np.array([len(s) for s in sets])
@@ -117,27 +120,75 @@ def _compare(percent: int):
                 x = root[x]
             return x
 
-        links = []
         for x, y in zip(i.tolist(), j.tolist()):
             u, v = find(x), find(y)
             if u != v:
-                root[u] = v
-                links.append((int(ids[x]), int(ids[y])))
-        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+                root[max(u, v)] = min(u, v)
+        head = np.array([find(x) for x in range(len(sets))], dtype=np.int64)
+        out = pd.DataFrame({"a": ids, "b": ids[head]})
+        return out[out["a"] != out["b"]]
     return run
 
 
-def _trees(percent: int) -> tuple[int, float]:
-    """Trees to grow, and the odds that a pair at the threshold survives the levels of one of them."""
+def _agreeing(percent: int, least: int):
+    """Parts of a group that hold every pair with enough equal tokens and fitting sizes."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates(["rep", "n"])
+        n = pdf["n"].to_numpy()
+        keys = np.stack(pdf["keys"].to_numpy())
+        same = sum((keys[:, t][:, None] == keys[:, t][None, :]).astype(np.int8) for t in range(keys.shape[1]))
+        near = (same >= least) & (100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :]))
+        part = np.full(len(n), -1)
+        for i in range(len(n)):
+            if part[i] < 0:
+                part[i], todo = i, [i]
+                while todo:
+                    more = np.flatnonzero(near[todo.pop()] & (part < 0))
+                    part[more] = i
+                    todo += more.tolist()
+        out = pd.DataFrame({"g": pdf["g"], "part": part, "rep": pdf["rep"]})
+        return out[out.groupby("part")["rep"].transform("nunique") > 1]
+    return run
+
+
+def _trees(percent: int) -> tuple[int, int]:
+    """Trees to grow, and in how many of them a pair must start on the same token to be compared.
+
+    A pair at the threshold survives the levels of a tree with the odds of a branching process; it
+    misses all trees, or starts together in too few, with odds under MISS each.
+    """
     p = min(percent, 99) / 100
     survive = 1.0
     for _ in range(LEVELS):
         survive = 1 - (1 - p * survive) ** WAYS
-    return max(1, math.ceil(math.log(MISS) / math.log(1 - p * survive))), survive
+    trees = max(4, math.ceil(math.log(MISS) / math.log(1 - p * survive)) + 3)
+    below, least = (1 - p) ** trees, 0
+    while below <= MISS:
+        least += 1
+        below += math.comb(trees, least) * p ** least * (1 - p) ** (trees - least)
+    return trees, max(1, least)
+
 
+def _linked(groups: DataFrame, reps: DataFrame, held: list, plain: DataFrame, k: int, percent: int, least: int, scratch: Scratch,
+            edges: DataFrame | None) -> DataFrame:
+    """Adds the links found in ``groups (g, rep)``: first on start tokens and sizes, then on full sets.
 
-def _linked(groups: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, edges: DataFrame | None) -> DataFrame:
-    found = scratch.put(groups.join(sets, "rep").groupBy("g").applyInPandas(_compare(percent), "a long, b long"))
+    ``held`` collects tables of full sets; only sets that none of them has are made.
+    """
+    parts = groups.join(reps, "rep").groupBy("g").applyInPandas(_agreeing(percent, least), "g long, part long, rep long")
+    parts = scratch.put(parts.groupBy("g", "part").agg(F.sort_array(F.collect_set("rep")).alias("reps")).select("reps").distinct().select(
+        F.xxhash64("reps").alias("g"), F.explode("reps").alias("rep")))
+    wanted = parts.select(F.col("rep").alias("id")).distinct()
+    for sets in held:
+        wanted = wanted.join(sets.select(F.col("rep").alias("id")), "id", "left_anti")
+    wanted = scratch.put(wanted)
+    if not wanted.isEmpty():
+        held.append(scratch.put(keep_keys(plain, wanted, ["id"]).mapInArrow(_full_sets(k), "rep long, tokens binary")))
+    if not held:
+        return edges if edges is not None else scratch.put(groups.sparkSession.createDataFrame([], "a long, b long"))
+    sets = reduce(DataFrame.unionAll, held)
+    found = scratch.put(parts.join(sets, "rep").groupBy("g").applyInPandas(_compare(percent), "a long, b long"))
+    scratch.drop(parts, wanted)
     return found if edges is None else edges.unionAll(found)
 
 
@@ -158,7 +209,7 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     chance to miss it under MISS.
     """
     scratch = Scratch(docs.sparkSession, "paths")
-    trees, _ = _trees(percent)
+    trees, least = _trees(percent)
     plain = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))
     schema = "id long, n long, f1 long, f2 long, keys array<long>"
     all_rows = scratch.put(plain.mapInArrow(_sketch(k, trees), schema))
@@ -166,9 +217,9 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     same = rows.groupBy("f1", "f2", "n").agg(F.min("id").alias("rep"))
     member = scratch.put(rows.select("id", "f1", "f2", "n").join(same, ["f1", "f2", "n"]).select("id", "rep"))
     reps = same.select(F.col("rep").alias("id"), "rep", "f1", "f2", "n").join(rows, ["id", "f1", "f2", "n"]).select("rep", "n", "keys").distinct()
-    nodes = scratch.put(reps.select("rep", "n", F.posexplode("keys").alias("tree", "token")).select(
+    starts, edges, held_sets = scratch.put(reps), None, []
+    nodes = scratch.put(starts.select("rep", "n", F.posexplode("keys").alias("tree", "token")).select(
         F.xxhash64("tree", "token").alias("node"), "rep", "n").distinct())
-    edges, sets = None, None
     for level in range(1, LEVELS + 2):
         sizes = scratch.put(nodes.groupBy("node").agg(
             F.count("*").alias("size"), F.greatest(F.count("*") / LEAF, F.sum("n") / LEAF_TOKENS).alias("fill"),
@@ -185,11 +236,7 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         part = part.unionAll(part.select("lead", "blocks", "block", F.col("lead").alias("rep")).distinct())
         part = part.select(F.xxhash64("lead", "blocks", "block").alias("g"), "rep")
         groups = scratch.put(small.unionAll(part).distinct())
-        if sets is None:
-            active = scratch.put(groups.select(F.col("rep").alias("id")).distinct())
-            sets = scratch.put(keep_keys(plain, active, ["id"]).mapInArrow(_full_sets(k), "rep long, tokens binary"))
-            scratch.drop(active)
-        edges = _linked(groups, sets, percent, scratch, edges)
+        edges = _linked(groups, starts, held_sets, plain, k, percent, least, scratch, edges)
         scratch.drop(groups)
         if large.isEmpty():
             break
@@ -206,22 +253,23 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
             halves = F.expr("pmod(xxhash64(rep, 1), 2 * blocks)")
             pairs = mixed.withColumn("half", halves).withColumn("other", F.explode(F.expr("sequence(0L, 2 * blocks - 1)")))
             last = pairs.select(F.xxhash64("node", F.least("half", "other"), F.greatest("half", "other")).alias("g"), "rep").distinct()
-            edges = _linked(scratch.put(last), sets, percent, scratch, edges)
+            edges = _linked(scratch.put(last), starts, held_sets, plain, k, percent, least, scratch, edges)
             break
         few = mixed.filter(ends)
         inside = few.filter("label = main").select("node", "blocks", "block", "rep")
         outside = few.filter("label <> main").select("node", "blocks", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), "rep")
         last = inside.unionAll(outside).select(F.xxhash64("node", "blocks", "block", F.lit("end")).alias("g"), "rep")
-        edges = _linked(scratch.put(last), sets, percent, scratch, edges)
+        edges = _linked(scratch.put(last), starts, held_sets, plain, k, percent, least, scratch, edges)
         again = mixed.filter(~ends)
         if again.isEmpty():
             break
-        turn = scratch.put(again.select("rep").distinct().join(sets, "rep").mapInPandas(_branch(level), "rep long, keys array<long>"))
+        turn = scratch.put(keep_keys(plain, scratch.put(again.select(F.col("rep").alias("id")).distinct()), ["id"]).mapInArrow(
+            _branch(level, k), "rep long, keys array<long>"))
         nodes = scratch.put(again.select("node", "rep", "n").join(turn, "rep").select(
             "node", "rep", "n", F.posexplode("keys").alias("way", "token")).select(
             F.xxhash64("node", "way", "token").alias("node"), "rep", "n").distinct())
         scratch.drop(mixed, turn)
-    scratch.drop(sets)
+    scratch.drop(*held_sets)
     named = member.select("id", "rep").distinct()
     if edges is not None:
         labels = components(edges, scratch)

@@ -20,37 +20,55 @@ BUCKET = 64
 ROUNDS = 6
 #: Edit similarity: 1 - distance / longer length.
 SIMILARITY = 0.8
-_PAIR = 0x0000000100000001
 
 
 def normal(line: Column) -> Column:
-    """Lower case, every run of other characters than letters and digits as one blank."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+    """Lower case, without blanks at the ends."""
+    return F.trim(F.lower(line))
 
 
 def lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``(doc, line, norm)`` of every line that has a letter or digit."""
+    """``(doc, line, norm)`` of every line that is not blank."""
     split = docs.select(F.col(f"`{key}`").cast("long").alias("doc"),
                         F.posexplode(F.split(F.col(f"`{text}`").cast("string"), "\n", -1)).alias("line", "raw"))
     return split.select("doc", "line", normal(F.col("raw")).alias("norm")).filter("norm <> '' and doc is not null")
 
 
-def fingerprints(split: DataFrame) -> DataFrame:
-    """``(doc, line, h1, h2, size, sim)``: exact code, length and 64-bit SimHash of the words of each line.
+def _votes(width: int) -> Column:
+    """Fingerprint of the word codes ``hs`` from votes counted in lanes of ``width`` bits, several to a long."""
+    lanes = 64 // width
+    ones = sum(1 << width * k for k in range(lanes))
+
+    def count(i):  # bit i votes in lane i // width of sum i % width
+        sums = F.aggregate("hs", F.lit(0).cast("long"), lambda a, h: a + F.shiftrightunsigned(h, i).bitwiseAND(F.lit(ones)))
+        return sums
+
+    sums = F.array(*[count(i) for i in range(width)])
+    return sums.alias("sums")
 
-    Word hashes vote bit by bit; two votes share a long, so 32 sums count all 64 bits for up to 2**31 words.
-    """
-    words = split.select("doc", "line", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(1), "norm").alias("h2"),
-                         F.length("norm").alias("size"), F.explode(F.split("norm", " ", -1)).alias("word"))
-    words = words.withColumn("w", F.xxhash64("word")).drop("word")
-    votes = [F.sum(F.shiftrightunsigned("w", i).bitwiseAND(F.lit(_PAIR))).alias(f"v{i}") for i in range(32)]
-    summed = words.groupBy("doc", "line", "h1", "h2", "size").agg(F.count("*").alias("n"), *votes)
 
-    def bit(i: int) -> Column:
-        count = F.col(f"v{i}").bitwiseAND(F.lit(0xFFFFFFFF)) if i < 32 else F.shiftrightunsigned(f"v{i - 32}", 32)
-        return F.shiftleft((2 * count > F.col("n")).cast("long"), i)
+def _assemble(width: int) -> Column:
+    def bit(i):
+        got = F.shiftrightunsigned(F.get("sums", i % width), width * (i // width)).bitwiseAND(F.lit((1 << width) - 1))
+        tie = F.shiftrightunsigned("low", i).bitwiseAND(F.lit(1))
+        return F.shiftleft((2 * got + tie > F.col("n")).cast("long"), i)
+    return reduce(lambda a, b: a.bitwiseOR(b), map(bit, range(64)))
 
-    return summed.select("doc", "line", "h1", "h2", "size", reduce(lambda a, b: a.bitwiseOR(b), map(bit, range(64))).alias("sim"))
+
+def fingerprints(split: DataFrame) -> DataFrame:
+    """``(doc, line, h1, h2, size, sim)``: exact code, length and 64-bit SimHash of the distinct words of each line.
+
+    Word hashes vote bit by bit; the smallest one decides ties. Votes are added in lanes of 8 bits up to 127
+    distinct words, of 16 up to 32,767, of 32 beyond.
+    """
+    coded = split.select("doc", "line", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(1), "norm").alias("h2"),
+                         F.length("norm").alias("size"),
+                         F.array_distinct(F.transform(F.split("norm", " ", -1), lambda w: F.xxhash64(w))).alias("hs"))
+    n = F.size("hs")
+    summed = coded.select("doc", "line", "h1", "h2", "size", n.alias("n"), F.array_min("hs").alias("low"),
+                          F.when(n <= 127, _votes(8)).when(n <= 32767, _votes(16)).otherwise(_votes(32)).alias("sums"))
+    sim = F.when(F.col("n") <= 127, _assemble(8)).when(F.col("n") <= 32767, _assemble(16)).otherwise(_assemble(32))
+    return summed.select("doc", "line", "h1", "h2", "size", sim.alias("sim"))
 
 
 def block_keys(sim: Column) -> Column:
@@ -95,7 +113,7 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     found = scratch.put(first.select("at.doc", "at.line", "sim", "size", F.monotonically_increasing_id().alias("id")))
     keys = found.select("id", F.explode(block_keys(F.col("sim"))).alias("key")).repartition("key")
     sums = scratch.put(keys.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"),
-                                               F.sum("id").alias("total")).filter("n > 1"))
+                                               F.try_sum("id").alias("total")).filter("n > 1"))
     third = F.col("total") - F.col("low") - F.col("high")
 
     def pair(a, b):
@@ -143,7 +161,7 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``(doc, n_lines, removed)``: for each document with lines, their number and the sorted numbers of those to go.
 
-    Line numbers count from 0. Lines without a letter or digit are neither counted nor removed; null and
+    Line numbers count from 0. Blank lines are neither counted nor removed; null and
     empty texts and null keys have no row. A key that is repeated has one row over all its texts.
     """
     every, kept = line_classes(docs, key, text, similarity)
@@ -155,7 +173,7 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", simi
 def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` without the lines that repeat earlier ones; documents left without any line go.
 
-    All columns stay; other texts (null, empty, without letters or digits) stay as they are.
+    All columns stay; other texts (null, empty, blank) stay as they are.
     """
     gone = Scratch(docs.sparkSession, "gone").put(removed_lines(docs, key, text, similarity).filter("size(removed) > 0"))
     gone = gone.select(F.col("doc").alias("__doc"), F.col("n_lines").alias("__n"), F.col("removed").alias("__gone"))
