@@ -15,7 +15,7 @@ from tessel.llm.scratch import Scratch, keep_keys
 from tessel.llm.text import chunks, mix, shingles
 
 #: Nodes up to this size are compared exhaustively.
-LEAF = 512
+LEAF = 1024
 #: ... or up to this many tokens, which bounds a group's memory.
 LEAF_TOKENS = 2_000_000
 #: Branches of a set below a node.
@@ -138,16 +138,15 @@ def _agreeing(percent: int, least: int):
         keys = np.stack(pdf["keys"].to_numpy())
         same = sum((keys[:, t][:, None] == keys[:, t][None, :]).astype(np.int8) for t in range(keys.shape[1]))
         near = (same >= least) & (100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :]))
-        part = np.full(len(n), -1)
-        for i in range(len(n)):
-            if part[i] < 0:
-                part[i], todo = i, [i]
-                while todo:
-                    more = np.flatnonzero(near[todo.pop()] & (part < 0))
-                    part[more] = i
-                    todo += more.tolist()
+        part = np.arange(len(n))
+        while True:
+            low = np.where(near, part[None, :], len(n)).min(1)
+            if (low >= part).all():
+                break
+            part = np.minimum(part, low)
+        size = np.bincount(part, minlength=len(n))
         out = pd.DataFrame({"g": pdf["g"], "part": part, "rep": pdf["rep"]})
-        return out[out.groupby("part")["rep"].transform("nunique") > 1]
+        return out[size[part] > 1]
     return run
 
 

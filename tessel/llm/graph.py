@@ -7,6 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from tessel.llm.scratch import Scratch
 
 
+#: Edges in one file of an intermediate table.
+ROWS_PER_FILE = 200_000
+
+
 def _stars(edges: DataFrame, small: bool) -> DataFrame:
     if small:
         near = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -30,12 +34,13 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     neighbours never meets in one group. Empty input gives an empty table; loops are ignored.
     """
     now = scratch.put(edges.filter("a <> b").select("a", "b").distinct())
+    parts = 1 + now.count() // ROWS_PER_FILE
     mark = None
     while True:
         if now.isEmpty():
             break
-        large = scratch.put(_stars(now, small=False))
-        after = scratch.put(_stars(large, small=True))
+        large = scratch.put(_stars(now, small=False).coalesce(parts))
+        after = scratch.put(_stars(large, small=True).coalesce(parts))
         row = after.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         scratch.drop(now, large)
         now = after
@@ -44,4 +49,4 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         mark = tuple(row)
     labels = now.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "id")
     roots = now.select(F.col("b").alias("id")).distinct().withColumn("component", F.col("id"))
-    return scratch.put(labels.unionAll(roots.join(labels.select("id"), "id", "left_anti")))
+    return scratch.put(labels.unionAll(roots.join(labels.select("id"), "id", "left_anti")).coalesce(2 * parts))

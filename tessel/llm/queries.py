@@ -8,12 +8,14 @@ import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tessel.llm import bpe, setscan
+from tessel.llm import bpe, pii, setscan
 from tessel.llm.balltree import exact_topk
 from tessel.llm.chosenpath import similar_classes
 from tessel.llm.scratch import reach
 from tessel.llm.simline import removed_lines
 from tessel.llm.simwindow import find_passages
+from tessel.llm.suffixtree import score_texts
+from tessel.llm.toxic import ToxicityModel
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -52,6 +54,12 @@ def op10_exact_topk(spark, sf_dir):
     return exact_topk(rows, rows.filter("id % 50 = 0"))
 
 
+def training_labels(spark, sf_dir, docs):
+    """Labelled documents outside the held-out quarter."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter("crc32(cast(doc_id as string)) % 4 <> 2")
+    return docs.select("doc_id", "text").join(labels, "doc_id")
+
+
 def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
@@ -107,3 +115,22 @@ FROM d LEFT JOIN base USING (doc_id) LEFT JOIN every USING (doc_id)
 @query(_scan_sql())
 def op4_license_scan(spark, sf_dir):
     return setscan.scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_boosted_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ToxicityModel.fit(training_labels(spark, sf_dir, docs), "doc_id", "text", "toxic")
+    held_out = F.expr("crc32(cast(doc_id as string)) % 4") == 2
+    return model.score(docs, "text", "score").select("doc_id", held_out.alias("held_out"), "score",
+                                                     (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query()
+def op8_bootstrapped_pii(spark, sf_dir):
+    return pii.find(table(spark, sf_dir, "documents")).drop("base")
+
+
+@query()
+def op1_suffix_tree(spark, sf_dir):
+    return score_texts(table(spark, sf_dir, "documents"), F.expr("crc32(cast(doc_id as string)) % 10") == 0)

@@ -93,7 +93,8 @@ def _close(pairs: DataFrame, found: DataFrame, split: DataFrame, similarity: flo
     x, y = (texts.select(F.col("doc").alias(f"doc_{s}"), F.col("line").alias(f"line_{s}"), F.col("norm").alias(f"norm_{s}")) for s in "ab")
     limit = F.floor((1 - similarity) * F.greatest("size_a", "size_b")).cast("int")
     out = near.join(x, ["doc_a", "line_a"]).join(y, ["doc_b", "line_b"]).withColumn("most", limit)
-    out = scratch.put(out.filter(F.expr("levenshtein(norm_a, norm_b, most) >= 0")).select("a", "b"))
+    out = scratch.put(out.filter(F.expr(
+        "case when levenshtein(norm_a, norm_b, cast(most / 10 as int)) >= 0 then true else levenshtein(norm_a, norm_b, most) >= 0 end")).select("a", "b"))
     scratch.drop(near, wanted, owners, texts)
     return out
 
