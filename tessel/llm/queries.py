@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tessel.llm import bpe, pii, setscan
 from tessel.llm.balltree import exact_topk
 from tessel.llm.chosenpath import similar_classes
+from tessel.llm.editcount import count_edits
 from tessel.llm.scratch import reach
 from tessel.llm.simline import removed_lines
 from tessel.llm.simwindow import find_passages
@@ -134,3 +135,16 @@ def op8_bootstrapped_pii(spark, sf_dir):
 @query()
 def op1_suffix_tree(spark, sf_dir):
     return score_texts(table(spark, sf_dir, "documents"), F.expr("crc32(cast(doc_id as string)) % 10") == 0)
+
+
+@query()
+def op6_edit_counts(spark, sf_dir):
+    """Every document takes four edits made from itself: a deletion, a repeat of its first 40 characters, a
+    replacement of a stretch in its middle by its source, and an appended line."""
+    docs = table(spark, sf_dir, "documents").withColumn("n", F.coalesce(F.length("text"), F.lit(0)))
+    edits = F.expr("""array(
+        named_struct('start', n div 3, 'stop', n div 3 + 17, 'text', ''),
+        named_struct('start', n div 5, 'stop', n div 5, 'text', substring(text, 1, 40)),
+        named_struct('start', n div 2, 'stop', n div 2 + 25, 'text', source),
+        named_struct('start', n + 100, 'stop', n + 100, 'text', concat('\\n', lang, ' ', doc_id)))""")
+    return count_edits(docs.withColumn("edits", edits), tokenizer_path())
