@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessel.functions.counts import modes, value_counts
-from tessel.functions.nulls import clip, col, finite, replace_columns
+from tessel.functions.nulls import clip, col, finite, nan_to_null, replace_columns
 from tessel.functions.quantiles import quantile_report
 from tessel.operators.derive import derive
 from tessel.operators.roles import infer_roles
@@ -192,8 +192,10 @@ class RareGroup(_Stage, Estimator):
 
 
 def frequent_levels(counts: DataFrame, min_freq: int) -> DataFrame:
-    return counts.where(F.col("n") >= min_freq).select(
-        "column", F.coalesce("value", F.lit(MISSING_TEXT)).alias("value"), F.col("n").alias("x"))
+    """One row for each frequent level; NULL and the text it is shown as are one level if either is frequent."""
+    shown = F.coalesce("value", F.lit(MISSING_TEXT)).alias("value")
+    return counts.where(F.col("n") >= min_freq).select("column", shown, F.col("n").alias("x")).groupBy("column", "value").agg(
+        F.max("x").alias("x"))
 
 
 def as_counts(counts: DataFrame, ordinals: list[str], min_freq: int) -> DataFrame:
@@ -298,6 +300,13 @@ class ClipOutliersModel(_Fitted):
         return [(c, s, v) for c, b in self.learned["bounds"].items() for s, v in zip(("low", "high"), b)]
 
 
+class NanClean(_Stage, Transformer):
+    """NaN becomes missing in every column of floats."""
+
+    def _transform(self, df):
+        return nan_to_null(df)
+
+
 class FiniteClean(_Stage, Transformer):
     """Infinities and NaN become missing."""
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessel.functions.counts import value_counts
-from tessel.functions.nulls import clip, col, finite, replace_columns
+from tessel.functions.nulls import clip, col, finite, nan_to_null, replace_columns
 from tessel.functions.quantiles import quantile_report
 from tessel.operators import stages as st
 from tessel.operators.encode import assemble, keep_slots, one_hot, slot_names
@@ -78,7 +78,7 @@ def planned_roles(df: DataFrame, plan: FeaturePlan) -> tuple[DataFrame, Roles]:
 def feature_stages(df: DataFrame, plan: FeaturePlan) -> Pipeline:
     """Column-level stages, unfitted, in order; the vector follows from :func:`fit_features`."""
     _, roles = planned_roles(df, plan)
-    steps: list = []
+    steps: list = [st.NanClean()]
     if plan.recipes:
         steps.append(st.Derive(recipes=plan.recipes))
     if roles.ordinal:
@@ -98,8 +98,9 @@ def feature_stages(df: DataFrame, plan: FeaturePlan) -> Pipeline:
 
 
 def fit_features(df: DataFrame, plan: FeaturePlan) -> FittedFeatures:
+    df = nan_to_null(df)
     derived, roles = planned_roles(df, plan)
-    steps: list = []
+    steps: list = [st.NanClean()]
     if plan.recipes:
         caps = st.upper_caps(df, plan.recipes)
         steps.append(st.DeriveModel({"recipes": plan.recipes, "caps": caps}))

@@ -7,14 +7,16 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tessel.session import new_path
 from tessel.sources.sinks import score
 
 
 def score_stream(model: PipelineModel, stream: DataFrame, key: list[str] | str, path: str,
                  checkpoint: str | None = None, available_now: bool = False) -> StreamingQuery:
-    """Append ``(key, prediction)`` as Parquet; progress is kept in the shared folder."""
-    where = checkpoint or new_path(stream.sparkSession, "scores")
+    """Append ``(key, prediction)`` as Parquet.
+
+    Progress is kept beside the output, so a restart on the same output goes on where the last run ended.
+    """
+    where = checkpoint or path.rstrip("/") + ".progress"
     writer = (score(model, stream, key).writeStream.format("parquet").outputMode("append")
               .option("path", path).option("checkpointLocation", where))
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -160,3 +160,16 @@ def test_report_lists_what_was_learned(spark, table, tmp_path):
     assert ("b_cap", "cap") in stats and ("a", "median") in stats and ("o", "mode") in stats
     write_report(report, str(tmp_path / "log"))
     assert spark.read.text(str(tmp_path / "log")).count() == report.count()
+
+
+def test_nan_in_a_plan_is_missing(spark):
+    from tessel.plans.features import FeaturePlan, fit_features
+
+    rows = [(i, float("nan") if i % 10 == 0 else float(i % 7), float(i)) for i in range(200)]
+    given = spark.createDataFrame(rows, "id int, a double, y double")
+    blank = given.withColumn("a", F.when(~F.isnan("a"), F.col("a")))
+    plan = FeaturePlan(key=["id"], target="y", carry=("indicators",))
+    one, two = (fit_features(df, plan) for df in (given, blank))
+    assert one.names == two.names and any("missing" in n for n in one.names)
+    assert [r[0] for r in one.transform(given).orderBy("id").select("features").collect()] == [
+        r[0] for r in two.transform(blank).orderBy("id").select("features").collect()]

@@ -183,6 +183,10 @@ def test_stream_scores_equal_batch_scores(spark, table, data, tmp_path):
     got = {r["id"]: r["prediction"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     want = {r["id"]: r["prediction"] for r in model.transform(table).collect()}
     assert got == pytest.approx(want)
+    more = table.drop("y").withColumn("id", F.col("id") + 1_000_000)
+    more.write.mode("append").parquet(str(tmp_path / "in"))
+    score_stream(model, stream, "id", str(tmp_path / "out"), available_now=True).awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2 * table.count()
 
 
 def test_cross_validate_rows(data):

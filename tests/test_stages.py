@@ -190,3 +190,11 @@ def test_no_python_in_transforms(spark):
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
     assert made.select(F.count("*")).first()[0] == 2
+
+
+def test_null_and_its_text_are_one_level_at_every_size(spark):
+    rows = [(i, None if i < 30 else "nan" if i < 60 else "x" if i < 90 else "rare") for i in range(100)]
+    df = spark.createDataFrame(rows, "id int, c string")
+    held = column(fit(st.RareGroup(columns=["c"], min_freq=20), df), "c")
+    stored = column(fit(st.RareGroup(columns=["c"], min_freq=20, inline=1), df), "c")
+    assert held == stored and len(stored) == 100 and held[-1] == "Other"
