@@ -15,6 +15,8 @@ SHINGLE = 5
 ITEMS = 20_000
 #: Text per pass, in characters.
 ITEM_CHARS = 32_000_000
+#: Windows whose matches a worker remembers.
+REMEMBERED = 50_000
 _BITS = np.arange(64, dtype=np.uint64)
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 _MAP = 1 << 22
@@ -72,6 +74,7 @@ def weighted(a: np.ndarray, b: np.ndarray) -> float:
 class Items:
     def __init__(self, ids: list[int], texts: list[str], similarity: float):
         self.similarity = similarity
+        self.seen: dict[bytes, list] = {}
         self.by_size: dict[int, tuple[np.ndarray, np.ndarray, Blocks]] = {}
         held: dict[int, list] = {}
         for i, text in zip(ids, texts):
@@ -110,18 +113,26 @@ class Items:
                     continue
                 mine[at[lo:hi] - a + 1] = 1
                 total = np.cumsum(mine)
-                for size, (ids, rows, blocks) in self.by_size.items():
+                for size in self.by_size:
                     n = size - k + 1
                     if min(SHINGLE, size) != k or b - a < size:
                         continue
                     # windows with fewer benchmark shingles than any window at the threshold has
                     need = math.ceil(2 * self.similarity / (1 + self.similarity) * n - 1e-9)
                     for start in np.flatnonzero(total[n:] - total[:-n] >= need).tolist():
-                        window = run[a + start:a + start + n]
-                        for i in blocks.near(simhash(window[None, :])[0]).tolist():
-                            found = weighted(window, rows[i])
-                            if found >= self.similarity:
-                                yield d, int(ids[i]), start, size, found
+                        for item, found in self.matches(size, run[a + start:a + start + n]):
+                            yield d, item, start, size, found
+
+    def matches(self, size: int, window: np.ndarray) -> list[tuple[int, float]]:
+        """Items of ``size`` words that a window reaches the threshold with; passages recur, so results are remembered."""
+        key = window.tobytes()
+        if key not in self.seen:
+            if len(self.seen) >= REMEMBERED:
+                self.seen.clear()
+            ids, rows, blocks = self.by_size[size]
+            near = [(int(ids[i]), weighted(window, rows[i])) for i in blocks.near(simhash(window[None, :])[0]).tolist()]
+            self.seen[key] = [(i, x) for i, x in near if x >= self.similarity]
+        return self.seen[key]
 
 
 def _finder(held):
