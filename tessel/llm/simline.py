@@ -20,6 +20,10 @@ BUCKET = 64
 ROUNDS = 6
 #: Edit similarity: 1 - distance / longer length.
 SIMILARITY = 0.8
+#: Words of a line are told apart by the stretch of this many words they stand in; shorter lines have one stretch.
+STRETCH = 512
+#: Limits an edit distance is tried with, smallest first, before the whole allowance: close lines end at the first.
+LIMITS = (8, 64, 512, 4096)
 
 
 def normal(line: Column) -> Column:
@@ -58,12 +62,13 @@ def _assemble(width: int) -> Column:
 def fingerprints(split: DataFrame) -> DataFrame:
     """``(doc, line, h1, h2, size, sim)``: exact code, length and 64-bit SimHash of the distinct words of each line.
 
-    Word hashes vote bit by bit; the smallest one decides ties. Votes are added in lanes of 8 bits up to 127
+    A word counts as another one in each stretch of STRETCH words, so long lines over one vocabulary stay
+    apart unless their words stand in a like order. Word hashes vote bit by bit; the smallest one decides ties. Votes are added in lanes of 8 bits up to 127
     distinct words, of 16 up to 32,767, of 32 beyond.
     """
     coded = split.select("doc", "line", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(1), "norm").alias("h2"),
                          F.length("norm").alias("size"),
-                         F.array_distinct(F.transform(F.split("norm", " ", -1), lambda w: F.xxhash64(w))).alias("hs"))
+                         F.array_distinct(F.transform(F.split("norm", " ", -1), lambda w, i: F.xxhash64(w, (i / STRETCH).cast("int")))).alias("hs"))
     n = F.size("hs")
     summed = coded.select("doc", "line", "h1", "h2", "size", n.alias("n"), F.array_min("hs").alias("low"),
                           F.when(n <= 127, _votes(8)).when(n <= 32767, _votes(16)).otherwise(_votes(32)).alias("sums"))
@@ -93,8 +98,8 @@ def _close(pairs: DataFrame, found: DataFrame, split: DataFrame, similarity: flo
     x, y = (texts.select(F.col("doc").alias(f"doc_{s}"), F.col("line").alias(f"line_{s}"), F.col("norm").alias(f"norm_{s}")) for s in "ab")
     limit = F.floor((1 - similarity) * F.greatest("size_a", "size_b")).cast("int")
     out = near.join(x, ["doc_a", "line_a"]).join(y, ["doc_b", "line_b"]).withColumn("most", limit)
-    out = scratch.put(out.filter(F.expr(
-        "case when levenshtein(norm_a, norm_b, cast(most / 10 as int)) >= 0 then true else levenshtein(norm_a, norm_b, most) >= 0 end")).select("a", "b"))
+    tries = " ".join(f"when most > {n} and levenshtein(norm_a, norm_b, {n}) >= 0 then true" for n in LIMITS)
+    out = scratch.put(out.filter(F.expr(f"case {tries} else levenshtein(norm_a, norm_b, most) >= 0 end")).select("a", "b"))
     scratch.drop(near, wanted, owners, texts)
     return out
 
