@@ -6,7 +6,6 @@ import math
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -103,50 +102,101 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return both.astype(np.int64)
 
 
+def _whole_groups(batches):
+    """Tables of whole groups from batches sorted by their first column, and the bounds of the groups."""
+    rest = None
+    for batch in batches:
+        if batch.num_rows:
+            table = pa.Table.from_batches([batch])
+            table = table if rest is None else pa.concat_tables([rest, table])
+            g = table.column(0).to_numpy()
+            at = int(np.searchsorted(g, g[-1]))
+            if at:
+                yield table.slice(0, at).combine_chunks(), _bounds(g[:at])
+            rest = table.slice(at)
+    if rest is not None:
+        yield rest.combine_chunks(), _bounds(rest.column(0).to_numpy())
+
+
+def _bounds(g: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1], [True]]))
+
+
+def _heads(rep: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each set of a group, the first of its class; all pairs of the group are compared."""
+    size = np.array([len(s) for s in sets])
+    if len(sets) == 2:
+        both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
+        return rep[[0, 0]] if 100 * both >= percent * (size.sum() - both) else rep
+    both = overlaps(sets)
+    i, j = np.nonzero(np.triu(100 * both >= percent * (size[:, None] + size[None, :] - both), 1))
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for x, y in zip(i.tolist(), j.tolist()):
+        u, v = find(x), find(y)
+        if u != v:
+            root[max(u, v)] = min(u, v)
+    return rep[[find(x) for x in range(len(sets))]]
+
+
 def _compare(percent: int):
-    """``(a, b)``: each set of a group and the first set of its class; all pairs of the group are compared."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates(["rep", "tokens"]).sort_values("rep")
-        ids = pdf["rep"].to_numpy()
-        sets = [np.frombuffer(raw, np.uint64) for raw in pdf["tokens"]]
-        size = np.array([len(s) for s in sets])
-        both = overlaps(sets)
-        i, j = np.nonzero(np.triu(100 * both >= percent * (size[:, None] + size[None, :] - both), 1))
-        root = list(range(len(sets)))
-
-        def find(x):
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
-        for x, y in zip(i.tolist(), j.tolist()):
-            u, v = find(x), find(y)
-            if u != v:
-                root[max(u, v)] = min(u, v)
-        head = np.array([find(x) for x in range(len(sets))], dtype=np.int64)
-        out = pd.DataFrame({"a": ids, "b": ids[head]})
-        return out[out["a"] != out["b"]]
+    """``(a, b)``: each set of a group ``(g, rep, tokens)`` and the first set of its class."""
+    def run(batches):
+        for table, bounds in _whole_groups(batches):
+            rep, tokens = table.column("rep").to_numpy(), table.column("tokens")
+            a, b = [], []
+            for low, high in zip(bounds, bounds[1:]):
+                rows = sorted({(int(rep[i]), tokens[int(i)].as_py()) for i in range(low, high)})
+                if len(rows) > 1:
+                    ids = np.array([r for r, _ in rows])
+                    a.append(ids)
+                    b.append(_heads(ids, [np.frombuffer(raw, np.uint64) for _, raw in rows], percent))
+            if a:
+                a, b = np.concatenate(a), np.concatenate(b)
+                yield pa.RecordBatch.from_pydict({"a": a[a != b], "b": b[a != b]})
     return run
 
 
+def _near(n: np.ndarray, keys: np.ndarray, other: np.ndarray, others: np.ndarray, percent: int, least: int) -> np.ndarray:
+    """Whether sets of ``n`` and ``other`` tokens fit in size and start on enough equal tokens."""
+    same = sum((keys[..., t] == others[..., t]).astype(np.int8) for t in range(keys.shape[-1]))
+    return (same >= least) & (100 * np.minimum(n, other) >= percent * np.maximum(n, other))
+
+
 def _agreeing(percent: int, least: int):
-    """Parts of a group that hold every pair with enough equal tokens and fitting sizes."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates(["rep", "n"])
-        n = pdf["n"].to_numpy()
-        keys = np.stack(pdf["keys"].to_numpy())
-        same = sum((keys[:, t][:, None] == keys[:, t][None, :]).astype(np.int8) for t in range(keys.shape[1]))
-        near = (same >= least) & (100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :]))
-        part = np.arange(len(n))
-        while True:
-            low = np.where(near, part[None, :], len(n)).min(1)
-            if (low >= part).all():
-                break
-            part = np.minimum(part, low)
-        size = np.bincount(part, minlength=len(n))
-        out = pd.DataFrame({"g": pdf["g"], "part": part, "rep": pdf["rep"]})
-        return out[size[part] > 1]
+    """Parts ``reps`` of the groups ``(g, rep, n, keys)`` that hold every pair with enough equal tokens and fitting sizes."""
+    def run(batches):
+        for table, bounds in _whole_groups(batches):
+            rep, n = table.column("rep").to_numpy(), table.column("n").to_numpy()
+            keys = table.column("keys").combine_chunks().flatten().to_numpy().reshape(len(n), -1)
+            size = np.diff(bounds)
+            two = bounds[:-1][size == 2]  # most groups: all at once
+            two = two[_near(n[two], keys[two], n[two + 1], keys[two + 1], percent, least) & (rep[two] != rep[two + 1])]
+            parts = [np.sort(np.stack([rep[two], rep[two + 1]], 1), 1).ravel()]
+            sizes = [2] * len(two)
+            for low, high in zip(bounds[:-1][size > 2], bounds[1:][size > 2]):
+                m, k = n[low:high], keys[low:high]
+                near = _near(m[:, None], k[:, None], m[None, :], k[None, :], percent, least)
+                part = np.arange(high - low)
+                while True:
+                    lowest = np.where(near, part[None, :], high - low).min(1)
+                    if (lowest >= part).all():
+                        break
+                    part = np.minimum(part, lowest)
+                order = np.argsort(part, kind="stable")
+                for rows in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+                    ids = np.unique(rep[low:high][rows]) if len(rows) > 1 else rows
+                    if len(ids) > 1:
+                        parts.append(ids)
+                        sizes.append(len(ids))
+            yield pa.RecordBatch.from_pydict({"reps": pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(np.concatenate(parts), pa.int64()))})
     return run
 
 
@@ -168,15 +218,19 @@ def _trees(percent: int) -> tuple[int, int]:
     return trees, max(1, least)
 
 
+def _sorted(rows: DataFrame) -> DataFrame:
+    """Rows of a group ``g`` one after another in one partition, so that a task reads many groups a batch."""
+    return rows.repartition("g").sortWithinPartitions("g")
+
+
 def _linked(groups: DataFrame, reps: DataFrame, held: list, plain: DataFrame, k: int, percent: int, least: int, scratch: Scratch,
             edges: DataFrame | None) -> DataFrame:
     """Adds the links found in ``groups (g, rep)``: first on start tokens and sizes, then on full sets.
 
     ``held`` collects tables of full sets; only sets that none of them has are made.
     """
-    parts = groups.join(reps, "rep").groupBy("g").applyInPandas(_agreeing(percent, least), "g long, part long, rep long")
-    parts = scratch.put(parts.groupBy("g", "part").agg(F.sort_array(F.collect_set("rep")).alias("reps")).select("reps").distinct().select(
-        F.xxhash64("reps").alias("g"), F.explode("reps").alias("rep")))
+    parts = _sorted(groups.join(reps, "rep").select("g", "rep", "n", "keys")).mapInArrow(_agreeing(percent, least), "reps array<long>")
+    parts = scratch.put(parts.distinct().select(F.xxhash64("reps").alias("g"), F.explode("reps").alias("rep")))
     wanted = parts.select(F.col("rep").alias("id")).distinct()
     for sets in held:
         wanted = wanted.join(sets.select(F.col("rep").alias("id")), "id", "left_anti")
@@ -186,7 +240,7 @@ def _linked(groups: DataFrame, reps: DataFrame, held: list, plain: DataFrame, k:
     if not held:
         return edges if edges is not None else scratch.put(groups.sparkSession.createDataFrame([], "a long, b long"))
     sets = reduce(DataFrame.unionAll, held)
-    found = scratch.put(parts.join(sets, "rep").groupBy("g").applyInPandas(_compare(percent), "a long, b long"))
+    found = scratch.put(_sorted(parts.join(sets, "rep").select("g", "rep", "tokens")).mapInArrow(_compare(percent), "a long, b long"))
     scratch.drop(parts, wanted)
     return found if edges is None else edges.unionAll(found)
 
