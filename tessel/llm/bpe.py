@@ -284,6 +284,21 @@ class Encoder:
         order = np.argsort(codes, kind="stable")
         self.codes, self.at = codes[order], at[order]
 
+    def places(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Where the ids of each pre-token stand in ``lists``; unknown ones are learned first."""
+        if len(self.codes) > REMEMBERED:
+            self.forget()
+        if not len(start):
+            return np.zeros(0, np.int64)
+        distinct, first, inverse = np.unique(pretoken_codes(data, start, end), return_index=True, return_inverse=True)
+        known = np.zeros(len(distinct), bool)
+        if len(self.codes):
+            i = np.minimum(np.searchsorted(self.codes, distinct), len(self.codes) - 1)
+            known = self.codes[i] == distinct
+        if not known.all():
+            self.learn(distinct[~known], data, start[first[~known]], end[first[~known]])
+        return self.at[np.searchsorted(self.codes, distinct)][inverse]
+
     def _merged(self, data, start, end) -> Lists:
         long = end - start > 256
         if not long.any():
@@ -308,17 +323,8 @@ class Encoder:
                 owner.append(d)
         plain = [p for p in pieces if not isinstance(p, int)]
         data, start, end, off = pretokens(plain)
-        if len(self.codes) > REMEMBERED:
-            self.forget()
-        code = pretoken_codes(data, start, end)
-        distinct, first, inverse = np.unique(code, return_index=True, return_inverse=True)
-        known = np.zeros(len(distinct), bool)
-        if len(self.codes):
-            i = np.minimum(np.searchsorted(self.codes, distinct), len(self.codes) - 1)
-            known = self.codes[i] == distinct
-        if not known.all():
-            self.learn(distinct[~known], data, start[first[~known]], end[first[~known]])
-        ids = self.lists.take(self.at[np.searchsorted(self.codes, distinct)][inverse] if len(code) else np.zeros(0, np.int64))
+        at = self.places(data, start, end)
+        ids = self.lists.take(at)
         lists = Lists(ids.flat, ids.off[off])
         if len(plain) == len(texts) == len(pieces):
             return lists
