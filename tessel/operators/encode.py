@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.ml import Transformer
 from pyspark.ml.feature import CountVectorizerModel, VectorAssembler, VectorSlicer
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
@@ -77,6 +76,9 @@ def keep_slots(indices: list[int], source: str, out: str = "features") -> list:
 def explode_vector(df: DataFrame, key: list[str], names: list[str], vector: str = "features") -> DataFrame:
     """``(key, feature, value)`` in long form, non-zero slots only."""
     labels = F.array(*[F.lit(n) for n in names])
-    pairs = F.explode(F.arrays_zip(labels.alias("feature"), vector_to_array(col(vector)).alias("value")))
-    return (df.select(*key, pairs.alias("p")).select(*key, "p.feature", "p.value")
-            .where(F.col("value") != 0))
+    # type 0 is sparse; of a dense vector every slot is looked at
+    made = df.withColumn("__v", F.unwrap_udt(col(vector))).select(*key, F.explode(F.arrays_zip(
+        F.when(F.col("__v.type") == 0, F.col("__v.indices")).otherwise(
+            F.sequence(F.lit(0), F.greatest(F.size("__v.values"), F.lit(1)) - 1)).alias("at"),
+        F.col("__v.values").alias("value"))).alias("p"))
+    return made.select(*key, F.get(labels, F.col("p.at")).alias("feature"), "p.value").where(F.col("value") != 0)

@@ -21,7 +21,7 @@ from tessel.functions.quantiles import quantile_report
 from tessel.operators import stages as st
 from tessel.operators.encode import assemble, keep_slots, one_hot, slot_names
 from tessel.operators.mutual import (
-    bin_of, information, joint_counts, level_information, quantile_edges, top_features)
+    bin_of, information, joint_counts, level_information, quantile_edges)
 from tessel.operators.roles import Roles, infer_roles
 
 MAX_SLOTS = 100_000
@@ -163,16 +163,17 @@ def fit_features(df: DataFrame, plan: FeaturePlan) -> FittedFeatures:
 
     tail = nums + list(added)
     names = slot_names(levels, ords, tail)
+    keys = [f"{i}_{v}" for i, c in enumerate(levels) for v in levels[c]] + [f"#{c}" for c in ords + tail]
     keep = list(range(len(names)))
     if plan.variance_threshold is not None:
         variance = _slot_variances(levels, kept, other, rows)
-        variance.update({c: spread[c] for c in ords + list(added)})
+        variance.update({f"#{c}": spread[c] for c in ords + list(added)})
         unit = rows / (rows - 1) if rows > 1 else 0.0
-        variance.update({c: unit if spread[c] > 0 else 0.0 for c in nums})
-        keep = [i for i in keep if variance[names[i]] > plan.variance_threshold]
+        variance.update({f"#{c}": unit if spread[c] > 0 else 0.0 for c in nums})
+        keep = [i for i in keep if variance[keys[i]] > plan.variance_threshold]
     if plan.k_best is not None and keep:
-        best = _best_slots(derived, plan, levels, kept, {**clean, **added}, [names[i] for i in keep])
-        keep = [i for i in keep if names[i] in best]
+        best = _best_slots(derived, plan, levels, kept, {**clean, **added}, [keys[i] for i in keep])
+        keep = [i for i in keep if keys[i] in best]
     whole = keep == list(range(len(names)))
     steps += assemble(bool(levels), ords, tail, "features" if whole else "all_features")
     steps += [] if whole else keep_slots(keep, "all_features")
@@ -237,32 +238,40 @@ def _scales(derived, exprs, nums):
 
 
 def _slot_variances(levels, kept, other, rows):
-    """Sample variance of every one-hot slot from its count."""
+    """Sample variance of every one-hot slot from its count, by ``<column number>_<level>``."""
     out = {}
-    for c, known in levels.items():
+    for i, (c, known) in enumerate(levels.items()):
         seen = dict(kept[c])
         if other[c]:
             seen[st.OTHER] = seen.get(st.OTHER, 0) + other[c]
         for v in known:
             p = seen[v] / rows
-            out[f"{c}_{v}"] = p * (1 - p) * rows / (rows - 1) if rows > 1 else 0.0
+            out[f"{i}_{v}"] = p * (1 - p) * rows / (rows - 1) if rows > 1 else 0.0
     return out
 
 
-def _best_slots(derived, plan, levels, kept, numbers, names):
-    """The ``k_best`` slots by mutual information with the target."""
-    k = min(plan.k_best, len(names))
-    measured = [c for c in numbers if c in names]
+def _best_slots(derived, plan, levels, kept, numbers, keys):
+    """The ``k_best`` slots by mutual information with the target, ties by name.
+
+    Keys are ``<column number>_<level>`` and ``#<number>``: names of slots may be equal, keys are not.
+    """
+    k = min(plan.k_best, len(keys))
+    measured = [c for c in numbers if f"#{c}" in set(keys)]
     table = derived.select(
         *[numbers[c].alias(c) for c in measured],
         *[e.alias(c) for c, e in st.grouped(kept, [c for c in levels]).items()],
         col(plan.target).cast("double").alias("__y"))
-    edges = quantile_edges(table, [*measured, "__y"], plan.mi_bins, exact=False)
+    edges = quantile_edges(table, [*measured, "__y"], plan.mi_bins, exact=plan.exact)
     y_bin = bin_of(F.col("__y"), edges["__y"])
     scores = None
     if measured:
-        scores = information(joint_counts(table, {c: bin_of(col(c), edges[c]) for c in measured}, y_bin))
+        found = information(joint_counts(table, {f"#{c}": bin_of(col(c), edges[c]) for c in measured}, y_bin))
+        scores = found.withColumn("name", F.expr("substring(feature, 2)"))
     if levels:
-        flags = level_information(joint_counts(table, {c: col(c) for c in levels}, y_bin))
+        found = level_information(joint_counts(table, {str(i): col(c) for i, c in enumerate(levels)}, y_bin))
+        number = F.substring_index("feature", "_", 1)
+        column = F.get(F.array(*[F.lit(c) for c in levels]), number.cast("int"))
+        flags = found.withColumn("name", F.concat(column, F.expr("substring(feature, length(substring_index(feature, '_', 1)) + 1)")))
         scores = flags if scores is None else scores.unionByName(flags)
-    return {r["feature"] for r in top_features(scores.where(F.col("feature").isin(names)), k).collect()}
+    best = scores.where(F.col("feature").isin(keys)).orderBy(F.desc("mi"), "name", "feature").limit(k)
+    return {r["feature"] for r in best.collect()}

@@ -173,3 +173,14 @@ def test_nan_in_a_plan_is_missing(spark):
     assert one.names == two.names and any("missing" in n for n in one.names)
     assert [r[0] for r in one.transform(given).orderBy("id").select("features").collect()] == [
         r[0] for r in two.transform(blank).orderBy("id").select("features").collect()]
+
+
+def test_slots_with_equal_names_stay_apart(spark):
+    rows = [(i, float(i % 2), "b_c" if i % 2 else "z", ("c", "d")[i // 2 % 2]) for i in range(80)]
+    df = spark.createDataFrame(rows, "id int, y double, a string, a_b string")
+    plan = FeaturePlan(key=["id"], target="y", min_freq=1, k_best=2)
+    assert sorted(fit_features(df, plan).names) == ["a_b_c", "a_z"]
+    every = fit_features(df, FeaturePlan(key=["id"], target="y", min_freq=1))
+    assert sorted(every.names) == ["a_b_c", "a_b_c", "a_b_d", "a_z"]
+    long = explode_vector(every.transform(df), ["id"], every.names)
+    assert long.count() == 160 and long.filter("feature = 'a_b_c'").count() == 80
