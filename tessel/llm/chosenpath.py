@@ -70,15 +70,32 @@ def _full_sets(k: int):
 
 
 def _branch(level: int, k: int):
+    """``(node, rep, keys)``: where the set of ``(id, t, nodes)`` goes below each of its nodes.
+
+    Every node has hashes of its own, so the paths of a pair in different nodes and trees are independent.
+    """
     def run(batches):
         for batch in batches:
+            held = batch.column(2)
+            all_nodes, at = held.values.to_numpy().view(np.uint64), held.offsets.to_numpy()
             for row, words in chunks(batch.column(1)):
                 codes, off = shingles(words, k)
-                low = _lowest(codes, off, _SEEDS[level, :WAYS])
                 n = len(off) - 1
+                nodes, mine = [], []
+                for d in range(n):
+                    own, here = codes[off[d]:off[d + 1]], all_nodes[at[row + d]:at[row + d + 1]] if off[d] < off[d + 1] else all_nodes[:0]
+                    low = np.zeros((len(here), WAYS), np.uint64)
+                    strip = max(1, (1 << 18) // max(1, len(own)))
+                    for way in range(WAYS):
+                        seeds = mix(here ^ _SEEDS[level, way])
+                        for i in range(0, len(here), strip):
+                            low[i:i + strip, way] = mix(own[None, :] ^ seeds[i:i + strip, None]).min(1)
+                    nodes.append(here)
+                    mine.append(low)
+                count = np.array([len(x) for x in nodes])
                 yield pa.RecordBatch.from_pydict({
-                    "rep": batch.column(0).slice(row, n),
-                    "keys": pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * WAYS, pa.int32()), low.ravel())})
+                    "node": np.concatenate(nodes).view(np.int64), "rep": batch.column(0).slice(row, n).take(pa.array(np.repeat(np.arange(n), count))),
+                    "keys": pa.ListArray.from_arrays(pa.array(np.arange(count.sum() + 1) * WAYS, pa.int32()), np.concatenate(mine).view(np.int64).ravel())})
     return run
 
 
@@ -257,8 +274,8 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     under the tree's hash. Nodes of up to LEAF sets are compared exhaustively. A larger node is compared in
     blocks that all hold its first set. If that leaves it in one class, it is done; if the sets outside its
     largest class fill half a leaf at most, they are compared with every block of that class; else the node
-    branches, each set to two further nodes, and so on. With two branches a pair at the threshold
-    survives any number of levels with odds near 0.97 a tree; there are as many trees as keep the
+    branches, each set to two further nodes by hashes of that node alone, and so on. With two branches a pair
+    at the threshold survives any number of levels with odds near 0.97 a tree; there are as many trees as keep the
     chance to miss it under MISS.
     """
     scratch = Scratch(docs.sparkSession, "paths")
@@ -316,12 +333,13 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         again = mixed.filter(~ends)
         if again.isEmpty():
             break
-        turn = scratch.put(keep_keys(plain, scratch.put(again.select(F.col("rep").alias("id")).distinct()), ["id"]).mapInArrow(
-            _branch(level, k), "rep long, keys array<long>"))
-        nodes = scratch.put(again.select("node", "rep", "n").join(turn, "rep").select(
+        where = scratch.put(again.groupBy(F.col("rep").alias("id")).agg(F.collect_set("node").alias("nodes")))
+        turn = scratch.put(keep_keys(plain, where.select("id"), ["id"]).join(where, "id").select("id", "t", "nodes").mapInArrow(
+            _branch(level, k), "node long, rep long, keys array<long>"))
+        nodes = scratch.put(again.select("node", "rep", "n").join(turn, ["node", "rep"]).select(
             "node", "rep", "n", F.posexplode("keys").alias("way", "token")).select(
             F.xxhash64("node", "way", "token").alias("node"), "rep", "n").distinct())
-        scratch.drop(mixed, turn)
+        scratch.drop(mixed, where, turn)
     scratch.drop(*held_sets)
     named = member.select("id", "rep").distinct()
     if edges is not None:

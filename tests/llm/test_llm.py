@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ import corpus_pipeline
 from checks.compare import difference, duck, spark_rows, sql_rows
 from tessel.llm import balltree, bpe, editcount, graph, pii, setscan, simline
 from tessel.llm import queries as q
-from tessel.llm.chosenpath import similar_classes
+from tessel.llm.chosenpath import LEVELS, _branch, similar_classes
 from tessel.llm.scratch import Scratch, reach
 from tessel.llm.simwindow import find_passages
 from tessel.llm.suffixtree import score_texts
@@ -180,6 +181,22 @@ def test_near_duplicates(spark, edge, empty, leaf, monkeypatch):
     assert similar_classes(empty).count() == 0
 
 
+def test_isolated_pairs_part_independently_in_each_node():
+    """Pairs at the threshold in 12 large mixed nodes: one that parts at both branches of a node stays together in others."""
+    rng = random.Random(8)
+    texts = []
+    for _ in range(1000):
+        drawn = rng.sample(range(200), 108)
+        texts += [" ".join(f"w{x}" for x in drawn[:100]), " ".join(f"w{x}" for x in drawn[8:])]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(2000), pa.int64()), "t": pa.array(texts),
+                                        "nodes": pa.array([list(range(-6, 6))] * 2000, pa.list_(pa.int64()))})
+    for level in range(1, LEVELS + 1):
+        path = {(r["node"], r["rep"]): r["keys"] for out in _branch(level, 1)([batch.slice(0, 700), batch.slice(700)]) for r in out.to_pylist()}
+        assert len(path) == 12 * 2000
+        together = np.array([[any(x == y for x, y in zip(path[node, i], path[node, i + 1])) for node in range(-6, 6)] for i in range(0, 2000, 2)])
+        assert together.any(1).all() and 0.96 < together.mean() < 0.99
+
+
 def test_op9_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in q.QUERIES["op9_chosen_path"](spark, SF).collect()}
