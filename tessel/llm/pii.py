@@ -16,8 +16,16 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
 _DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-#: Words that may be identifiers: letters or digits with a digit and at least six characters, perhaps joined by marks.
-_CANDIDATE = re.compile(r"[A-Za-z0-9][A-Za-z0-9_./:+-]*[A-Za-z0-9]")
+#: What may be an identifier: an address with an "at" of any spelling; six or more digits in groups, perhaps with blanks, brackets
+#: and "+"; a word of letters or digits with a digit and at least six characters, perhaps joined by marks.
+_CANDIDATE = re.compile(r"""
+    (?P<address>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}
+        (?:(?:@|\ ?[\[(]\ ?(?:at|AT|@)\ ?[\])]\ ?)[A-Za-z0-9-]+(?:(?:\.|\ ?[\[(]\ ?(?:dot|DOT|\.)\ ?[\])]\ ?|\ (?:dot|DOT)\ )[A-Za-z0-9-]+)*
+        |\ (?:at|AT|@)\ [A-Za-z0-9-]+(?:(?:\.|\ (?:dot|DOT)\ )[A-Za-z0-9-]+)+))
+    |(?P<digits>(?<![A-Za-z0-9])[+(]{0,2}[0-9](?:[\ ().+/-]{0,3}[0-9]){5,}(?![A-Za-z0-9_]))
+    |[A-Za-z0-9][A-Za-z0-9_./:+-]*[A-Za-z0-9]""", re.VERBOSE)
+#: Texts without a match hold neither seeds nor candidates.
+_ANY = r"[0-9@]|\b(?:at|AT)\b"
 _WORD_BEFORE, _WORD_AFTER = re.compile(r"(\S+)\s+$"), re.compile(r"\s+(\S+)")
 #: Rounds of pattern and instance scoring.
 ROUNDS = 3
@@ -67,38 +75,33 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def _shape(word: str) -> str:
-    """Runs of capitals, small letters and digits as A, a and 9; other marks stay."""
-    return re.sub(r"(.)\1+", r"\1", re.sub(r"[A-Z]", "A", re.sub(r"[0-9]", "9", re.sub(r"[a-z]", "a", word))))
+def _candidates(text: str, seeds: list[tuple[int, int, str]]):
+    """Bounds of what may be an identifier between the seeds and touches none of them."""
+    at = 0
+    for low, high in [(s[0], s[1]) for s in seeds] + [(len(text), len(text))]:
+        for m in _CANDIDATE.finditer(text, at, low) if at < low else ():
+            word = m.group()
+            if not m.lastgroup and (len(word) < 6 or not any(c.isdigit() for c in word)):
+                continue
+            if (at == 0 or m.start() > at) and (low == len(text) or m.end() < low):
+                yield m.span()
+        at = max(at, high)
 
 
 def mentions(text: str) -> list[tuple[int, int, str, str, str]]:
-    """``(start, end, kind or "", instance, pattern)`` of seeds and of identifier-like words.
+    """``(start, end, kind or "", instance, pattern)`` of seeds and of what may be an identifier.
 
-    The pattern is the shape of the mention between the words before and after it: a word once left and
-    once right, so every mention has two patterns, joined by a line feed.
+    A pattern is the word before or the word after a mention, and whether the mention has letters; its form
+    is no part of it. A mention has up to two patterns, joined by a line feed.
     """
     seeds = base_spans(text)
-    taken, held = 0, []
-    for a, b, kind in seeds:
-        held.append((a, b, kind))
-    at = 0
-    for m in _CANDIDATE.finditer(text):
-        word = m.group()
-        if len(word) < 6 or not any(c.isdigit() for c in word):
-            continue
-        while at < len(seeds) and seeds[at][1] <= m.start():
-            at += 1
-        if all(s[1] <= m.start() or s[0] >= m.end() for s in seeds[at:at + 8]):
-            held.append((m.start(), m.end(), ""))
     out = []
-    for a, b, kind in held:
+    for a, b, kind in [*seeds, *((a, b, "") for a, b in _candidates(text, seeds))]:
         before = _WORD_BEFORE.search(text[max(0, a - 48):a])
         after = _WORD_AFTER.match(text, b, b + 48)
-        shape = _shape(text[a:b])
-        left = before.group(1).lower() if before else ""
-        right = after.group(1).lower() if after else ""
-        out.append((a, b, kind, text[a:b], f"L {left} {shape}\nR {right} {shape}"))
+        letters = "a" if any(c.isalpha() for c in text[a:b]) else "9"
+        near = [f"{side} {m.group(1).lower()} {letters}" for side, m in (("L", before), ("R", after)) if m]
+        out.append((a, b, kind, text[a:b], "\n".join(near)))
     return out
 
 
@@ -115,7 +118,7 @@ def _mentions(batches):
 
 
 def _maybe(text: str) -> bool:
-    return "@" in text or re.search("[0-9]", text) is not None
+    return re.search(_ANY, text) is not None
 
 
 def learn(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -125,7 +128,7 @@ def learn(docs: DataFrame, scratch: Scratch) -> DataFrame:
     distinct instances (0 for unknown ones), an instance's the largest over its patterns.
     """
     found = docs.mapInArrow(_mentions, "row long, start int, stop int, kind string, instance string, pattern string")
-    edges = found.select("kind", "instance", F.explode(F.split("pattern", "\n")).alias("pattern")).distinct()
+    edges = found.select("kind", "instance", F.explode(F.split("pattern", "\n")).alias("pattern")).filter("pattern <> ''").distinct()
     edges = scratch.put(edges.select("kind", "pattern", F.xxhash64("instance").alias("instance")).distinct())
     seeds = edges.filter("kind <> ''").select("instance", "kind", F.lit(1.0).alias("c")).distinct()
     graph = edges.select("pattern", "instance").distinct()
@@ -157,7 +160,7 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "pii")
     plain = docs.select(F.col(f"`{key}`").alias("id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("t"))
-    coded = plain.select(F.col("id").cast("long").alias("row"), "t").filter("t rlike '[0-9@]'")
+    coded = plain.select(F.col("id").cast("long").alias("row"), "t").filter(F.col("t").rlike(_ANY))
     found = coded.mapInArrow(_mentions, "row long, start int, stop int, kind string, instance string, pattern string")
     patterns = learn(coded, scratch)
     more = found.filter("kind = ''").select("row", "start", "stop", F.explode(F.split("pattern", "\n")).alias("pattern"))

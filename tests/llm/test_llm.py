@@ -293,6 +293,18 @@ def test_personal_data(spark, edge, empty):
     assert pii.find(edge).count() == 12 and pii.find(empty).count() == 0
 
 
+def test_unseen_identifiers_in_recurring_contexts(spark):
+    rows = [(i, f"mail a{i}@b.org now") for i in range(30)] + [(100 + i, f"call +1 555 010 {i:04d} today") for i in range(30)]
+    unseen = ["mail user77at now", "mail bob at x.org now", "mail bob@localhost now", "call 555-123-4567 today", "call (555) 123-9876 today",
+              "call 00 49 30 1234567 today", "see (555) 123-9876 there", "see user99at there"]
+    rows += [(200 + i, t) for i, t in enumerate(unseen)]
+    got = {r["doc_id"]: r["spans"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == "email:5:13" and got[100] == "phone:5:20"
+    want = [("email", "user77at"), ("email", "bob at x.org"), ("email", "bob@localhost"), ("phone", "555-123-4567"), ("phone", "(555) 123-9876"),
+            ("phone", "00 49 30 1234567")]
+    assert [got[200 + i] for i in range(8)] == [f"like_{k}:5:{5 + len(w)}" for k, w in want] + ["", ""]
+
+
 def test_toxicity(spark, edge, empty):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
