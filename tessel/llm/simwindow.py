@@ -74,7 +74,7 @@ def weighted(a: np.ndarray, b: np.ndarray) -> float:
 class Items:
     def __init__(self, ids: list[int], texts: list[str], similarity: float):
         self.similarity = similarity
-        self.seen: dict[bytes, list] = {}
+        self.seen: dict[tuple[int, bytes], list] = {}
         self.by_size: dict[int, tuple[np.ndarray, np.ndarray, Blocks]] = {}
         held: dict[int, list] = {}
         for i, text in zip(ids, texts):
@@ -115,7 +115,14 @@ class Items:
                 total = np.cumsum(mine)
                 for size in self.by_size:
                     n = size - k + 1
-                    if min(SHINGLE, size) != k or b - a < size:
+                    if min(SHINGLE, size) != k:
+                        continue
+                    if b - a < size:  # the whole text is the only window
+                        short = b - a - k + 1
+                        if short >= self.similarity * n - 1e-9 and total[short] >= math.ceil(
+                                self.similarity / (1 + self.similarity) * (n + short) - 1e-9):
+                            for item, found in self.matches(size, run[a:a + short]):
+                                yield d, item, 0, b - a, found
                         continue
                     # windows with fewer benchmark shingles than any window at the threshold has
                     need = math.ceil(2 * self.similarity / (1 + self.similarity) * n - 1e-9)
@@ -125,7 +132,7 @@ class Items:
 
     def matches(self, size: int, window: np.ndarray) -> list[tuple[int, float]]:
         """Items of ``size`` words that a window reaches the threshold with; passages recur, so results are remembered."""
-        key = window.tobytes()
+        key = size, window.tobytes()
         if key not in self.seen:
             if len(self.seen) >= REMEMBERED:
                 self.seen.clear()
@@ -158,7 +165,7 @@ def find_passages(docs: DataFrame, items: DataFrame, similarity: float = 0.8, ke
                   item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """``(key, item_id, start_word, n_words, similarity)``: the best window of each document for each item.
 
-    Windows have as many words as the item; shingles have five words (all of them in a shorter item), and
+    Windows have as many words as the item, or all words of a shorter document; shingles have five words (all of them in a shorter item), and
     similarity is their weighted Jaccard. Ties go to the first window. Null and wordless texts and items
     match nothing; repeated rows give repeated results; a null item key is left out. Documents are read once
     for every ITEMS items or ITEM_CHARS characters of them, each time with a bounded index.

@@ -214,6 +214,17 @@ def test_passages(spark, edge, empty):
     assert find_passages(empty, items).count() == 0 and find_passages(docs, items.limit(0)).count() == 0
 
 
+def test_document_shorter_than_its_item(spark):
+    item = [f"b{i}" for i in range(40)]
+    items = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(item[:36]) + " x y")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, " ".join(item[:36])), (2, " ".join(item[3:])), (3, " ".join(item[:30])), (4, "b1 b2"),
+                                  (5, " ".join(item[:34]) + " q r")], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["start_word"], r["n_words"], round(r["similarity"], 3)) for r in find_passages(docs, items).collect()}
+    sets, wanted = shingle_sets(docs.collect()), shingle_sets(items.collect())
+    part = {(d, i): len(sets[d] & wanted[i]) / len(sets[d] | wanted[i]) for d in sets for i in wanted}
+    assert got == {x: (0, len(sets[x[0]]) + 4, round(v, 3)) for x, v in part.items() if v >= 0.8} and (1, 1) in got and (2, 1) in got
+
+
 def test_op2_query(spark):
     sets = shingle_sets([tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()])
     items = shingle_sets([tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()])
