@@ -50,11 +50,18 @@ class Template:
         tails = "|".join(_literal(m[1:]) for m in self.controls())
         return f"([{heads}]){stuffed}({_literal(self.stuffing)}*)({tails})"
 
+    def _where(self, text: Column, replaced: Column) -> Column:
+        """Most texts hold no opening bracket and need no pattern."""
+        found = F.lit(False)
+        for head in sorted({m[0] for m in self.controls()}):
+            found = found | text.contains(head)
+        return F.when(found, replaced).otherwise(text)
+
     def escape(self, text: Column) -> Column:
-        return F.regexp_replace(text, self._pattern(""), "$1" + self.stuffing.replace("\\", r"\\") + "$2$3")
+        return self._where(text, F.regexp_replace(text, self._pattern(""), "$1" + self.stuffing.replace("\\", r"\\") + "$2$3"))
 
     def unescape(self, text: Column) -> Column:
-        return F.regexp_replace(text, self._pattern(_literal(self.stuffing)), "$1$2$3")
+        return self._where(text, F.regexp_replace(text, self._pattern(_literal(self.stuffing)), "$1$2$3"))
 
     def segments(self, role: Column, text: Column) -> Column:
         """One turn as pieces of output, each with whether it counts for the loss."""
@@ -71,9 +78,11 @@ class Template:
 
     def parse(self, formatted: Column) -> Column:
         """Turns ``(role, text)`` read back from a formatted conversation."""
-        ends = "|".join(_literal(m.strip()) for m in (*(a for _, _, a in self.turns), self.other[2]))
+        closing = [m.strip() for m in (*(a for _, _, a in self.turns), self.other[2])]
+        ends = "|".join(map(_literal, closing))
+        last = "".join(sorted({_literal(m[-1]) for m in closing}))
         body = F.substr(formatted, F.lit(len(self.begin) + 1))
-        pieces = F.filter(F.split(body, f"(?<={ends})"), lambda p: p != "")
+        pieces = F.filter(F.split(body, f"(?<=[{last}])(?<={ends})"), lambda p: p != "")
 
         def turn(p):
             def inner(before, after):
@@ -169,21 +178,25 @@ def format_trees(turns: DataFrame, links: DataFrame, tree: str, node: str, role:
     total = sizes.agg(F.sum("count")).first()[0] or 0
     # 1 / HOT_SHARE rows at most
     hot = F.broadcast(scratch.put(sizes.filter(F.col("count") >= max(HOT_ROWS, HOT_SHARE * total)).select("tree")))
-    held = turns.select(_key(tree).alias("tree"), _key(node).alias("node"), F.col(f"`{tree}`").alias("__tree"),
-                        F.coalesce(F.col(f"`{role}`").cast("string"), F.lit("")).alias("role"),
-                        F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
-    # both sides dealt by tree: the join and the grouping need no other shuffle of the texts
-    near = held.join(hot, "tree", "left_anti").repartition("tree").join(chosen.join(hot, "tree", "left_anti").repartition("tree"), ["tree", "node"])
-    out = _assemble(near, template, tree)
+    turn = F.struct(F.coalesce(F.col(f"`{role}`").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    step = F.struct("leaf", "up", "rank", "branch_score")
+    held = (turns.select(_key(tree).alias("tree"), _key(node).alias("node"), F.col(f"`{tree}`").alias("__tree"), turn.alias("turn"))
+            .unionByName(chosen.select("tree", "node", step.alias("step")), allowMissingColumns=True))
+    # dealt by tree, so that both groupings need no other shuffle of the texts
+    out = _assemble(held.join(hot, "tree", "left_anti").repartition("tree"), template, tree)
     if not hot.isEmpty():
-        out = out.unionByName(_assemble(held.join(hot, "tree", "left_semi").join(chosen, ["tree", "node"]), template, tree))
+        out = out.unionByName(_assemble(held.join(hot, "tree", "left_semi"), template, tree))
     return out
 
 
-def _assemble(found: DataFrame, template: Template, tree: str) -> DataFrame:
-    place = F.struct((-F.col("up")).alias("place"), "role", "text")
-    held = found.groupBy("tree", "leaf").agg(F.first("__tree").alias("__tree"), F.first("rank").alias("rank"), F.first("branch_score").alias("branch_score"),
-                                             F.array_sort(F.collect_list(place)).alias("__turns"))
+def _assemble(held: DataFrame, template: Template, tree: str) -> DataFrame:
+    nodes = held.groupBy("tree", "node").agg(F.first("__tree", ignorenulls=True).alias("__tree"), F.collect_list("turn").alias("said"),
+                                             F.collect_list("step").alias("steps"))
+    place = F.struct((-F.col("step.up")).alias("place"), F.array_sort("said").alias("said"))
+    held = (nodes.select("tree", "__tree", "said", F.explode("steps").alias("step")).groupBy("tree", F.col("step.leaf").alias("leaf"))
+            .agg(F.first("__tree", ignorenulls=True).alias("__tree"), F.first("step.rank").alias("rank"), F.first("step.branch_score").alias("branch_score"),
+                 F.array_sort(F.collect_list(place)).alias("__places"))
+            .withColumn("__turns", F.flatten(F.transform("__places", lambda p: p["said"]))))
     segments = F.concat(F.array(F.struct(F.lit(template.begin).alias("text"), F.lit(False).alias("loss"))),
                         F.flatten(F.transform("__turns", lambda t: template.segments(t["role"], t["text"]))))
     return (held.withColumn("segments", segments)
