@@ -12,6 +12,7 @@ from tessel.llm import bpe, pii, setscan
 from tessel.llm.balltree import exact_topk
 from tessel.llm.chosenpath import similar_classes
 from tessel.llm.editcount import count_edits
+from tessel.llm.phrases import collocations
 from tessel.llm.replytree import chain_links, format_trees, read_back
 from tessel.llm.scratch import SMALL_KEYS, reach
 from tessel.llm.simline import removed_lines
@@ -177,3 +178,25 @@ def op11_reply_trees(spark, sf_dir):
     return made.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(turns, ""), 256).alias("turns_sha256"),
                        F.length("trained").cast("long").alias("loss_chars"), F.sha2("trained", 256).alias("loss_sha256"),
                        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query("""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+                  unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM p),
+g AS (SELECT lang, unnest(flatten(list_transform(range(1, 6), lambda k: list_transform(range(0, greatest(len(w) - k + 1, 0)), lambda i: w[i + 1:i + k])))) AS ph FROM w),
+f AS (SELECT lang, ph, len(ph) AS m, count(*) AS f FROM g GROUP BY 1, 2 HAVING count(*) >= 100),
+t AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY 1),
+longer AS (SELECT lang, ph[1:m - 1] AS ph, f FROM f WHERE m > 2 UNION SELECT lang, ph[2:m] AS ph, f FROM f WHERE m > 2),
+c AS (SELECT lang, ph, m, f FROM f WHERE m > 1 AND NOT EXISTS (SELECT 1 FROM longer x WHERE x.lang = f.lang AND x.ph = f.ph AND x.f >= f.f)),
+k AS (SELECT lang, ph, m, f, unnest(range(1, m)) AS k FROM c),
+s AS (SELECT k.lang, k.ph, k.f AS a, k.k, l.f AS l, r.f AS r, t.n, (1000::HUGEINT * k.f * t.n) // (l.f::HUGEINT * r.f) AS score
+      FROM k JOIN f l ON l.lang = k.lang AND l.ph = k.ph[1:k.k] JOIN f r ON r.lang = k.lang AND r.ph = k.ph[k.k + 1:k.m] JOIN t ON t.lang = k.lang),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, ph ORDER BY score, k) AS place FROM s),
+o AS (SELECT *, array_to_string(ph, ' ') AS phrase FROM b WHERE place = 1),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM z WHERE rank <= 2000
+""")
+def op12_phrase_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))
