@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessel.llm import bpe, pii, setscan
+from tessel.llm.alignment import align
 from tessel.llm.balltree import exact_topk
 from tessel.llm.chosenpath import similar_classes
 from tessel.llm.editcount import count_edits
@@ -200,3 +201,8 @@ SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT
 """)
 def op12_phrase_collocations(spark, sf_dir):
     return collocations(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_token_alignment(spark, sf_dir):
+    return align(table(spark, sf_dir, "documents"), tokenizer_path(), public_tokenizers.path("piece_bpe_32k.model"))
