@@ -149,8 +149,15 @@ def bitmap(codes: DataFrame, column: str):
     return codes.sparkSession.sparkContext.broadcast(Bitmap(bits, {r["part"]: bytes(r["held"]) for r in rows}))
 
 
+def _pair_codes(batches):
+    for batch in batches:
+        a, b = (batch.column(j).to_numpy().view(np.uint64) for j in (0, 1))
+        yield pa.RecordBatch.from_arrays([_signed(pair_code(a, b))], names=["code"])
+
+
 def _combined(width: int, emit):
-    """``emit(pieces)`` gives rows of ``width`` keys and one code a row; equal rows of a task become one."""
+    """``emit(pieces)`` gives rows of ``width`` keys and one code a row; equal rows of a task become one, without
+    the code: it cannot be compressed, and keys give it back."""
     def run(batches):
         def flush():
             code, first, inverse = np.unique(np.concatenate(codes), return_index=True, return_inverse=True)
@@ -158,9 +165,9 @@ def _combined(width: int, emit):
             kept = np.concatenate(rows)[first]
             return code, kept, n
 
-        def batch_of(code, kept, n):
-            arrays = [*(_signed(np.ascontiguousarray(kept[:, j])) for j in range(width)), _signed(code), pa.array(n)]
-            return pa.RecordBatch.from_arrays(arrays, names=[*KEYS[:width], "code", "n"])
+        def batch_of(kept, n):
+            arrays = [*(_signed(np.ascontiguousarray(kept[:, j])) for j in range(width)), pa.array(n)]
+            return pa.RecordBatch.from_arrays(arrays, names=[*KEYS[:width], "n"])
 
         codes, rows, counts, size = [], [], [], 0
         for batch in batches:
@@ -174,12 +181,12 @@ def _combined(width: int, emit):
                 if size > 4 * HELD:
                     code, kept, n = flush()
                     if len(code) > HELD:
-                        yield batch_of(code, kept, n)
+                        yield batch_of(kept, n)
                         codes, rows, counts, size = [], [], [], 0
                     else:
                         codes, rows, counts, size = [code], [kept], [n], len(code)
         if size:
-            yield batch_of(*flush())
+            yield batch_of(*flush()[1:])
     return run
 
 
@@ -286,10 +293,10 @@ def candidates(docs: DataFrame, lang: str = "lang", text: str = "text", least: i
     texts = docs.select(F.col(f"`{lang}`").cast("string"), F.col(f"`{text}`").cast("string"))
     words = scratch.put(texts.mapInArrow(_words, "key long, lang string, word string, n long").groupBy("key", "lang", "word").agg(F.sum("n").alias("n")))
     frequent = bitmap(words.filter(F.col("n") >= least), "key")
-    pairs = scratch.put(texts.mapInArrow(_pairs(frequent), "k1 long, k2 long, code long, n long").groupBy("k1", "k2", "code").agg(F.sum("n").alias("a"))
+    pairs = scratch.put(texts.mapInArrow(_pairs(frequent), "k1 long, k2 long, n long").groupBy("k1", "k2").agg(F.sum("n").alias("a"))
                         .filter(F.col("a") >= least))
-    linked = bitmap(pairs, "code")
-    suffixes = scratch.put(texts.mapInArrow(_suffixes(linked), ", ".join(f"{k} long" for k in KEYS) + ", code long, n long").drop("code"))
+    linked = bitmap(pairs.select("k1", "k2").mapInArrow(_pair_codes, "code long"), "code")
+    suffixes = scratch.put(texts.mapInArrow(_suffixes(linked), ", ".join(f"{k} long" for k in KEYS) + ", n long"))
     longer = _dealt(suffixes, scratch).mapInArrow(_read_tree(least), ", ".join(f"{k} long" for k in KEYS) + ", a long")
     none = [F.lit(0).cast("long").alias(k) for k in KEYS[2:]]
     found = scratch.put(pairs.select("k1", "k2", *none, "a").unionByName(longer))
