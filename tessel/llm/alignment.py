@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass, fields
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tessel.llm.bpe import Encoder, Lists, groups, pretoken_codes
+from tessel.llm.bpe import Encoder, Lists, groups, pretoken_codes, pretokens
 from tessel.llm.scratch import Scratch
 
 #: Bytes of a range; texts above this are dealt to tasks range by range.
@@ -29,7 +30,7 @@ RANGE = 1 << 16
 #: Fragments composed by one step of the tree reduction.
 FAN = 16
 #: Units a worker remembers, and the most frequent id pairs that are sent to all workers (18 MB).
-REMEMBERED, SENT = 400_000, 1 << 20
+REMEMBERED, SENT = 600_000, 1 << 20
 #: A pair of ids in one number.
 SHIFT = 20
 _EMPTY = np.zeros(0, np.int64)
@@ -69,7 +70,7 @@ class Fragment:
 
     @staticmethod
     def of(a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_end: np.ndarray, bad: bool = False) -> "Fragment":
-        common = np.intersect1d(a_end, b_end, assume_unique=True)
+        _, common = _ends(a_end, b_end)
         if not len(common):
             return Fragment(0, a, a_end, b, b_end, "", 0, 0, 0, _EMPTY, _EMPTY, *[_EMPTY] * 4, bad)
         cut_a, cut_b = np.searchsorted(a_end, common, "right"), np.searchsorted(b_end, common, "right")
@@ -114,9 +115,16 @@ _TYPES = {"int": "long", "str": "string", "bool": "boolean", "np.ndarray": "arra
 _FRAGMENT = [(f.name, _TYPES[f.type]) for f in fields(Fragment)]
 
 
+def _ends(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All ends in order, and those that both have."""
+    both = np.sort(np.concatenate([a_end, b_end]), kind="stable")
+    twice = both[1:] == both[:-1]
+    return both[np.append(~twice, True)] if len(both) else both, both[1:][twice]
+
+
 def links(a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_end: np.ndarray) -> np.ndarray:
     """Id pairs of all overlapping tokens. Between two neighbouring ends lies exactly one overlap of one pair."""
-    ends = np.union1d(a_end, b_end)
+    ends, _ = _ends(a_end, b_end)
     return a[np.searchsorted(a_end, ends)] << SHIFT | b[np.searchsorted(b_end, ends)]
 
 
@@ -129,7 +137,8 @@ def spelled(a: np.ndarray, cut_a: np.ndarray, b: np.ndarray, cut_b: np.ndarray)
 class Pair:
     """Both tokenizers, and the fragments of the units a worker has met."""
 
-    def __init__(self, first: str, second: str):
+    def __init__(self, first: str, second: str, spell: bool):
+        self.spell = spell
         self.a = Encoder(first, None)
         self.a.model.specials = {}  # their strings are plain text here
         self.b = sentencepiece.SentencePieceProcessor(model_file=second)
@@ -145,10 +154,9 @@ class Pair:
         self.forget()
 
     def forget(self) -> None:
-        none = Lists(_EMPTY, np.zeros(1, np.int64))
-        self.codes, self.at = np.zeros(0, np.uint64), _EMPTY
-        self.ids_a, self.ids_b, self.pairs, self.text = none, none, none, []
-        self.n_groups, self.bad = _EMPTY, np.zeros(0, bool)
+        self.codes, self.at, self.text = np.zeros(0, np.uint64), _EMPTY, []
+        self.sizes, self.bad = np.zeros((3, 0), np.int64), np.zeros(0, bool)  # tokens of each kind and groups
+        self.pairs = Lists(_EMPTY, np.zeros(1, np.int64))
 
     def units(self, joined: bytes, size: list[int]):
         """Where the units of texts of these sizes, laid end to end, start and end, and the first unit of each."""
@@ -176,46 +184,50 @@ class Pair:
             self.learn(distinct[~known], [data[a:b].tobytes() for a, b in zip(start[new].tolist(), end[new].tolist())])
         return self.at[np.searchsorted(self.codes, distinct)][inverse]
 
-    def learn(self, codes: np.ndarray, units: list[bytes]) -> None:
-        a = self.a.encode_many(units)
+    def encode(self, units: list[bytes]) -> tuple[Lists, Lists, np.ndarray]:
+        """Ids of both kinds for whole units, and which units the second one does not spell."""
+        data, start, end, off = pretokens(units)
+        _, first, inverse = np.unique(pretoken_codes(data, start, end), return_index=True, return_inverse=True)
+        ids = self.a._merged(data, start[first], end[first]).take(inverse) if len(first) else Lists(_EMPTY, np.zeros(1, np.int64))
+        a = Lists(ids.flat, ids.off[off])
         got = self.b.encode([(u[1:] if u[:1] == b" " else u).decode() for u in units], num_threads=1)
         got = [(g or [self.blank]) if u[:1] == b" " else g[1:] if g[:1] == [self.blank] else None for g, u in zip(got, units)]
-        bad = np.array([g is None for g in got])
-        b = Lists(np.array([i for g in got if g for i in g], np.int64), np.concatenate([[0], np.cumsum([len(g or ()) for g in got])]).astype(np.int64))
+        bad = np.array([g is None for g in got], bool)
+        size = np.array([len(g or ()) for g in got], np.int64)
+        b = Lists(np.fromiter(chain.from_iterable(g for g in got if g), np.int64, int(size.sum())), np.concatenate([[0], np.cumsum(size)]))
         size = np.array(list(map(len, units)), np.int64)
         base = np.concatenate([[0], np.cumsum(size)])
         spelt = self.b_bytes.take(b.flat)
         long = np.diff(spelt.off[b.off]) != size
-        bad |= long
         if not long.any():
             off = np.flatnonzero(spelt.flat != np.frombuffer(b"".join(units), np.uint8))
             bad[np.searchsorted(base, off, "right") - 1] = True
         else:
             joined, at = spelt.flat.tobytes(), spelt.off[b.off].tolist()
             bad |= np.array([joined[x:y] != u for x, y, u in zip(at, at[1:], units)])
-        fine = np.flatnonzero(~bad)
+        return a, b, bad
+
+    def learn(self, codes: np.ndarray, units: list[bytes]) -> None:
+        a, b, bad = self.encode(units)
+        fine, off = np.flatnonzero(~bad), np.flatnonzero(bad)
         fa, fb = a.take(fine), b.take(fine)
         a_end, b_end = np.cumsum(self.a_size[fa.flat]), np.cumsum(self.b_size[fb.flat])
         # one range over all new units: the end of each is a common offset
-        common = np.intersect1d(a_end, b_end, assume_unique=True)
-        cut_a, cut_b = (np.concatenate([[0], np.searchsorted(e, common, "right")]) for e in (a_end, b_end))
-        text = spelled(fa.flat, cut_a, fb.flat, cut_b)
-        stop = np.cumsum(size[fine])
-        n_links = np.searchsorted(np.union1d(a_end, b_end), stop, "right")
-        n_groups = np.searchsorted(common, stop, "right")
-        held = Lists(links(fa.flat, a_end, fb.flat, b_end) if len(fine) else _EMPTY, np.concatenate([[0], n_links]))
-        groups_at = np.concatenate([[0], n_groups])
-        place = np.full(len(units), -1)
-        place[fine] = np.arange(len(fine))
-        base, order = len(self.text), np.concatenate([fine, np.flatnonzero(bad)])
-        self.ids_a, self.ids_b = self.ids_a.plus(a.take(order)), self.ids_b.plus(b.take(order))
-        self.pairs = self.pairs.plus(Lists(held.flat, np.concatenate([held.off, np.full(bad.sum(), held.off[-1])])))
-        cut = groups_at.tolist()
-        self.text += [";".join(text[x:y]) for x, y in zip(cut, cut[1:])] + [""] * int(bad.sum())
-        self.n_groups = np.concatenate([self.n_groups, np.diff(groups_at), np.zeros(bad.sum(), np.int64)])
-        self.bad = np.concatenate([self.bad, bad[order]])
+        every, common = _ends(a_end, b_end)
+        stop = np.cumsum(np.array(list(map(len, units)), np.int64)[fine])
+        groups_at = np.concatenate([[0], np.searchsorted(common, stop, "right")])
+        if self.spell:
+            cut_a, cut_b = (np.concatenate([[0], np.searchsorted(e, common, "right")]) for e in (a_end, b_end))
+            text, cut = spelled(fa.flat, cut_a, fb.flat, cut_b), groups_at.tolist()
+            self.text += [text[x] if y == x + 1 else ";".join(text[x:y]) for x, y in zip(cut, cut[1:])] + [""] * len(off)
+        links_at = np.concatenate([[0], np.searchsorted(every, stop, "right")])
+        self.pairs = self.pairs.plus(Lists(links(fa.flat, a_end, fb.flat, b_end), np.concatenate([links_at, np.full(len(off), links_at[-1])])))
+        none = np.zeros(len(off), np.int64)
+        base = len(self.bad)
+        self.sizes = np.concatenate([self.sizes, [np.append(np.diff(x), none) for x in (fa.off, fb.off, groups_at)]], axis=1)
+        self.bad = np.concatenate([self.bad, np.zeros(len(fine), bool), np.ones(len(off), bool)])
         at = np.empty(len(units), np.int64)
-        at[order] = base + np.arange(len(units))
+        at[np.concatenate([fine, off])] = base + np.arange(len(units))
         codes, at = np.concatenate([self.codes, codes]), np.concatenate([self.at, at])
         by = np.argsort(codes, kind="stable")
         self.codes, self.at = codes[by], at[by]
@@ -224,11 +236,13 @@ class Pair:
 _PAIRS: dict[tuple, Pair] = {}
 
 
-def _pair(first: str, second: str) -> Pair:
-    if (first, second) not in _PAIRS:
+def _pair(first: str, second: str, spell: bool = False) -> Pair:
+    """One per worker: later tasks of the same kind find its tables. ``spell`` keeps the groups of units as text."""
+    key = first, second, spell
+    if key not in _PAIRS:
         _PAIRS.clear()
-        _PAIRS[first, second] = Pair(first, second)
-    return _PAIRS[first, second]
+        _PAIRS[key] = Pair(*key)
+    return _PAIRS[key]
 
 
 def _sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -236,9 +250,9 @@ def _sums(values: np.ndarray, off: np.ndarray) -> np.ndarray:
     return total[off[1:]] - total[off[:-1]]
 
 
-def _short(first: str, second: str, batches):
+def _short(first: str, second: str, batches, spell: bool = False):
     """``(batch slice, pair tables, unit places, first unit of each text, texts without tokens)``."""
-    pair = _pair(first, second)
+    pair = _pair(first, second, spell)
     for batch in batches:
         for at, texts in groups(batch.column(batch.num_columns - 1)):
             data, start, end, off = pair.units(b" " + b" ".join(texts), [len(t) + 1 for t in texts])
@@ -286,14 +300,14 @@ def _digest(first: str, second: str, sent):
     def run(batches):
         context, row = TaskContext.get().partitionId() << 40, 0
         pair_codes, counts, best = sent.value
-        for part, pair, place, off, none in _short(first, second, batches):
+        for part, pair, place, off, none in _short(first, second, batches, True):
             used, at = np.unique(place, return_inverse=True)
             held = pair.pairs.take(used)
             i = np.minimum(np.searchsorted(pair_codes, held.flat), max(len(pair_codes) - 1, 0))
             known = pair_codes[i] == held.flat if len(pair_codes) else np.zeros(len(held.flat), bool)
             live = ~none
             columns = [_sums(x[at], off) * live for x in (
-                np.diff(pair.ids_a.off)[used], np.diff(pair.ids_b.off)[used], pair.n_groups[used], np.diff(held.off),
+                *pair.sizes[:, used], np.diff(held.off),
                 _sums(np.where(known, best[i], 0) if len(pair_codes) else np.zeros(len(held.flat), np.int64), held.off),
                 _sums(np.where(known, counts[i], 0) if len(pair_codes) else np.zeros(len(held.flat), np.int64), held.off))]
             cut, where = off.tolist(), place.tolist()
@@ -348,12 +362,11 @@ def _fragments(first: str, second: str):
                 low, high, base, held = (batch.column(j)[i].as_py() for j in range(batch.num_columns - 4, batch.num_columns))
                 # whole units of the text, so the stretch is cut as the text was
                 data, start, end, _ = pair.units(held, [len(held)])
-                place = pair.places(data, start, end)
-                a, b = pair.ids_a.take(place).flat, pair.ids_b.take(place).flat
+                a, b, off = pair.encode([held[x:y] for x, y in zip(start.tolist(), end.tolist())])
+                a, b, bad = a.flat, b.flat, bool(off.any())
                 a_end, b_end = base + np.cumsum(pair.a_size[a]), base + np.cumsum(pair.b_size[b])
                 x, y = np.searchsorted(a_end, [low, high], "right")
                 p, q = np.searchsorted(b_end, [low, high], "right")
-                bad = bool(pair.bad[place].any())
                 made = Fragment.of(a[x:y], a_end[x:y], b[p:q], b_end[p:q]) if not bad else Fragment.of(*[_EMPTY] * 4, True)
                 yield _record(names, [batch.column(j).slice(i, 1) for j in range(len(names))], made)
     return run
