@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -11,6 +12,9 @@ from checks.views import (
 from tessel.operators import stages as st
 from tessel.operators.encode import HOT, assemble, explode_vector, one_hot, slot_names
 from tessel.operators.mutual import mutual_info, top_features
+from tessel.plans.features import FeaturePlan, fit_features
+from tessel.session import new_path
+from tessel.sources.sinks import load_model, run_report, save_model
 
 
 @query("ordinal_map", """
@@ -212,3 +216,56 @@ def mutual_info_rank(spark, sf_dir):
     return top_features(scores, 3).select("feature", F.round("mi", 7).alias("mi"))
 
 
+
+
+# --- levels by the thousand: dictionaries stored as tables, and kept in saved models ---------
+
+CUSTOMERS_SQL = "o AS (SELECT o_orderkey, c_name, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey)"
+
+
+def _customers(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return (table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+            .join(customers, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name", "o_totalprice"))
+
+
+@query("one_hot_wide", f"""WITH {CUSTOMERS_SQL}
+SELECT o_orderkey, (SELECT count(DISTINCT c_name) FROM o) + 2 AS width, dense_rank() OVER (ORDER BY c_name) - 1 AS slot FROM o""")
+def one_hot_wide(spark, sf_dir):
+    """A slot for every customer, before those of a narrow column: the vector's width and the customer's slot."""
+    df = _customers(spark, sf_dir).withColumn("parity", F.when(F.col("o_orderkey") % 2 == 0, "even").otherwise("odd"))
+    made = st.OneHot(columns=["c_name", "parity"], outputCol="hot").fit(df).transform(df)
+    v = F.unwrap_udt("hot")
+    return made.select("o_orderkey", v["size"].cast("bigint").alias("width"), F.array_min(v["indices"]).cast("bigint").alias("slot"))
+
+
+@query("encode_wide", f"""WITH {CUSTOMERS_SQL},
+g AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY c_name) >= 4 THEN c_name ELSE 'Other' END AS name FROM o)
+SELECT o_orderkey, 'c_name_' || name AS feature, 1.0::DOUBLE AS value FROM g""")
+def encode_wide(spark, sf_dir):
+    """The feature plan over a category of many levels, in long form."""
+    df = _customers(spark, sf_dir)
+    fitted = fit_features(df, FeaturePlan(key=["o_orderkey"], target="o_totalprice", min_freq=4))
+    return explode_vector(fitted.transform(df), ["o_orderkey"], fitted.names_table(spark))
+
+
+@query("model_roundtrip_stored", """
+WITH m AS (SELECT o_custkey, avg(o_totalprice) AS m FROM orders GROUP BY 1)
+SELECT o_orderkey, round(m.m, 7) AS "TE_o_custkey" FROM orders o JOIN m ON o.o_custkey = m.o_custkey""")
+def model_roundtrip_stored(spark, sf_dir):
+    """Target means by customer from a saved and loaded model, which holds its level table."""
+    df = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    model = PipelineModel(stages=[st.TargetEncode(columns=["o_custkey"], target="o_totalprice").fit(df)])
+    path = save_model({"means": model}, "means", new_path(spark, "models"))
+    made = load_model(path)[1].transform(df)
+    return made.select("o_orderkey", F.round("TE_o_custkey", 7).alias("TE_o_custkey"))
+
+
+@query("run_report_stored", """
+SELECT 'RareGroupModel' AS stage, 'c_name' AS column_name, 'kept:' || c_name AS stat, CAST(count(*) AS VARCHAR) AS value
+FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_name HAVING count(*) >= 10""")
+def run_report_stored(spark, sf_dir):
+    """The levels that a stage kept in a table, with their counts."""
+    fitted = st.RareGroup(columns=["c_name"], min_freq=10, inline=0).fit(_customers(spark, sf_dir))
+    report = run_report(PipelineModel(stages=[fitted]), spark)
+    return report.select("stage", F.col("column").alias("column_name"), "stat", "value")

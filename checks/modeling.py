@@ -357,7 +357,7 @@ def flagship(spark, sf_dir):
     train, test = (marked.where(F.col(HELD) == side).drop(HELD) for side in (False, True))
     fitted = fit_features(train, sales_plan())
     encoded = settle(fitted.transform(train).select("row_key", "charge", "features"), "train")
-    stats = LabelStats.of(encoded, "charge", len(fitted.names))
+    stats = LabelStats.of(encoded, "charge", fitted.width)
     model = Spec("ridge", {}).build(stats, "charge").fit(encoded)
     scored = model.transform(fitted.transform(test))
     return regression_metrics(scored, "charge").select(F.lit("ridge").alias("model"), "n", "rmse", "r2", "pearson_r2")

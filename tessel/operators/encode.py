@@ -57,11 +57,12 @@ def one_hot(levels: dict[str, list[str]]) -> list:
     return [Tokens(names), CountVectorizerModel.from_vocabulary(words, TOKENS, HOT, minTF=1.0, binary=True)]
 
 
-def assemble(hot: bool, ords: list[str], nums: list[str], out: str = "features") -> list:
-    """Stages that build the vector: categories, then ordinals, then numbers."""
+def assemble(hot: bool, ords: list[str], nums: list[str], out: str = "features", wide: tuple = (), drop: tuple = ()) -> list:
+    """Stages that build the vector: categories, then those of ``wide`` vectors, then ordinals, then numbers."""
+    helpers = [*([TOKENS, HOT] if hot else []), *wide, *drop]
     return [
-        VectorAssembler(inputCols=([HOT] if hot else []) + ords + nums, outputCol=out, handleInvalid="error"),
-        *([ColumnDrop([TOKENS, HOT])] if hot else []),
+        VectorAssembler(inputCols=([HOT] if hot else []) + list(wide) + ords + nums, outputCol=out, handleInvalid="error"),
+        *([ColumnDrop(helpers)] if helpers else []),
     ]
 
 
@@ -73,12 +74,15 @@ def keep_slots(indices: list[int], source: str, out: str = "features") -> list:
     return [VectorSlicer(inputCol=source, outputCol=out, indices=indices), ColumnDrop([source])]
 
 
-def explode_vector(df: DataFrame, key: list[str], names: list[str], vector: str = "features") -> DataFrame:
-    """``(key, feature, value)`` in long form, non-zero slots only."""
-    labels = F.array(*[F.lit(n) for n in names])
+def explode_vector(df: DataFrame, key: list[str], names: list[str] | DataFrame, vector: str = "features") -> DataFrame:
+    """``(key, feature, value)`` in long form, non-zero slots only. ``names`` may be a table ``(idx, feature)``."""
     # type 0 is sparse; of a dense vector every slot is looked at
     made = df.withColumn("__v", F.unwrap_udt(col(vector))).select(*key, F.explode(F.arrays_zip(
         F.when(F.col("__v.type") == 0, F.col("__v.indices")).otherwise(
             F.sequence(F.lit(0), F.greatest(F.size("__v.values"), F.lit(1)) - 1)).alias("at"),
         F.col("__v.values").alias("value"))).alias("p"))
+    if isinstance(names, DataFrame):
+        made = made.select(*key, F.col("p.at").alias("__at"), "p.value").where(F.col("value") != 0)
+        return made.join(names.select(F.col("idx").alias("__at"), "feature"), "__at").select(*key, "feature", "value")
+    labels = F.array(*[F.lit(n) for n in names])
     return made.select(*key, F.get(labels, F.col("p.at")).alias("feature"), "p.value").where(F.col("value") != 0)

@@ -2,25 +2,29 @@
 
 Fitting runs one aggregation over all columns of a stage (three passes where exact quantiles
 are needed). What was learned is a small JSON-able dict; a level table that outgrows
-``LEVELS_INLINE`` is written to the shared folder instead and joined, so that Spark decides by
-its size how. Every ``transform`` is a projection, or a projection over left joins, and so works
-on streaming tables too.
+``LEVELS_INLINE`` is a Parquet table instead, which is joined, so that Spark decides by its size
+how. A saved model holds its level tables. Every ``transform`` is a projection, or a projection
+over left joins, and so works on streaming tables too.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Model, Transformer
+from pyspark.ml import Estimator, Model, PipelineModel, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.util import (
+    DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLWritable,
+    MLWriter)
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessel.functions.counts import modes, value_counts
+from tessel.functions.numbering import dense_numbers
 from tessel.functions.nulls import clip, col, finite, nan_to_null, replace_columns
 from tessel.functions.quantiles import quantile_report
 from tessel.operators.derive import derive
 from tessel.operators.roles import infer_roles
-from tessel.session import new_path
+from tessel.session import new_path, settle
 
 LEVELS_INLINE = 5_000
 MAP_INLINE = 200
@@ -47,7 +51,28 @@ class _Stage(DefaultParamsReadable, DefaultParamsWritable):
         return getattr(infer_roles(df, exclude=self.get("exclude")), role)
 
 
-class _Fitted(Model, DefaultParamsReadable, DefaultParamsWritable):
+class _StateWriter(MLWriter):
+    """Writes the state and, inside the model's folder, the level table it names."""
+
+    def __init__(self, instance):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path):
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
+        if "table" in self.instance.learned:
+            self.sparkSession.read.parquet(self.instance.learned["table"]).write.parquet(f"{path}/levels")
+
+
+class _StateReader(DefaultParamsReader):
+    def load(self, path):
+        made = super().load(path)
+        if "table" in made.learned:
+            made._set(state={**made.learned, "table": f"{path}/levels"})
+        return made
+
+
+class _Fitted(Model, MLReadable, MLWritable):
     """Holds what the estimator learned in ``state``."""
 
     state = Param(Params._dummy(), "state", "learned values", TypeConverters.identity)
@@ -57,6 +82,13 @@ class _Fitted(Model, DefaultParamsReadable, DefaultParamsWritable):
         if state is not None:
             self._set(state=state)
 
+    def write(self):
+        return _StateWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _StateReader(cls)
+
     @property
     def learned(self) -> dict:
         return self.getOrDefault("state")
@@ -65,6 +97,13 @@ class _Fitted(Model, DefaultParamsReadable, DefaultParamsWritable):
         """``(column, statistic, value)`` rows."""
         return []
 
+    def stored_report(self, spark) -> DataFrame | None:
+        """The same rows of a level table, as a DataFrame."""
+        if "table" not in self.learned:
+            return None
+        return spark.read.parquet(self.learned["table"]).select(
+            "column", F.concat(F.lit(self.stat + ":"), "value").alias("stat"), F.col("x").cast("string").alias("value"))
+
 
 # --- derived columns -------------------------------------------------------------------
 
@@ -215,6 +254,8 @@ def grouped(kept: dict[str, list], columns: list[str]) -> dict[str, Column]:
 
 
 class RareGroupModel(_Fitted):
+    stat = "kept"
+
     def _transform(self, df):
         names = [c for c in self.learned["columns"] if c in df.columns]
         if "table" not in self.learned:
@@ -228,6 +269,94 @@ class RareGroupModel(_Fitted):
         return [(c, f"kept:{v}", n) for c, kept in self.learned.get("levels", {}).items() for v, n in kept]
 
 
+# --- one-hot of any number of levels -----------------------------------------------------
+
+class OneHot(_Stage, Estimator):
+    """One sparse vector ``outputCol`` over all levels seen when fitting, in column and then level order.
+
+    The dictionary of levels is a table with dense slot numbers, so their number has no limit.
+    Unknown and missing levels set no slot.
+    """
+
+    outputCol = Param(Params._dummy(), "outputCol", "output column", TypeConverters.toString)
+    defaults = {"outputCol": "__hot"}
+
+    def _fit(self, df):
+        names, out = self.pick(df, "category"), self.get("outputCol")
+        levels = value_counts(df, names).where(F.col("value").isNotNull()).withColumnRenamed("n", "x")
+        model = number_levels(levels, names, group=False)
+        return PipelineModel(stages=[model, *model.encoders(out), VectorAssembler(
+            inputCols=[f"{out}_{i}" for i in model.wide()], outputCol=out), DropColumnsModel(
+            {"drop": [*model.slot_columns(), *(f"{out}_{i}" for i in model.wide())]})])
+
+
+def number_levels(levels: DataFrame, columns: list[str], keep: Column | None = None, group: bool = True) -> "LevelSlotsModel":
+    """A dictionary of ``levels (column, value, x)``: those that ``keep`` holds for get dense slots in their column.
+
+    With ``group`` unknown levels become ``Other``, and take its slot if there is one.
+    """
+    table = settle(levels.select("column", "value", "x", (F.lit(True) if keep is None else keep).alias("kept")), "levels")
+    slots = dense_numbers(table.where("kept").select("column", "value"), "column", "value").withColumnRenamed("value", "__v").withColumnRenamed("column", "__c")
+    made = table.join(slots, (F.col("column") == F.col("__c")) & (F.col("value") == F.col("__v")), "left").select("column", "value", "x", "slot")
+    path = new_path(levels.sparkSession, "dictionary")
+    made.write.parquet(path)
+    stored = levels.sparkSession.read.schema(made.schema).parquet(path)
+    sizes = {r["column"]: r["n"] for r in stored.groupBy("column").agg(F.count("slot").alias("n")).collect()}
+    other = {r["column"]: r["slot"] for r in stored.where((F.col("value") == OTHER) & F.col("slot").isNotNull()).collect()} if group else {}
+    return LevelSlotsModel({"columns": columns, "table": path, "sizes": {c: sizes.get(c, 0) for c in columns}, "other": other, "group": group})
+
+
+class LevelSlotsModel(_Fitted):
+    """Looks up each column's level in the stored dictionary: one left join a column, no hint.
+
+    Adds ``__slot_<i>``, the number of columns' slots where there is no slot.
+    """
+
+    stat = "kept"
+
+    def wide(self) -> list[int]:
+        """Places of the columns that have slots."""
+        return [i for i, c in enumerate(self.learned["columns"]) if self.learned["sizes"][c]]
+
+    def slot_columns(self) -> list[str]:
+        return [f"__slot_{i}" for i in range(len(self.learned["columns"]))]
+
+    def width(self) -> int:
+        return sum(self.learned["sizes"].values())
+
+    def encoders(self, out: str) -> list:
+        """Fitted encoders from slot numbers to sparse vectors ``<out>_<i>``; a number beyond the last sets none."""
+        places = self.wide()
+        if not places:
+            return []
+        spark = SparkSession.getActiveSession()
+        sizes = [float(self.learned["sizes"][self.learned["columns"][i]] - 1) for i in places]
+        last = spark.createDataFrame([tuple(sizes)], ", ".join(f"__slot_{i} double" for i in places))
+        return [OneHotEncoder(inputCols=last.columns, outputCols=[f"{out}_{i}" for i in places], handleInvalid="keep").fit(last)]
+
+    def _transform(self, df):
+        s, names = self.learned, self.learned["columns"]
+        levels = df.sparkSession.read.parquet(s["table"])
+        wide = df
+        for i, c in enumerate(names):
+            side = levels.where(F.col("column") == c).select(F.col("value").alias(f"__k{i}"), F.col("slot").alias(f"__s{i}"))
+            wide = wide.join(side, (as_level(c) if s["group"] else col(c).cast("string")) == F.col(f"__k{i}"), "left")
+        grouped_columns, slots = {}, []
+        for i, c in enumerate(names):
+            none, known = s["sizes"][c], F.col(f"__k{i}").isNotNull()
+            if s["group"]:
+                grouped_columns[c] = F.when(known, F.col(f"__k{i}")).otherwise(F.lit(OTHER))
+            slot = F.when(known, F.coalesce(F.col(f"__s{i}"), F.lit(none))).otherwise(F.lit(s["other"].get(c, none)))
+            slots.append(slot.cast("double").alias(f"__slot_{i}"))
+        return wide.select(*[grouped_columns.get(c, col(c)).alias(c) for c in df.columns], *slots)
+
+    def names(self, spark) -> DataFrame:
+        """``(place, slot, feature)`` of every slot."""
+        place = F.create_map(*[x for i, c in enumerate(self.learned["columns"]) for x in (F.lit(c), F.lit(i))])
+        return spark.read.parquet(self.learned["table"]).where(F.col("slot").isNotNull()).select(
+            F.element_at(place, F.col("column")).alias("place"), "slot", F.concat_ws("_", "column", "value").alias("feature"))
+
+
 class TargetEncode(_Stage, Estimator):
     """``TE_<column>``: mean target of the level; the overall mean for unseen or missing levels."""
 
@@ -251,6 +380,8 @@ class TargetEncode(_Stage, Estimator):
 
 
 class TargetEncodeModel(_Fitted):
+    stat = "mean"
+
     def _transform(self, df):
         names = [c for c in self.learned["columns"] if c in df.columns]
         mean = F.lit(self.learned["mean"]).cast("double")

@@ -62,7 +62,7 @@ def _encode(fitted: FittedFeatures, rows: DataFrame, plan: FeaturePlan, seed: in
     table = settle(fitted.transform(rows).select(
         *plan.key, col(plan.target).cast("double").alias(plan.target), "features", HELD), "encoded")
     train = table.where(~F.col(HELD)).drop(HELD)
-    stats = LabelStats.of(train, plan.target, len(fitted.names), seed, plan.key)
+    stats = LabelStats.of(train, plan.target, fitted.width, seed, plan.key)
     return Encoded(fitted, train, table.where(F.col(HELD)).drop(HELD), stats)
 
 

@@ -4,27 +4,34 @@
 gives the same fitted model in five passes over the training table: one grouped count serves
 rare levels, modes, one-hot sizes and their variances; one set of quantiles serves clipping and
 medians (clipping never moves a median); one aggregation serves scaling and the variances.
+
+A category with up to ``INLINE`` levels is a projection; a wider one is looked up in a dictionary
+table with dense slot numbers, which no part of the fit brings to the driver.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field, replace
+from functools import reduce
+from itertools import accumulate
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessel.functions.counts import value_counts
 from tessel.functions.nulls import clip, col, finite, nan_to_null, replace_columns
 from tessel.functions.quantiles import quantile_report
 from tessel.operators import stages as st
-from tessel.operators.encode import assemble, keep_slots, one_hot, slot_names
+from tessel.operators.encode import assemble, keep_slots, one_hot
 from tessel.operators.mutual import (
     bin_of, information, joint_counts, level_information, quantile_edges)
 from tessel.operators.roles import Roles, infer_roles
+from tessel.session import settle
 
-MAX_SLOTS = 100_000
+#: Levels of a category that are held in expressions; all columns together hold this many a column at most.
+INLINE = 1_000
 
 
 @dataclass
@@ -57,16 +64,40 @@ class FeaturePlan:
 
 @dataclass
 class FittedFeatures:
+    """The fitted plan. Slots: narrow categories (``head``), wide ones by column and level, then ``tail``."""
+
     model: PipelineModel
-    names: list[str]
+    head: list[str]
+    tail: list[str]
+    wide: st.LevelSlotsModel | None
     roles: Roles
     plan: FeaturePlan
 
     def transform(self, df: DataFrame) -> DataFrame:
         return self.model.transform(df)
 
+    @property
+    def width(self) -> int:
+        return len(self.head) + (self.wide.width() if self.wide else 0) + len(self.tail)
+
+    @property
+    def names(self) -> list[str]:
+        """All slot names; for wide categories rather take :meth:`names_table`."""
+        found = []
+        if self.wide:
+            found = self.wide.names(SparkSession.getActiveSession()).orderBy("place", "slot").collect()
+        return [*self.head, *(r["feature"] for r in found), *self.tail]
+
     def names_table(self, spark) -> DataFrame:
-        return spark.createDataFrame(list(enumerate(self.names)), "idx int, feature string")
+        first = len(self.head)
+        rest = first + (self.wide.width() if self.wide else 0)
+        known = spark.createDataFrame([*enumerate(self.head), *enumerate(self.tail, rest)], "idx int, feature string")
+        if not self.wide:
+            return known
+        sizes = [self.wide.learned["sizes"][c] for c in self.wide.learned["columns"]]
+        starts = F.array(*[F.lit(n) for n in accumulate([first, *sizes[:-1]])])
+        return known.unionByName(self.wide.names(spark).select(
+            (F.get(starts, F.col("place")) + F.col("slot")).cast("int").alias("idx"), "feature"))
 
 
 def planned_roles(df: DataFrame, plan: FeaturePlan) -> tuple[DataFrame, Roles]:
@@ -111,7 +142,14 @@ def fit_features(df: DataFrame, plan: FeaturePlan) -> FittedFeatures:
     value = {**mapped, **{c: col(c).cast("double") for c in nums}}
 
     # pass 1: level counts; ordinals are counted after mapping, so that levels stay few
-    rows, kept, other, modes = _levels(derived, plan, cats, mapped)
+    rows, kept, other, modes, wide_levels = _levels(derived, plan, cats, mapped)
+    wide = [c for c in cats if c not in kept]
+    narrow = [c for c in cats if c in kept]
+    slots, grouped_rows = None, derived
+    if wide:
+        slots = st.number_levels(wide_levels, wide, _varied(F.col("x"), rows, plan.variance_threshold))
+        grouped_rows = slots.transform(derived)
+    grouped_rows = replace_columns(grouped_rows, st.grouped(kept, narrow))
 
     # passes 2-4: quartiles and medians
     found = quantile_report(derived, ords + nums, [0.25, 0.5, 0.75], exact=plan.exact, exprs=value)
@@ -129,9 +167,8 @@ def fit_features(df: DataFrame, plan: FeaturePlan) -> FittedFeatures:
 
     encoder = None
     if plan.target_encode:
-        grouped_rows = replace_columns(derived, st.grouped(kept, cats))
         encoder = st.TargetEncode(columns=plan.target_encode, target=plan.target).fit(grouped_rows)
-        derived = encoder.transform(grouped_rows)
+        derived = grouped_rows = encoder.transform(grouped_rows)
 
     # pass 5: means and deviations of what clipping and filling leave, and of carried columns
     clean = {c: F.coalesce(finite(clip(value[c], *bounds[c]) if c in bounds else value[c]),
@@ -146,7 +183,8 @@ def fit_features(df: DataFrame, plan: FeaturePlan) -> FittedFeatures:
     if ords:
         steps.append(st.OrdinalMap(mapping={c: plan.ordinals[c] for c in ranks}))
     steps.append(st.MissingFlagsModel({"columns": missing}))
-    steps.append(st.RareGroupModel({"columns": cats, "levels": kept}))
+    steps.append(st.RareGroupModel({"columns": narrow, "levels": kept}))
+    slots_at = len(steps)
     steps += [encoder] if encoder is not None else []
     steps += [
         st.ClipOutliersModel({"bounds": bounds}),
@@ -155,30 +193,54 @@ def fit_features(df: DataFrame, plan: FeaturePlan) -> FittedFeatures:
         st.FillModel({"fills": {c: medians[c] for c in nums}, "drop": empty, "stat": "median"}),
         st.StandardizeModel({"scale": scale}),
     ]
-    levels = {c: [v for v, _ in kept[c]] + ([st.OTHER] if other[c] else []) for c in cats}
-    levels = {c: sorted(set(v)) for c, v in levels.items() if v}
-    if sum(map(len, levels.values())) > MAX_SLOTS:
-        raise ValueError(f"more than {MAX_SLOTS} one-hot slots: raise min_freq or target-encode the column")
-    steps += one_hot(levels)
-
-    tail = nums + list(added)
-    names = slot_names(levels, ords, tail)
-    keys = [f"{i}_{v}" for i, c in enumerate(levels) for v in levels[c]] + [f"#{c}" for c in ords + tail]
-    keep = list(range(len(names)))
+    levels = {c: sorted({v for v, _ in kept[c]} | ({st.OTHER} if other[c] else set())) for c in narrow}
+    levels = {c: v for c, v in levels.items() if v}
+    tail = ords + nums + list(added)
+    keys = [(c, v) for c in levels for v in levels[c]]
+    numbers = [(None, c) for c in tail]
     if plan.variance_threshold is not None:
-        variance = _slot_variances(levels, kept, other, rows)
-        variance.update({f"#{c}": spread[c] for c in ords + list(added)})
+        seen = {c: dict(kept[c]) for c in levels}
+        for c in levels:
+            if other[c]:
+                seen[c][st.OTHER] = seen[c].get(st.OTHER, 0) + other[c]
         unit = rows / (rows - 1) if rows > 1 else 0.0
-        variance.update({f"#{c}": unit if spread[c] > 0 else 0.0 for c in nums})
-        keep = [i for i in keep if variance[keys[i]] > plan.variance_threshold]
-    if plan.k_best is not None and keep:
-        best = _best_slots(derived, plan, levels, kept, {**clean, **added}, [keys[i] for i in keep])
-        keep = [i for i in keep if keys[i] in best]
-    whole = keep == list(range(len(names)))
-    steps += assemble(bool(levels), ords, tail, "features" if whole else "all_features")
-    steps += [] if whole else keep_slots(keep, "all_features")
-    return FittedFeatures(PipelineModel(stages=steps), [names[i] for i in keep], replace(
-        roles, ordinal=ords, numeric=nums), plan)
+        variance = {c: (unit if spread[c] > 0 else 0.0) if c in nums else spread[c] for c in tail}
+        keys = [(c, v) for c, v in keys if _spread_of(seen[c][v], rows) > plan.variance_threshold]
+        numbers = [(None, c) for _, c in numbers if variance[c] > plan.variance_threshold]
+    if plan.k_best is not None and (keys or numbers or slots):
+        best = _best_slots(grouped_rows, plan, {**clean, **added}, keys, numbers, slots)
+        keys, numbers = [k for k in keys if k in best], [k for k in numbers if k in best]
+        if slots:
+            chosen = derived.sparkSession.createDataFrame([k for k in best if k[0] in wide], "column string, value string").withColumn("__best", F.lit(True))
+            slots = st.number_levels(wide_levels.join(F.broadcast(chosen), ["column", "value"], "left"), wide, F.col("__best").isNotNull())
+    if slots:
+        steps.insert(slots_at, slots)
+    held = {c: [v for w, v in keys if w == c] for c in levels}
+    steps += one_hot(held)
+    vectors = [f"__wide_{i}" for i in slots.wide()] if slots else []
+    steps += slots.encoders("__wide") if slots else []
+    inputs = [c for _, c in numbers]
+    helpers = tuple(slots.slot_columns()) if slots else ()
+    if keys or numbers or vectors:
+        steps += assemble(bool(keys), inputs, [], "features", tuple(vectors), helpers)
+    else:  # nothing varies: an empty vector
+        steps += [*assemble(False, tail[:1], [], "all_features", (), helpers), *keep_slots([], "all_features")]
+    return FittedFeatures(PipelineModel(stages=steps), [f"{c}_{v}" for c in levels for v in held[c]], inputs, slots,
+                          replace(roles, ordinal=ords, numeric=nums), plan)
+
+
+def _spread_of(n: int, rows: int) -> float:
+    """Sample variance of a 0/1 slot that ``n`` of ``rows`` set."""
+    p = n / rows
+    return p * (1 - p) * rows / (rows - 1) if rows > 1 else 0.0
+
+
+def _varied(n, rows: int, threshold: float | None):
+    """The same for a column of counts, against the threshold."""
+    if threshold is None:
+        return F.lit(True)
+    p = n / F.lit(float(max(rows, 1)))
+    return (p * (1 - p) * rows / (rows - 1) if rows > 1 else F.lit(0.0)) > threshold
 
 
 def _numeric_order(derived: DataFrame, roles: Roles) -> list[str]:
@@ -187,23 +249,21 @@ def _numeric_order(derived: DataFrame, roles: Roles) -> list[str]:
 
 
 def _levels(derived, plan, cats, mapped):
-    """Rows, kept levels with counts, count of grouped rows per category, and ordinal level counts."""
+    """Rows; kept levels with counts and the count of grouped rows of each narrow category; ordinal level counts;
+    ``(column, value, x)`` of all levels of the wide ones."""
     ords = list(mapped)
     source = derived.select(*[col(c) for c in cats], *[e.cast("string").alias(c) for c, e in mapped.items()])
     if not cats and not ords:
-        return derived.count(), {}, {}, {}
-    counts = st.as_counts(value_counts(source, cats + ords), ords, plan.min_freq)
-    found = counts.limit(MAX_SLOTS + 1).collect()
-    if len(found) > MAX_SLOTS:
-        raise ValueError(f"more than {MAX_SLOTS} levels: raise min_freq or target-encode the column")
-    kept: dict[str, list] = {c: [] for c in cats}
-    other = {c: 0 for c in cats}
+        return derived.count(), {}, {}, {}, None
+    counts = settle(st.as_counts(value_counts(source, cats + ords), ords, plan.min_freq), "counts")
+    sizes = counts.groupBy("column", "rare").agg(F.count(F.lit(1)).alias("levels"), F.sum("n").alias("n")).collect()
+    rows = sum(r["n"] for r in sizes if r["column"] == (cats + ords)[0])
+    wide = [r["column"] for r in sizes if r["column"] in cats and not r["rare"] and r["levels"] > INLINE]
+    kept: dict[str, list] = {c: [] for c in cats if c not in wide}
+    other = {c: 0 for c in kept}
     modes: dict[str, dict] = {c: {} for c in ords}
-    rows = 0
-    first = (cats + ords)[0]
-    for r in found:
+    for r in counts.where(~F.col("column").isin(wide) if wide else F.lit(True)).collect():
         c, v, n = r["column"], r["value"], r["n"]
-        rows += n if c == first else 0
         if c in modes:
             if v is not None:
                 modes[c][float(v)] = n
@@ -211,7 +271,11 @@ def _levels(derived, plan, cats, mapped):
             other[c] += n
         else:
             kept[c].append([v, n])
-    return rows, {c: sorted(v) for c, v in kept.items()}, other, modes
+    levels = None
+    if wide:
+        value = F.when(F.col("rare"), F.lit(st.OTHER)).otherwise(F.col("value"))
+        levels = settle(counts.where(F.col("column").isin(wide)).groupBy("column", value.alias("value")).agg(F.sum("n").alias("x")), "levels")
+    return rows, {c: sorted(v) for c, v in kept.items()}, other, modes, levels
 
 
 def _clipped_mode(counts: dict[float, int], bounds) -> float | None:
@@ -237,41 +301,32 @@ def _scales(derived, exprs, nums):
     return scale, spread
 
 
-def _slot_variances(levels, kept, other, rows):
-    """Sample variance of every one-hot slot from its count, by ``<column number>_<level>``."""
-    out = {}
-    for i, (c, known) in enumerate(levels.items()):
-        seen = dict(kept[c])
-        if other[c]:
-            seen[st.OTHER] = seen.get(st.OTHER, 0) + other[c]
-        for v in known:
-            p = seen[v] / rows
-            out[f"{i}_{v}"] = p * (1 - p) * rows / (rows - 1) if rows > 1 else 0.0
-    return out
-
-
-def _best_slots(derived, plan, levels, kept, numbers, keys):
-    """The ``k_best`` slots by mutual information with the target, ties by name.
+def _best_slots(rows, plan, exprs, keys, numbers, slots) -> set:
+    """The ``k_best`` slots by mutual information with the target, ties by name, as ``(column, level)`` or ``(None, column)``.
 
-    Keys are ``<column number>_<level>`` and ``#<number>``: names of slots may be equal, keys are not.
+    ``rows`` hold grouped levels. Slots of equal names are told apart by column; only the chosen ones reach the driver.
     """
-    k = min(plan.k_best, len(keys))
-    measured = [c for c in numbers if f"#{c}" in set(keys)]
-    table = derived.select(
-        *[numbers[c].alias(c) for c in measured],
-        *[e.alias(c) for c, e in st.grouped(kept, [c for c in levels]).items()],
-        col(plan.target).cast("double").alias("__y"))
+    measured, levels = [c for _, c in numbers], list(dict.fromkeys(c for c, _ in keys))
+    wide = slots.learned["columns"] if slots else []
+    columns = [*levels, *wide]
+    table = rows.select(*[exprs[c].alias(c) for c in measured], *[col(c) for c in columns], col(plan.target).cast("double").alias("__y"))
     edges = quantile_edges(table, [*measured, "__y"], plan.mi_bins, exact=plan.exact)
     y_bin = bin_of(F.col("__y"), edges["__y"])
-    scores = None
+    scores = []
     if measured:
-        found = information(joint_counts(table, {f"#{c}": bin_of(col(c), edges[c]) for c in measured}, y_bin))
-        scores = found.withColumn("name", F.expr("substring(feature, 2)"))
-    if levels:
-        found = level_information(joint_counts(table, {str(i): col(c) for i, c in enumerate(levels)}, y_bin))
+        found = information(joint_counts(table, {c: bin_of(col(c), edges[c]) for c in measured}, y_bin))
+        scores.append(found.select(F.lit(None).cast("string").alias("column"), F.col("feature").alias("value"), F.col("feature").alias("name"), "mi"))
+    if columns:
+        found = level_information(joint_counts(table, {str(i): col(c) for i, c in enumerate(columns)}, y_bin))
         number = F.substring_index("feature", "_", 1)
-        column = F.get(F.array(*[F.lit(c) for c in levels]), number.cast("int"))
-        flags = found.withColumn("name", F.concat(column, F.expr("substring(feature, length(substring_index(feature, '_', 1)) + 1)")))
-        scores = flags if scores is None else scores.unionByName(flags)
-    best = scores.where(F.col("feature").isin(keys)).orderBy(F.desc("mi"), "name", "feature").limit(k)
-    return {r["feature"] for r in best.collect()}
+        column = F.get(F.array(*[F.lit(c) for c in columns]), number.cast("int"))
+        value = F.expr("substring(feature, length(substring_index(feature, '_', 1)) + 2)")
+        found = found.select(column.alias("column"), value.alias("value"), F.concat_ws("_", column, value).alias("name"), "mi")
+        allowed = [F.struct(F.lit(c), F.lit(v)) for c, v in keys]
+        if levels:
+            scores.append(found.where(F.struct("column", "value").isin(allowed)))
+        if wide:
+            known = found.sparkSession.read.parquet(slots.learned["table"]).where(F.col("slot").isNotNull()).select("column", "value")
+            scores.append(found.join(known, ["column", "value"], "left_semi"))
+    best = reduce(DataFrame.unionByName, scores).orderBy(F.desc("mi"), "name", F.coalesce("column", F.lit("")), "value").limit(plan.k_best)
+    return {(r["column"], r["value"]) for r in best.collect()}

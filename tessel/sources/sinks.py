@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,12 +60,17 @@ def write_scores(scores: DataFrame, path: str) -> None:
 
 def run_report(model: PipelineModel, spark: SparkSession) -> DataFrame:
     """What each fitted stage learned: ``(step, stage, column, stat, value)`` in step order."""
-    rows = []
+    rows, stored = [], []
     for step, stage in enumerate(model.stages):
+        name = type(stage).__name__
         learned = stage.report() if hasattr(stage, "report") else []
-        for column, stat, value in learned or [(None, "fitted", None)]:
-            rows.append((step, type(stage).__name__, column, stat, None if value is None else str(value)))
-    return spark.createDataFrame(rows, "step int, stage string, column string, stat string, value string")
+        levels = stage.stored_report(spark) if hasattr(stage, "stored_report") else None
+        if levels is not None:
+            stored.append(levels.select(F.lit(step).alias("step"), F.lit(name).alias("stage"), "column", "stat", "value"))
+        for column, stat, value in learned or ([(None, "fitted", None)] if levels is None else []):
+            rows.append((step, name, column, stat, None if value is None else str(value)))
+    small = spark.createDataFrame(rows, "step int, stage string, column string, stat string, value string")
+    return reduce(DataFrame.unionByName, stored, small)
 
 
 def write_report(report: DataFrame, path: str) -> None:
