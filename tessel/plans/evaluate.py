@@ -1,7 +1,8 @@
 """Cross-validation, training and the leaderboard.
 
 Features are fitted once per fold, on that fold's training rows only, encoded and written once;
-all models, trials and stacks then read the same encoded tables.
+all models, trials and stacks then read the same encoded tables. Linear models read them once:
+their fits and errors for any penalties follow from one pass of cross-products a table.
 """
 
 from __future__ import annotations
@@ -11,14 +12,17 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessel.functions.gram import grams, linear_metrics, solve
 from tessel.functions.metrics import regression_metrics
+from tessel.functions.moments import Moments
 from tessel.functions.nulls import col
-from tessel.operators.models import SEED, LabelStats, Spec
+from tessel.operators.models import GRAM_WIDTH, SEED, LabelStats, LinearModel, Spec, penalties
 from tessel.operators.splits import HELD, with_folds
 from tessel.plans.features import FeaturePlan, FittedFeatures, fit_features
 from tessel.session import settle, shared_dir
@@ -35,6 +39,16 @@ class Encoded:
     train: DataFrame
     held: DataFrame
     stats: LabelStats
+    rows: DataFrame | None = None
+    found: dict | None = None
+
+    def moments(self, label: str) -> tuple[Moments, Moments]:
+        """Cross-products of the training rows and of the held-out rows, from one pass that is made once."""
+        if self.found is None:
+            got = grams(self.rows, "features", label, self.stats.n_features, F.col(HELD).cast("int"))
+            none = Moments(0, np.zeros(self.stats.n_features + 1), np.zeros((self.stats.n_features + 1,) * 2))
+            self.found = {side: got.get(side, none) for side in (0, 1)}
+        return self.found[0], self.found[1]
 
 
 @dataclass
@@ -63,7 +77,7 @@ def _encode(fitted: FittedFeatures, rows: DataFrame, plan: FeaturePlan, seed: in
         *plan.key, col(plan.target).cast("double").alias(plan.target), "features", HELD), "encoded")
     train = table.where(~F.col(HELD)).drop(HELD)
     stats = LabelStats.of(train, plan.target, fitted.width, seed, plan.key)
-    return Encoded(fitted, train, table.where(F.col(HELD)).drop(HELD), stats)
+    return Encoded(fitted, train, table.where(F.col(HELD)).drop(HELD), stats, table)
 
 
 def prepare(rows: DataFrame, plan: FeaturePlan, k: int = 5, seed: int = SEED, parallelism: int = 2) -> Prepared:
@@ -84,7 +98,23 @@ def prepare(rows: DataFrame, plan: FeaturePlan, k: int = 5, seed: int = SEED, pa
     return Prepared(plan, done[:-1], done[-1], parallelism)
 
 
+def linear_penalties(spec: Spec, stats: LabelStats) -> tuple[float, float] | None:
+    """Penalties of a model that cross-products can give, else None."""
+    return penalties(spec.family, spec.settings, stats.rows) if 0 < stats.n_features <= GRAM_WIDTH else None
+
+
+def solved(spec: Spec, m: Moments, stats: LabelStats, prediction: str = "prediction") -> LinearModel:
+    w, b = solve(m, *penalties(spec.family, spec.settings, stats.rows))
+    return LinearModel({"weights": w.tolist(), "intercept": b, "features": "features", "prediction": prediction})
+
+
 def fit_and_score(spec: Spec, data: Encoded, label: str) -> tuple[object, dict]:
+    if linear_penalties(spec, data.stats) is not None:
+        known, held = data.moments(label)
+        model = solved(spec, known, data.stats)
+        if held.n:
+            return model, linear_metrics(held, model.coefficients, model.intercept)
+        return model, {"n": 0, "rmse": None, "r2": None, "pearson_r2": None}
     model = spec.build(data.stats, label).fit(data.train)
     found = regression_metrics(model.transform(data.held), label).first()
     return model, found.asDict()
