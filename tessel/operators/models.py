@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import DenseVector, Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.stat import Summarizer
@@ -93,9 +94,13 @@ class LinearModel(Model, DefaultParamsReadable, DefaultParamsWritable):
             self._set(state=state)
 
     @property
-    def coefficients(self) -> np.ndarray:
+    def weights(self) -> np.ndarray:
         return np.array(self.getOrDefault("state")["weights"])
 
+    @property
+    def coefficients(self) -> DenseVector:
+        return Vectors.dense(self.getOrDefault("state")["weights"])
+
     @property
     def intercept(self) -> float:
         return self.getOrDefault("state")["intercept"]

@@ -113,7 +113,7 @@ def fit_and_score(spec: Spec, data: Encoded, label: str) -> tuple[object, dict]:
         known, held = data.moments(label)
         model = solved(spec, known, data.stats)
         if held.n:
-            return model, linear_metrics(held, model.coefficients, model.intercept)
+            return model, linear_metrics(held, model.weights, model.intercept)
         return model, {"n": 0, "rmse": None, "r2": None, "pearson_r2": None}
     model = spec.build(data.stats, label).fit(data.train)
     found = regression_metrics(model.transform(data.held), label).first()

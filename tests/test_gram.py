@@ -121,7 +121,7 @@ def test_a_linear_model_is_saved(spark, vectors, tmp_path):
 
 
 def test_passthrough_trials_equal_the_fitted_stack(data):
-    from tessel.plans.stack import _passthrough_rmse, rmse_of, scaled_net, stack_table
+    from tessel.plans.stack import _passthrough_rmse, meta_stages, rmse_of, scaled_net, stack_table
 
     specs = {n: Spec("ridge", {"alpha": a}) for n, a in (("a", 0.1), ("b", 10.0), ("c", 300.0))}
     fold = data.folds[0]
@@ -129,4 +129,14 @@ def test_passthrough_trials_equal_the_fitted_stack(data):
     known, held = table.wide_moments()
     for alpha, l1 in ((0.01, 0.5), (0.3, 0.1), (0.05, 0.9)):
         w, b = scaled_net(known, alpha, l1)
-        assert math.isclose(rmse_of(held, w, b), _passthrough_rmse(table, fold, tuple(specs), alpha, l1), rel_tol=1e-4)
+        assert math.isclose(rmse_of(held, w, b), _passthrough_rmse(table, fold, tuple(specs), alpha, l1), rel_tol=1e-9)
+        stats = LabelStats.of(table.rows.where("not held"), "y", len(w))
+        trained = meta_stages(tuple(specs), stats, "y", alpha, l1, True).fit(table.rows.where("not held"))
+        at = trained.stages[2].coefficients.toArray() / np.maximum(trained.stages[1].std.toArray(), 1e-300)
+        sd = np.sqrt(known.cov.diagonal()[:-1])
+
+        def objective(w):
+            fit = known.cov[-1, -1] / 2 - w @ known.cov[:-1, -1] + w @ known.cov[:-1, :-1] @ w / 2
+            return fit + alpha * l1 * abs(w * sd).sum() + alpha * (1 - l1) / 2 * ((w * sd) ** 2).sum()
+
+        assert objective(w) <= objective(at) + 1e-9
