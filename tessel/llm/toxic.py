@@ -26,8 +26,10 @@ NEAR = 5
 #: Second-person words of English, German, French and Spanish.
 SECOND = ("you", "your", "yours", "u", "ur", "du", "dich", "dir", "dein", "deine", "ihr", "euch", "tu", "te", "toi", "ton", "ta",
           "vous", "votre", "usted", "ustedes", "ti", "contigo")
-FEATURES = ("words", "lexicon", "lexicon_share", "stems", "stem_share", "strength", "near_second", "second_share", "capital_share",
-            "shout_share", "marks", "exclaims", "obfuscated", "repeats")
+#: Columns of features, named so that none of a table of texts is likely to clash.
+FEATURES = tuple("__toxic_" + name for name in (
+    "words", "lexicon", "lexicon_share", "stems", "stem_share", "strength", "near_second", "second_share", "capital_share",
+    "shout_share", "marks", "exclaims", "obfuscated", "repeats"))
 _STRIP = np.zeros(256, bool)
 _STRIP[[ord(c) for c in ".,;:!?\"'()[]{}<>-_*"]] = True
 
@@ -157,8 +159,9 @@ class ToxicityModel:
         """Learn from rows ``(key, text, label 0/1)``; null labels are left out.
 
         Lexicon: all rows count; entries are words and stems with the highest log odds. Trees: four fifths of
-        at most FIT_ROWS rows by hash of the key; calibration: the other fifth. With one class only (or
-        none) the score is the share of toxic rows, for every text.
+        at most FIT_ROWS rows by hash of the key; calibration: the other fifth. Where the four fifths lack a
+        class, or the other fifth is empty, both take all of those rows. With one class only (or none) the
+        score is the share of toxic rows, for every text.
         """
         scratch = Scratch(labelled.sparkSession, "toxic")
         rows = labelled.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("t"), F.col(f"`{label}`").cast("int").alias("y")).filter("y in (0, 1)")
@@ -174,10 +177,17 @@ class ToxicityModel:
         some = rows.filter(F.expr(f"pmod(xxhash64(id, {seed}), 1000000)") < share * 1_000_000)
         table = scratch.put(features(some, lexicon, "t"))
         hold = F.expr(f"pmod(xxhash64(id, {seed + 1}), 5)") == 0
+        sides = {(r[0], r[1]) for r in table.select(hold, "y").distinct().collect()}
+        if not {(False, 0), (False, 1)} <= sides or not any(h for h, _ in sides):
+            if {y for _, y in sides} != {0, 1}:
+                return cls({}, None, toxic / n)
+            fit_rows = margin_rows = F.lit(True)
+        else:
+            fit_rows, margin_rows = ~hold, hold
         table = VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep").transform(table)
-        trees = GBTClassifier(labelCol="y", maxIter=15, maxDepth=3, stepSize=0.3, seed=seed, maxBins=64).fit(table.filter(~hold))
+        trees = GBTClassifier(labelCol="y", maxIter=15, maxDepth=3, stepSize=0.3, seed=seed, maxBins=64).fit(table.filter(fit_rows))
         raw = vector_to_array("rawPrediction")[0] * -1
-        margin = trees.transform(table.filter(hold)).select(F.col("y").cast("double").alias("y"), raw.alias("x"))
+        margin = trees.transform(table.filter(margin_rows)).select(F.col("y").cast("double").alias("y"), raw.alias("x"))
         steps = IsotonicRegression(labelCol="y", featuresCol="x").fit(margin)
         return cls(lexicon, trees, steps)
 
