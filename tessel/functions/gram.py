@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tessel.functions.moments import Moments
 from tessel.functions.nulls import col
+from tessel.session import reach
 
 #: Rows of the matrix in a band, and numbers of a dense block of rows.
 BAND, BLOCK = 64, 1 << 21
@@ -42,6 +43,7 @@ def grams(df: DataFrame, features: str, label: str, width: int, by: Column) -> d
 
     Rows without a label do not count.
     """
+    reach(df.sparkSession)
     rows = df.where(col(label).isNotNull()).select(by.cast("long").alias("fold"), col(label).cast("double").alias("y"), F.unwrap_udt(col(features)).alias("v")).select(
         "fold", "y", F.when(F.col("v.type") == 0, F.col("v.indices")).alias("at"), F.col("v.values").alias("x"))
     schema = "fold long, band int, n long, mean binary, part binary"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -38,3 +39,11 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def reach(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package where it is not installed."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    have = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in have.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, have]))
