@@ -57,7 +57,7 @@ def grams(df: DataFrame, features: str, label: str, width: int, by: Column) -> d
     return out
 
 
-def _blocks(batch: pa.RecordBatch, width: int):
+def dense_blocks(batch: pa.RecordBatch, width: int):
     """Dense rows ``[features, label]`` with their folds, a block at a time."""
     fold, y = batch.column(0).to_numpy(), batch.column(1).to_numpy()
     at, x = batch.column(2), batch.column(3)
@@ -83,7 +83,7 @@ def _summed(width: int):
     def run(batches):
         held: dict[int, Moments] = {}
         for batch in batches:
-            for fold, rows in _blocks(batch, width):
+            for fold, rows in dense_blocks(batch, width):
                 for f in np.unique(fold).tolist():
                     mine = rows[fold == f]
                     mean = mine.mean(axis=0)

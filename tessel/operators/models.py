@@ -16,15 +16,15 @@ from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector, Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessel.functions.gram import dot
-from tessel.functions.hashing import hash_int, row_hash
 from tessel.functions.nulls import col
+from tessel.operators.boost import HistogramBoost
 from tessel.operators.encode import ColumnDrop
 
 SEED = 42
@@ -136,64 +136,37 @@ def random_forest(stats, label, features, n_estimators=600, max_depth=None, min_
         cacheNodeIds=True, checkpointInterval=10)
 
 
-def boosted(stats, label, features, n_estimators=800, learning_rate=0.03, max_depth=6, subsample=0.8,
-            colsample=0.8, min_leaf=1, min_gain=0.0, max_bins=64):
-    return GBTRegressor(
-        labelCol=label, featuresCol=features, maxIter=n_estimators, stepSize=learning_rate,
-        maxDepth=min(max_depth, DEEPEST), subsamplingRate=subsample, minInstancesPerNode=min_leaf,
-        featureSubsetStrategy=_subset(colsample), minInfoGain=min_gain, maxBins=max_bins,
-        seed=stats.seed, cacheNodeIds=True, checkpointInterval=10)
-
-
 def xgb(stats, label, features, n_estimators=800, learning_rate=0.03, max_depth=6, subsample=0.8,
         colsample_bytree=0.8, min_child_weight=1.0, reg_lambda=1.0, reg_alpha=0.0, max_bins=64):
-    """L2-type boosting. ``reg_lambda`` and ``reg_alpha`` have no counterpart; with squared loss
-    the least child weight is a least row count."""
-    return boosted(stats, label, features, n_estimators, learning_rate, max_depth, subsample,
-                   colsample_bytree, max(1, round(min_child_weight)), max_bins=max_bins)
+    """Penalised boosting: columns drawn per tree; with squared loss the least child weight is a least row count."""
+    return HistogramBoost({
+        "label": label, "features": features, "rounds": n_estimators, "rate": learning_rate,
+        "depth": min(max_depth, DEEPEST), "subsample": subsample, "columns": colsample_bytree,
+        "min_rows": max(1, min_child_weight), "l1": reg_alpha, "l2": reg_lambda, "bins": max_bins,
+        "seed": stats.seed, "key": list(stats.key)})
 
 
 def catboost(stats, label, features, n_estimators=1000, learning_rate=0.05, depth=6, l2_leaf_reg=3.0,
              subsample=0.8, max_bins=64):
-    """Symmetric-tree preset. ``l2_leaf_reg`` has no counterpart."""
-    return boosted(stats, label, features, n_estimators, learning_rate, depth, subsample, "all", max_bins=max_bins)
-
-
-class EarlyStopBoost(Estimator, DefaultParamsReadable, DefaultParamsWritable):
-    """Boosting that holds out a share of its own rows, picked by key hash, to stop early.
-
-    Of the trees grown it keeps the number that was best on the held-out rows.
-    """
-
-    settings = Param(Params._dummy(), "settings", "estimator settings", TypeConverters.identity)
-
-    def __init__(self, settings: dict | None = None):
-        super().__init__()
-        self._set(settings=settings or {})
-
-    def _fit(self, df):
-        s = dict(self.getOrDefault("settings"))
-        share, seed, key = s.pop("val_size"), s.pop("seed"), s.pop("key")
-        hashed = row_hash(list(key), f"early-{seed}") if key else F.md5(
-            F.concat(F.lit(f"early-{seed}:"), vector_to_array(col(s["featuresCol"])).cast("string")))
-        held = hash_int(hashed) < F.lit(int(share * 16 ** 8))
-        marked = df.select("*", held.alias("__held"))
-        return GBTRegressor(validationIndicatorCol="__held", seed=seed, **s).fit(marked)
+    """Symmetric trees: all nodes of a level share one cut."""
+    return HistogramBoost({
+        "label": label, "features": features, "rounds": n_estimators, "rate": learning_rate, "depth": depth,
+        "subsample": subsample, "l2": l2_leaf_reg, "symmetric": True, "bins": max_bins,
+        "seed": stats.seed, "key": list(stats.key)})
 
 
 def lgbm(stats, label, features, max_n_estimators=3000, learning_rate=0.03, max_depth=12, num_leaves=31,
          min_child_samples=20, min_child_weight=1e-3, subsample=0.8, colsample_bytree=0.8, reg_alpha=0.1,
-         reg_lambda=1.0, min_split_gain=0.0, val_size=0.15, validation_tol=0.001, max_bins=64):
-    """Leaf budgets become a depth: ``2^depth`` leaves cover ``num_leaves``."""
-    depth = max_depth if max_depth and max_depth > 0 else DEEPEST
-    leaves = min(num_leaves, 2 ** depth - 1)
-    return EarlyStopBoost({
-        "labelCol": label, "featuresCol": features, "maxIter": max_n_estimators, "stepSize": learning_rate,
-        "maxDepth": min(depth, max(1, int(np.ceil(np.log2(leaves + 1))))),
-        "minInstancesPerNode": min_child_samples, "subsamplingRate": subsample,
-        "featureSubsetStrategy": _subset(colsample_bytree), "minInfoGain": min_split_gain,
-        "validationTol": validation_tol, "maxBins": max_bins, "cacheNodeIds": True,
-        "checkpointInterval": 10, "val_size": val_size, "seed": stats.seed, "key": list(stats.key)})
+         reg_lambda=1.0, min_split_gain=0.0, early_stopping_rounds=200, val_size=0.15, validation_tol=0.0, max_bins=64):
+    """Boosting under a leaf budget, best cuts of a level first; a share of the rows, drawn by key hash, is held out:
+    it ends after ``early_stopping_rounds`` without gain and keeps the best round."""
+    depth = min(max_depth, DEEPEST) if max_depth and max_depth > 0 else DEEPEST
+    return HistogramBoost({
+        "label": label, "features": features, "rounds": max_n_estimators, "rate": learning_rate, "depth": depth,
+        "leaves": min(num_leaves, 2 ** depth - 1), "min_rows": max(min_child_samples, min_child_weight),
+        "subsample": subsample, "columns": colsample_bytree, "l1": reg_alpha, "l2": reg_lambda,
+        "min_gain": min_split_gain, "held": val_size, "patience": early_stopping_rounds, "tolerance": validation_tol,
+        "bins": max_bins, "seed": stats.seed, "key": list(stats.key)})
 
 
 class FourierFeatures(Estimator, DefaultParamsReadable, DefaultParamsWritable):
@@ -302,8 +275,6 @@ class Spec:
 def named_prediction(est, name: str) -> None:
     if isinstance(est, Pipeline):
         named_prediction(est.getStages()[-2], name)
-    elif isinstance(est, EarlyStopBoost):
-        est._set(settings={**est.getOrDefault("settings"), "predictionCol": name})
     else:
         est.setPredictionCol(name)
 
@@ -314,6 +285,6 @@ def default_specs(preset: str = "reference", families: list[str] | None = None)
 
 
 __all__ = [
-    "DEEPEST", "FAMILIES", "GRAM_WIDTH", "PRESETS", "EarlyStopBoost", "FourierFeatures", "FourierModel", "LabelStats",
+    "DEEPEST", "FAMILIES", "GRAM_WIDTH", "PRESETS", "FourierFeatures", "FourierModel", "LabelStats",
     "LinearModel", "Spec", "default_specs", "linear", "penalties",
 ]

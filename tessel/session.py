@@ -47,3 +47,9 @@ def reach(spark: SparkSession) -> None:
     have = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in have.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, have]))
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table in the shared folder that no later step reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
