@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from checks.views import (
 from tessel.functions.hashing import fold_of
 from tessel.functions.metrics import regression_metrics
 from tessel.operators import derive as d
+from tessel.operators.boost import HistogramBoost
 from tessel.operators.encode import explode_vector
 from tessel.operators.models import LabelStats, Spec
 from tessel.operators.splits import HELD, random_split, stratified_split, target_bin
@@ -371,3 +373,77 @@ def sales_join(spark, sf_dir):
     """The joined table that the models train on."""
     return sales(spark, sf_dir)
 
+
+
+# --- boosted trees on columns of few distinct values -------------------------------------
+
+_SLOTS = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+
+
+def _boost_rows(spark, sf_dir):
+    return VectorAssembler(inputCols=_SLOTS, outputCol="features").transform(
+        lines(spark, sf_dir).select("row_key", F.col("l_extendedprice").alias("y"), *[F.col(c).cast("double").alias(c) for c in _SLOTS]))
+
+
+def _cells_sql(rows: str, by: str = "") -> str:
+    """Sums of gradients and rows by slot and value, and node."""
+    return " UNION ALL ".join(f"SELECT {by}{i} AS slot, {c} AS v, sum(g) AS g, count(*) AS n FROM {rows} GROUP BY ALL" for i, c in enumerate(_SLOTS))
+
+
+def _score_sql(g: str, n: str, l1: float, l2: float) -> str:
+    return f"CASE WHEN {n} > 0 THEN pow(greatest(abs({g}) - {l1!r}, 0), 2) / ({n} + {l2!r}) ELSE 0 END"
+
+
+def _weight_sql(g: str, n: str, l1: float, l2: float, rate: float) -> str:
+    return f"(CASE WHEN {n} > 0 THEN -sign({g}) * greatest(abs({g}) - {l1!r}, 0) / ({n} + {l2!r}) * {rate!r} ELSE 0 END)"
+
+
+_AT = "CASE slot " + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(_SLOTS)) + " END <= v"
+_START_SQL = LINES_SQL + """, r0 AS (SELECT row_key, l_quantity::DOUBLE AS l_quantity, l_discount, l_tax, l_linenumber::DOUBLE AS l_linenumber,
+  l_extendedprice AS y, avg(l_extendedprice) OVER () AS m FROM lines)"""
+PENALTIES = {"l1": 50_000.0, "l2": 1_000.0, "rate": 0.5}
+
+
+def _stump_sql(turn: int, l1: float, l2: float, rate: float) -> str:
+    """CTEs of one stump: rows ``r{turn}`` get margins in ``r{turn + 1}``."""
+    return f"""g{turn} AS (SELECT *, m - y AS g FROM r{turn}), c{turn} AS ({_cells_sql(f"g{turn}")}),
+w{turn} AS (SELECT slot, v, sum(g) OVER (PARTITION BY slot ORDER BY v) AS gl, sum(n) OVER (PARTITION BY slot ORDER BY v) AS nl,
+  sum(g) OVER (PARTITION BY slot) AS g, sum(n) OVER (PARTITION BY slot) AS n FROM c{turn}),
+b{turn} AS (SELECT slot, v, {_weight_sql("gl", "nl", l1, l2, rate)} AS lower, {_weight_sql("(g - gl)", "(n - nl)", l1, l2, rate)} AS upper
+  FROM w{turn} WHERE nl < n ORDER BY {_score_sql("gl", "nl", l1, l2)} + {_score_sql("(g - gl)", "(n - nl)", l1, l2)} - {_score_sql("g", "n", l1, l2)} DESC, slot, v LIMIT 1),
+r{turn + 1} AS (SELECT r.* REPLACE (m + CASE WHEN {_AT} THEN lower ELSE upper END AS m) FROM r{turn} r, b{turn})"""
+
+
+@query("boost_penalised", f"""WITH {_START_SQL}, {_stump_sql(0, **PENALTIES)}, {_stump_sql(1, **PENALTIES)}, {_stump_sql(2, **PENALTIES)}
+SELECT row_key, round(m, 3) AS prediction FROM r3""")
+def boost_penalised(spark, sf_dir):
+    """Three rounds of stumps under both penalties."""
+    df = _boost_rows(spark, sf_dir)
+    model = HistogramBoost({"label": "y", "rounds": 3, "depth": 1, "bins": 200, "features": "features", "key": ["row_key"], **PENALTIES}).fit(df)
+    return model.transform(df).select("row_key", F.round("prediction", 3).alias("prediction"))
+
+
+def _halves(l2: float) -> str:
+    """CTEs of a symmetric tree of depth 2."""
+    return f"""g0 AS (SELECT *, m - y AS g FROM r0), c0 AS ({_cells_sql("g0")}),
+w0 AS (SELECT slot, v, sum(g) OVER (PARTITION BY slot ORDER BY v) AS gl, sum(n) OVER (PARTITION BY slot ORDER BY v) AS nl,
+  sum(g) OVER (PARTITION BY slot) AS g, sum(n) OVER (PARTITION BY slot) AS n FROM c0),
+b0 AS (SELECT slot, v FROM w0 WHERE nl < n ORDER BY {_score_sql("gl", "nl", 0.0, l2)} + {_score_sql("(g - gl)", "(n - nl)", 0.0, l2)} DESC, slot, v LIMIT 1),
+h0 AS (SELECT g0.*, CASE WHEN {_AT} THEN 0 ELSE 1 END AS node FROM g0, b0), c1 AS ({_cells_sql("h0", "node, ")}),
+sums AS (SELECT node, sum(g) AS g, count(*) AS n FROM h0 GROUP BY node), tried AS (SELECT DISTINCT slot, v FROM c1),
+w1 AS (SELECT t.slot, t.v, s.node, s.g, s.n, coalesce(sum(c.g), 0) AS gl, coalesce(sum(c.n), 0) AS nl FROM tried t CROSS JOIN sums s
+  LEFT JOIN c1 c ON c.slot = t.slot AND c.node = s.node AND c.v <= t.v GROUP BY ALL),
+b1 AS (SELECT slot, v FROM w1 GROUP BY slot, v HAVING bool_or(nl > 0 AND nl < n)
+  ORDER BY sum({_score_sql("gl", "nl", 0.0, l2)} + {_score_sql("(g - gl)", "(n - nl)", 0.0, l2)} - {_score_sql("g", "n", 0.0, l2)}) DESC, slot, v LIMIT 1),
+l1 AS (SELECT h0.*, 2 * node + CASE WHEN {_AT} THEN 0 ELSE 1 END AS leaf FROM h0, b1)"""
+
+
+@query("boost_symmetric_cuts", f"""WITH {_START_SQL}, {_halves(3.0)},
+e AS (SELECT leaf, -sum(g) / (count(*) + 3.0) AS x FROM l1 GROUP BY leaf)
+SELECT row_key, round(m + x, 3) AS prediction FROM l1 JOIN e USING (leaf)""")
+def boost_symmetric_cuts(spark, sf_dir):
+    """One symmetric tree of two levels: the second cut is the best one for both nodes together."""
+    df = _boost_rows(spark, sf_dir)
+    model = HistogramBoost({"label": "y", "rounds": 1, "depth": 2, "rate": 1.0, "l2": 3.0, "symmetric": True, "bins": 200,
+                            "features": "features", "key": ["row_key"]}).fit(df)
+    return model.transform(df).select("row_key", F.round("prediction", 3).alias("prediction"))
