@@ -307,6 +307,8 @@ class HistogramBoost(Estimator, DefaultParamsReadable, DefaultParamsWritable):
 
     def _fit(self, df):
         s = Settings(**self.getOrDefault("settings"))
+        if not 2 <= s.bins <= 250:
+            raise ValueError(f"bins must lie between 2 and 250, for one byte a value; got {s.bins}")
         spark = df.sparkSession
         reach(spark)
         known = df.where(col(s.label).isNotNull())

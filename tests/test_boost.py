@@ -144,5 +144,7 @@ def test_saved_model_and_edges(spark):
     for rows, base in ((df.limit(0), 0.0), (df.selectExpr("id", "cast(null as double) as y", "features"), 0.0)):
         empty = HistogramBoost({"label": "y", "features": "features", "key": ["id"]}).fit(rows)
         assert empty.getNumTrees == 0 and empty.transform(df).first()["prediction"] == base
+    with pytest.raises(ValueError):
+        HistogramBoost({"label": "y", "bins": 300}).fit(df)
     flat = spark.createDataFrame([(i, float(i), Vectors.dense([2.0])) for i in range(4)], ["id", "y", "features"])
     assert HistogramBoost({"label": "y", "features": "features"}).fit(flat).transform(flat).first()["prediction"] == 1.5
