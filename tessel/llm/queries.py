@@ -98,6 +98,7 @@ def op3_simhash_lines(spark, sf_dir):
 def _scan_sql() -> str:
     phrases = ", ".join(f"('{p}', '{label}')" for p, label in setscan.PHRASES.items())
     templates = ", ".join(f"({i}, '{t}', '{label}')" for i, (t, label) in enumerate(setscan.TEMPLATES.items()))
+    step = setscan.stride(setscan.TEMPLATES)
     split = "list_filter(regexp_split_to_array(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
     return f"""
 WITH p(phrase, label) AS (VALUES {phrases}), t(n, template, label) AS (VALUES {templates}),
@@ -105,7 +106,7 @@ d AS (SELECT doc_id, {split.format("coalesce(text, '')")} AS w FROM documents),
 hit AS (SELECT doc_id, label, unnest(list_filter(range(len(w)), lambda i: w[i + 1:i + len(string_split(phrase, ' '))] = string_split(phrase, ' '))) AS pos FROM d, p),
 base AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word,
          string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM hit GROUP BY 1),
-l AS (SELECT doc_id, {split.format("line")} AS w FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
+l AS (SELECT doc_id, w[s + 1:s + {2 * step}] AS w FROM (SELECT doc_id, w, unnest(range(0, len(w), {step})) AS s FROM d)),
 m AS (SELECT doc_id, label, len(list_intersect(w, string_split(template, ' '))) / len(list_distinct(string_split(template, ' '))) AS part FROM l, t),
 f AS (SELECT doc_id, label, max(part) AS part FROM m WHERE part >= {setscan.CONTAINMENT} - 1e-9 GROUP BY 1, 2),
 every AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(part) AS part

@@ -1,4 +1,4 @@
-"""License phrases and templates in text lines: an exact set-similarity join with built-in functions only."""
+"""License phrases and templates in blocks of text: an exact set-similarity join with built-in functions only."""
 
 from __future__ import annotations
 
@@ -31,7 +31,7 @@ TEMPLATES = {
 }
 WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 BREAK = r"[^0-9A-Za-z\x{80}-\x{10FFFF}]+"
-#: Share of a template's words that a line must hold.
+#: Share of a template's words that a block must hold.
 CONTAINMENT = 0.9
 
 
@@ -40,26 +40,34 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.translate(text, UPPER, LOWER), BREAK, -1), lambda w: w != "")
 
 
-def line_table(docs: DataFrame, gate: list[str]) -> DataFrame:
-    """``(key, line, words)``: the distinct words of every line in which one of the ``gate`` words occurs."""
-    each = docs.select("key", F.posexplode(F.split("text", "\n", -1)).alias("line", "raw"))
-    return each.filter(F.col("raw").rlike("(?i)" + "|".join(gate))).select("key", "line", F.array_distinct(words(F.col("raw"))).alias("words"))
+def stride(templates: dict[str, str]) -> int:
+    """Words of the longest template. A block is twice as long and one begins every so many words, line ends or
+    not, so whatever stands in as many consecutive words as a template has lies whole in some block."""
+    return max((len(t.split()) for t in templates), default=1)
+
+
+def block_table(docs: DataFrame, openers: list[str], step: int) -> DataFrame:
+    """``(key, block, words)``: the distinct words of every block in which one of the ``openers`` stands."""
+    hold = docs.filter(F.col("text").rlike("(?i)" + "|".join(openers))).select("key", words(F.col("text")).alias("w"))
+    at = F.filter(F.transform("w", lambda w, i: F.when(w.isin(openers), F.floor(i / step))), lambda b: b.isNotNull())
+    near = F.array_distinct(F.flatten(F.transform(at, lambda b: F.array(b - 1, b))))
+    each = hold.select("key", "w", F.explode(F.filter(near, lambda b: b >= 0)).alias("block"))
+    return each.select("key", "block", F.array_distinct(F.slice("w", (F.col("block") * step + 1).cast("int"), 2 * step)).alias("words"))
 
 
 def token_order(docs: DataFrame, templates: dict[str, str]) -> dict[str, int]:
-    """Rank of every template word by the number of lines of the corpus that hold it, rarest first."""
+    """Rank of every template word by the number of texts of the corpus that hold it, rarest first."""
     known = sorted({w for t in templates for w in t.split()})
-    each = docs.select(F.explode(F.split(F.translate("text", UPPER, LOWER), "\n", -1)).alias("raw"))
-    each = each.select(F.explode(F.array_intersect(F.split("raw", BREAK, -1), F.array(*map(F.lit, known)))).alias("w"))
+    each = docs.select(F.explode(F.array_intersect(words(F.col("text")), F.array(*map(F.lit, known)))).alias("w"))
     count = dict(each.groupBy("w").count().collect())  # at most one row for each template word
     return {w: i for i, w in enumerate(sorted(known, key=lambda w: (count.get(w, 0), w)))}
 
 
 def template_matches(docs: DataFrame, templates: dict[str, str], containment: float) -> DataFrame:
-    """``(key, line, label, part)``: lines that hold at least ``containment`` of a template's distinct words.
+    """``(key, block, label, part)``: blocks that hold at least ``containment`` of a template's distinct words.
 
-    Words are numbered in the order of their line counts, rarest first. A template whose n words must
-    match in ``need`` places shares with every matching line one of its first n - need + 1: these are the
+    Words are numbered in the order of their counts, rarest first. A template whose n words must
+    match in ``need`` places shares with every matching block one of its first n - need + 1: these are the
     join keys. Before the exact count, lines with too few words go (length), and pairs where the words
     from the shared one on are too few on either side (position).
     """
@@ -75,15 +83,15 @@ def template_matches(docs: DataFrame, templates: dict[str, str], containment: fl
     index = spark.createDataFrame(entries, "rank int, place int, template int, label string, need int, ranks array<int>")
     numbers = spark.createDataFrame(list(order.items()), "word string, rank int")
     by_rank = sorted(order, key=order.get)
-    lines = line_table(docs, sorted(by_rank[r] for r in openers))
-    ranked = lines.select("key", "line", F.explode("words").alias("word")).join(numbers, "word").groupBy("key", "line").agg(
-        F.array_sort(F.collect_list("rank")).alias("held"))
-    pairs = ranked.select("key", "line", "held", F.posexplode("held").alias("at", "rank")).join(index, "rank").filter(
+    blocks = block_table(docs, sorted(by_rank[r] for r in openers), stride(templates))
+    ranked = blocks.select("key", "block", F.explode("words").alias("word")).join(numbers, "word").groupBy("key", "block").agg(
+        F.array_sort(F.collect_set("rank")).alias("held"))
+    pairs = ranked.select("key", "block", "held", F.posexplode("held").alias("at", "rank")).join(index, "rank").filter(
         (F.size("held") >= F.col("need")) & (F.size("held") - F.col("at") >= F.col("need") - F.col("place"))
         & (F.size("ranks") - F.col("place") >= F.col("need") - F.col("at")))
-    pairs = pairs.dropDuplicates(["key", "line", "template"])
+    pairs = pairs.dropDuplicates(["key", "block", "template"])
     part = F.size(F.array_intersect("held", "ranks")) / F.size("ranks")
-    return pairs.select("key", "line", "label", part.alias("part")).filter(F.col("part") >= containment - 1e-9)
+    return pairs.select("key", "block", "label", part.alias("part")).filter(F.col("part") >= containment - 1e-9)
 
 
 def phrase_places(text: Column) -> tuple[Column, list[Column]]:
@@ -108,21 +116,26 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: di
          containment: float = CONTAINMENT) -> DataFrame:
     """``(key, n_words, n_base, first_word, last_word, base_labels, labels, score)`` for every row of ``docs``.
 
-    Base: places where the words of a phrase stand consecutively. The join over lines (``template_matches``)
+    Base: places where the words of a phrase stand consecutively. The join over blocks (``template_matches``)
     adds labels. ``score`` is the largest containment reached, 1 with a base phrase, else 0. Null texts count
-    as empty. Rows that repeat a key share the labels of the join. Other columns are not returned.
+    as empty. Texts are told apart by two hash codes, so rows with a null or repeated key get the labels of
+    their own text. Without templates only base labels are given. Other columns are not returned.
     """
     templates = TEMPLATES if templates is None else templates
     plain = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    plain = plain.withColumn("code", F.struct(F.xxhash64("text").alias("x"), F.xxhash64(F.lit(1), "text").alias("y")))
     gate = F.col("text").rlike("(?i)" + "|".join(sorted({p.split()[0] for p in PHRASES})))
     held, places = phrase_places(F.col("text"))
-    base = plain.select("key", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"), F.when(gate, held).alias("held"))
-    base = base.select("key", "n_words", F.array(*[F.coalesce(p, F.array().cast("array<int>")) for p in places]).alias("at"))
+    base = plain.select("key", "code", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"), F.when(gate, held).alias("held"))
+    base = base.select("key", "code", "n_words", F.array(*[F.coalesce(p, F.array().cast("array<int>")) for p in places]).alias("at"))
     names = F.array(*[F.when(F.size(F.get("at", n)) > 0, F.lit(label)) for n, label in enumerate(PHRASES.values())])
-    base = base.select("key", "n_words", F.flatten("at").alias("at"), F.array_sort(F.filter(names, lambda x: x.isNotNull())).alias("base"))
-    found = template_matches(plain.filter("key is not null"), templates, containment).groupBy("key").agg(
-        F.collect_set("label").alias("more"), F.max("part").alias("part"))
-    both = base.join(found, "key", "left")
+    base = base.select("key", "code", "n_words", F.flatten("at").alias("at"), F.array_sort(F.filter(names, lambda x: x.isNotNull())).alias("base"))
+    if templates:
+        found = template_matches(plain.select(F.col("code").alias("key"), "text"), templates, containment).groupBy("key").agg(
+            F.collect_set("label").alias("more"), F.max("part").alias("part"))
+        both = base.join(found.withColumnRenamed("key", "code"), "code", "left")
+    else:
+        both = base.select("*", F.lit(None).cast("array<string>").alias("more"), F.lit(None).cast("double").alias("part"))
     every = F.array_sort(F.array_distinct(F.concat("base", F.coalesce("more", F.array().cast("array<string>")))))
     return both.select(
         F.col("key").alias(key), "n_words", F.size("at").cast("long").alias("n_base"), F.array_min("at").cast("long").alias("first_word"),

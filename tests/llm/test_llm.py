@@ -278,6 +278,41 @@ def test_license_scan_edges(spark, edge, empty):
     assert setscan.scan(edge).count() == 12 and setscan.scan(empty).count() == 0
 
 
+def test_license_templates_across_line_ends(spark):
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+           "of this software and associated documentation files")
+    bsd = "Redistribution and use in source and binary forms, with or without\n\nmodification, are permitted provided that"
+    pad = " ".join(f"x{i}" for i in range(45))
+    rows = [(1, mit), (1, bsd), (None, f"{pad}\n{mit}"), (2, "of this software to any person " + pad + " permission is hereby granted free"), (3, bsd), (3, bsd)]
+    rows += [(10 + i, " ".join(f"y{k}" for k in range(i)) + "\n" + mit) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.Counter((r["doc_id"], r["labels"]) for r in setscan.scan(docs).collect())
+    want = {(1, "mit-text"): 1, (1, "bsd-text"): 1, (None, "mit-text"): 1, (2, ""): 1, (3, "bsd-text"): 2}
+    assert got == want | {(10 + i, "mit-text"): 1 for i in range(40)}
+    assert {r["labels"] for r in setscan.scan(docs, templates={}).collect()} == {""}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_license_blocks_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+    known = sorted({w for t in setscan.TEMPLATES for w in t.split()})
+    texts = []
+    for _ in range(120):
+        template = rng.choice(list(setscan.TEMPLATES)).split()
+        held = [w for w in template if rng.random() > 0.08]
+        texts.append(rng.choice([" ", "\n", " - "]).join(rng.choices(known, k=rng.randrange(60)) + held + rng.choices(known, k=rng.randrange(60))))
+    step = max(len(t.split()) for t in setscan.TEMPLATES)
+    want = {}
+    for i, text in enumerate(texts):
+        w = re.findall("[0-9a-z]+", text)
+        blocks = [set(w[s:s + 2 * step]) for s in range(0, len(w), step)]
+        parts = {label: max((len(b & set(t.split())) / len(set(t.split())) for b in blocks), default=0) for t, label in setscan.TEMPLATES.items()}
+        want[i] = {label for label, part in parts.items() if part >= setscan.CONTAINMENT - 1e-9}
+    got = setscan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    base = set(setscan.PHRASES.values())
+    assert {r["doc_id"]: set(r["labels"].split(",")) - {""} - base for r in got} == want and any(want.values())
+
+
 def reference_spans(text):
     patterns = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
                 "card": r"[0-9]([ -]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
