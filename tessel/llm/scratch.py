@@ -40,6 +40,10 @@ class Scratch:
                 where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
                 where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
+    def only(self, *tables: DataFrame) -> None:
+        """Drop all tables written so far but these."""
+        self.drop(*[df for df, _ in list(self.paths.values()) if not any(df is t for t in tables)])
+
 
 def keep_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Rows of ``df`` whose ``on`` values are in ``keys`` (distinct, already written).

@@ -10,16 +10,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tessel.llm.graph import components
 from tessel.llm.scratch import Scratch, keep_keys
 
-#: Hamming radius of SimHash candidates.
-RADIUS = 3
-#: Bits of the five blocks; within the radius at least two blocks are equal.
+#: Edit similarity: 1 - distance / longer length.
+SIMILARITY = 0.8
+#: Hamming radius of SimHash candidates: the share of bits that the similarity leaves free.
+RADIUS = int(64 * (1 - SIMILARITY))
+#: Bits of the five blocks. Candidates have two equal blocks: all pairs up to three bits apart do, and many beyond.
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 #: Lines that share a block pair are all paired up to this many; above, through leaders first.
 BUCKET = 64
 #: Rounds of leaders before what is still apart is paired.
 ROUNDS = 6
-#: Edit similarity: 1 - distance / longer length.
-SIMILARITY = 0.8
 #: Words of a line are told apart by the stretch of this many words they stand in; shorter lines have one stretch.
 STRETCH = 512
 #: Limits an edit distance is tried with, smallest first, before the whole allowance: close lines end at the first.
@@ -33,9 +33,12 @@ def normal(line: Column) -> Column:
 
 def lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``(doc, line, norm)`` of every line that is not blank."""
-    split = docs.select(F.col(f"`{key}`").cast("long").alias("doc"),
-                        F.posexplode(F.split(F.col(f"`{text}`").cast("string"), "\n", -1)).alias("line", "raw"))
-    return split.select("doc", "line", normal(F.col("raw")).alias("norm")).filter("norm <> '' and doc is not null")
+    return _split(docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("string").alias("text")))
+
+
+def _split(texts: DataFrame) -> DataFrame:
+    each = texts.select("doc", F.posexplode(F.split("text", "\n", -1)).alias("line", "raw"))
+    return each.select("doc", "line", normal(F.col("raw")).alias("norm")).filter("norm <> '' and doc is not null")
 
 
 def _votes(width: int) -> Column:
@@ -84,23 +87,28 @@ def block_keys(sim: Column) -> Column:
                      for n, (a, b) in enumerate(combinations(range(5), 2))])
 
 
-def _close(pairs: DataFrame, found: DataFrame, split: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
-    """Pairs of line ids within the radius whose texts pass the edit similarity; texts are read for these alone."""
-    side = found.select("id", "sim", "size", "doc", "line")
-    a, b = (side.select(F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("sim", "size", "doc", "line")]) for x in "ab")
-    near = scratch.put(pairs.distinct().join(a, "a").join(b, "b").filter(
-        (F.bit_count(F.col("sim_a").bitwiseXOR(F.col("sim_b"))) <= RADIUS)
-        & (F.abs(F.col("size_a") - F.col("size_b")) <= (1 - similarity) * F.greatest("size_a", "size_b"))))
-    wanted = scratch.put(near.select(F.col("doc_a").alias("doc"), F.col("line_a").alias("line")).unionAll(
-        near.select("doc_b", "line_b")).distinct())
+def _near(a: Column, b: Column, similarity: float) -> Column:
+    """Fingerprints within the radius, and lengths that the edit similarity allows."""
+    return ((F.bit_count(a["sim"].bitwiseXOR(b["sim"])) <= RADIUS)
+            & (F.abs(a["size"] - b["size"]) <= (1 - similarity) * F.greatest(a["size"], b["size"])))
+
+
+def _close(pairs: DataFrame, texts: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """``(a, b)``: ids of the pairs of lines ``(x, y)`` whose texts pass the edit similarity; texts are read for these alone."""
+    near = scratch.put(pairs.dropDuplicates(["x", "y"]))
+    wanted = scratch.put(near.select("x.doc", "x.line").unionAll(near.select("y.doc", "y.line")).distinct())
     owners = scratch.put(wanted.select("doc").distinct())
-    texts = scratch.put(keep_keys(split, owners, ["doc"]).join(wanted, ["doc", "line"]).dropDuplicates(["doc", "line"]))
-    x, y = (texts.select(F.col("doc").alias(f"doc_{s}"), F.col("line").alias(f"line_{s}"), F.col("norm").alias(f"norm_{s}")) for s in "ab")
-    limit = F.floor((1 - similarity) * F.greatest("size_a", "size_b")).cast("int")
-    out = near.join(x, ["doc_a", "line_a"]).join(y, ["doc_b", "line_b"]).withColumn("most", limit)
-    tries = " ".join(f"when most > {n} and levenshtein(norm_a, norm_b, {n}) >= 0 then true" for n in LIMITS)
-    out = scratch.put(out.filter(F.expr(f"case {tries} else levenshtein(norm_a, norm_b, most) >= 0 end")).select("a", "b"))
-    scratch.drop(near, wanted, owners, texts)
+    held = scratch.put(_split(keep_keys(texts, owners, ["doc"])).join(wanted, ["doc", "line"]).dropDuplicates(["doc", "line"]))
+    p, q = (held.select(F.col("doc").alias(f"doc_{s}"), F.col("line").alias(f"line_{s}"), F.col("norm").alias(f"norm_{s}")) for s in "xy")
+    limit = F.floor((1 - similarity) * F.greatest("x.size", "y.size")).cast("int")
+    met = near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), limit.alias("most"), *[
+        F.col(f"{s}.{c}").alias(f"{c}_{s}") for s in "xy" for c in ("doc", "line")])
+    met = met.join(p, ["doc_x", "line_x"]).join(q, ["doc_y", "line_y"]).select("a", "b", "most", "norm_x", "norm_y")
+    # few bytes but long work: one task a shuffle partition, however small
+    met = met.repartition(int(near.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
+    tries = " ".join(f"when most > {n} and levenshtein(norm_x, norm_y, {n}) >= 0 then true" for n in LIMITS)
+    out = scratch.put(met.filter(F.expr(f"case {tries} else levenshtein(norm_x, norm_y, most) >= 0 end")).select("a", "b"))
+    scratch.drop(near, wanted, owners, held)
     return out
 
 
@@ -108,69 +116,77 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
                  scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
     """All lines ``(doc, line, h1, h2, ...)`` and the lines to keep ``(doc, line)``.
 
-    Lines with equal normal form are one; different ones are linked if their SimHash differs in at most
-    RADIUS bits and their edit similarity reaches the threshold. The first line (smallest document, then
-    line number) of each connected class is kept.
+    Lines with equal normal form are one; different ones are linked if two blocks of their SimHash are equal,
+    it differs in at most RADIUS bits and their edit similarity reaches the threshold. Lines that share a block
+    pair with many others are compared with leaders and left out as they join the largest class of their bucket;
+    what ROUNDS leaders left apart is paired. The first line (smallest document, then line number) of each
+    connected class is kept.
     """
     scratch = scratch or Scratch(docs.sparkSession, "lines")
-    split = lines(docs, key, text)
-    every = scratch.put(fingerprints(split))
+    texts = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))
+    every = scratch.put(fingerprints(_split(texts)))
     first = every.groupBy("h1", "h2").agg(F.min(F.struct("doc", "line")).alias("at"), F.max("sim").alias("sim"), F.max("size").alias("size"))
     found = scratch.put(first.select("at.doc", "at.line", "sim", "size", F.monotonically_increasing_id().alias("id")))
-    keys = found.select("id", F.explode(block_keys(F.col("sim"))).alias("key")).repartition("key")
-    sums = scratch.put(keys.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"),
-                                               F.try_sum("id").alias("total")).filter("n > 1"))
-    third = F.col("total") - F.col("low") - F.col("high")
-
-    def pair(a, b):
-        return F.struct(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-    low, high = F.col("low"), F.col("high")
-    few = sums.filter("n = 2").select(low.alias("a"), high.alias("b")).unionAll(sums.filter("n = 3").select(
-        F.explode(F.array(pair(low, third), pair(third, high), pair(low, high))).alias("p")).select("p.a", "p.b"))
-    many = scratch.put(sums.filter("n > 3").select("key", "n", "low"))
-    busy = scratch.put(found.select("id", F.explode(block_keys(F.col("sim"))).alias("key")).transform(
+    me = F.struct("id", "sim", "size", "doc", "line")
+    keys = found.select("id", F.explode(block_keys(F.col("sim"))).alias("key"))
+    # counted before the shuffle, so a key of very many lines is a few rows; two members are known by smallest and sum
+    sums = scratch.put(keys.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.try_sum("id").alias("total")).filter("n > 1"))
+    few = sums.filter("n = 2").select(F.col("low").alias("a"), (F.col("total") - F.col("low")).alias("b"))
+    x, y = (found.select(F.col("id").alias(i), me.alias(s)) for i, s in ("ax", "by"))
+    few = few.distinct().join(x, "a").join(y, "b").select("x", "y")
+    many = scratch.put(sums.filter("n > 2").select("key", "n"))
+    busy = scratch.put(found.select(me.alias("me"), F.explode(block_keys(F.col("sim"))).alias("key")).transform(
         lambda d: keep_keys(d, many.select("key"), ["key"])).join(many, "key"))
     scratch.drop(many)
-    some = busy.filter(F.col("n") <= BUCKET).select("key", "id")
-    inside = some.select("key", F.col("id").alias("a")).join(some.select("key", F.col("id").alias("b")), "key").filter("a < b").select("a", "b")
-    edges = _close(few.unionAll(inside), found, split, similarity, scratch)
+    some = busy.filter(F.col("n") <= BUCKET)
+    inside = some.select("key", F.col("me").alias("x")).join(some.select("key", F.col("me").alias("y")), "key").filter("x.id < y.id").select("x", "y")
+    close = _near(F.col("x"), F.col("y"), similarity)
+    edges = _close(few.unionAll(inside).filter(close), texts, similarity, scratch)
     scratch.drop(sums)
-    hot = scratch.put(busy.filter(F.col("n") > BUCKET).select("key", "id", F.col("low").alias("lead")))
+    hot = busy.filter(F.col("n") > BUCKET).select("key", "me")
+    hot = scratch.put(hot.join(hot.groupBy("key").agg(F.min("me").alias("lead")), "key"))
     scratch.drop(busy)
     for turn in range(ROUNDS + 1):
         if hot.isEmpty():
             break
         if turn < ROUNDS:
-            pairs = hot.filter("id <> lead").select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
+            pairs = hot.filter("me.id <> lead.id").select(F.least("me", "lead").alias("x"), F.greatest("me", "lead").alias("y"))
         else:  # what leaders left apart
-            pairs = hot.select("key", F.col("id").alias("a"), F.col("label").alias("x")).join(
-                hot.select("key", F.col("id").alias("b"), F.col("label").alias("y")), "key").filter("a < b and x <> y").select("a", "b")
-        edges = edges.unionAll(_close(pairs, found, split, similarity, scratch))
+            pairs = hot.select("key", F.col("me").alias("x"), F.col("label").alias("s")).join(
+                hot.select("key", F.col("me").alias("y"), F.col("label").alias("t")), "key").filter("x.id < y.id and s <> t").select("x", "y")
+        fresh = _close(pairs.filter(close), texts, similarity, scratch)
+        labels = components(edges.unionAll(fresh), scratch)
+        scratch.drop(edges, fresh)
+        # the classes so far, contracted to one edge a member
+        edges = scratch.put(labels.filter("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b")))
         if turn == ROUNDS:
+            scratch.drop(labels)
             break
-        labels = components(edges, scratch)
-        named = scratch.put(hot.select("key", "id").join(labels, "id", "left").withColumn(
-            "label", F.coalesce("component", "id")).drop("component"))
+        named = scratch.put(hot.select("key", "me", F.col("me.id").alias("id")).join(labels, "id", "left").select(
+            "key", "me", F.coalesce("component", "id").alias("label")))
         # the next leader of a bucket: the first line outside its largest class
-        tally = named.groupBy("key", "label").agg(F.count("*").alias("c"), F.min("id").alias("head"))
-        tally = tally.groupBy("key").agg(F.max_by("label", "c").alias("main"), F.count("*").alias("labels")).filter("labels > 1")
+        tally = named.groupBy("key", "label").agg(F.count("*").alias("c"))
+        tally = tally.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("labels")).filter("labels > 1")
         mixed = scratch.put(named.join(tally.select("key", "main"), "key"))
-        lead = mixed.filter("label <> main").groupBy("key").agg(F.min("id").alias("lead"))
+        lead = mixed.filter("label <> main").groupBy("key").agg(F.min("me").alias("lead"))
         scratch.drop(hot, labels, named)
-        hot = scratch.put(mixed.join(lead, "key").select("key", "id", "label", "lead"))
+        hot = scratch.put(mixed.join(lead, "key").select("key", "me", "label", "lead"))
         scratch.drop(mixed)
     classes = components(edges, scratch)
     kept = found.join(classes, "id", "left").groupBy(F.coalesce("component", "id").alias("c")).agg(F.min(F.struct("doc", "line")).alias("at"))
-    return every, scratch.put(kept.select("at.doc", "at.line"))
+    kept = scratch.put(kept.select("at.doc", "at.line"))
+    scratch.only(every, kept)
+    return every, kept
 
 
-def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
+                  scratch: Scratch | None = None) -> DataFrame:
     """``(doc, n_lines, removed)``: for each document with lines, their number and the sorted numbers of those to go.
 
     Line numbers count from 0. Blank lines are neither counted nor removed; null and
     empty texts and null keys have no row. A key that is repeated has one row over all its texts.
     """
-    every, kept = line_classes(docs, key, text, similarity)
+    every, kept = line_classes(docs, key, text, similarity, scratch)
     state = every.select("doc", "line").join(kept.withColumn("keep", F.lit(1)), ["doc", "line"], "left")
     return state.groupBy("doc").agg(F.count("*").alias("n_lines"),
                                     F.sort_array(F.collect_set(F.when(F.col("keep").isNull(), F.col("line")))).alias("removed"))
@@ -181,7 +197,9 @@ def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", similar
 
     All columns stay; other texts (null, empty, blank) stay as they are.
     """
-    gone = Scratch(docs.sparkSession, "gone").put(removed_lines(docs, key, text, similarity).filter("size(removed) > 0"))
+    scratch = Scratch(docs.sparkSession, "gone")
+    gone = scratch.put(removed_lines(docs, key, text, similarity, scratch).filter("size(removed) > 0"))
+    scratch.only(gone)
     gone = gone.select(F.col("doc").alias("__doc"), F.col("n_lines").alias("__n"), F.col("removed").alias("__gone"))
     split = F.split(F.col(f"`{text}`"), "\n", -1)
     left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("__gone"))

@@ -233,17 +233,37 @@ def test_op2_query(spark):
     assert whole <= {(r["doc_id"], r["item_id"]) for r in got} and whole and all(0.8 <= r["similarity"] <= 1 for r in got)
 
 
+def within(a, b, most):
+    """Edit distance of ``most`` at most; replacing the words that differ is often enough to tell."""
+    x, y = a.split(" "), b.split(" ")
+    if len(x) == len(y) and sum(max(len(v), len(w)) for v, w in zip(x, y) if v != w) <= most:
+        return True
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1] <= most
+
+
+def linked(sim_a, sim_b, a, b):
+    """Two of five equal blocks, at most an eighth and a half of the bits apart, edit similarity of 0.8."""
+    apart = (sim_a ^ sim_b) & (2**64 - 1)
+    equal = sum(not apart >> start & (1 << width) - 1 for start, width in ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12)))
+    return a == b or equal >= 2 and bin(apart).count("1") <= 12 and within(a, b, int((1 - 0.8) * max(len(a), len(b))))
+
+
 def test_lines(spark, edge, empty):
     base = " ".join(f"word{i}" for i in range(60))
     near = base + "x"
     rows = [(1, f"{base}\nshort\n\nother line here"), (2, f"SHORT \n{near}\nfresh"), (3, "short\nShort"), (4, None), (5, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     codes = [r["sim"] for r in simline.fingerprints(simline.lines(docs, "doc_id", "text")).orderBy("doc", "line").collect()]
-    apart = bin((codes[0] ^ codes[4]) & (2**64 - 1)).count("1")
+    hit = linked(codes[0], codes[4], base, near)
     got = {r["doc"]: (r["n_lines"], r["removed"]) for r in simline.removed_lines(docs).collect()}
-    assert got == {1: (3, []), 2: (3, [0, 1] if apart <= simline.RADIUS else [0]), 3: (2, [0, 1])}
+    assert got == {1: (3, []), 2: (3, [0, 1] if hit else [0]), 3: (2, [0, 1])}
     kept = {r["doc_id"]: r["text"] for r in simline.drop_lines(docs).collect()}
-    assert kept[2] == ("fresh" if apart <= simline.RADIUS else f"{near}\nfresh") and 3 not in kept and kept[4] is None and kept[5] == ""
+    assert kept[2] == ("fresh" if hit else f"{near}\nfresh") and 3 not in kept and kept[4] is None and kept[5] == ""
     assert simline.drop_lines(edge).columns == edge.columns and simline.drop_lines(empty).count() == 0
 
 
@@ -251,24 +271,28 @@ def test_lines(spark, edge, empty):
 def test_lines_equal_brute_force(spark, bucket, monkeypatch):
     monkeypatch.setattr("tessel.llm.simline.BUCKET", bucket)
     rng = random.Random(4)
-    base = [f"v{rng.randrange(5000)}" for _ in range(80)]
     rows = []
-    for i in range(40):
-        line = list(base)
-        for _ in range(rng.choice([0, 1, 1, 2])):
-            line[rng.randrange(80)] = f"u{rng.randrange(99)}"
-        rows.append((i, " ".join(line)))
+    for size, copies, changed in ((80, 40, 2), (12, 60, 2), (12, 60, 6)):
+        base = [f"v{rng.randrange(5000)}" for _ in range(size)]
+        for _ in range(copies):
+            line = list(base)
+            for _ in range(rng.randrange(changed + 1)):
+                line[rng.randrange(size)] = f"u{rng.randrange(99)}"
+            rows.append((len(rows), " ".join(line)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     sims = {r["doc"]: r["sim"] for r in simline.fingerprints(simline.lines(docs, "doc_id", "text")).collect()}
-    root = {i: i for i, _ in rows}
     text = dict(rows)
-    for _ in range(5):
-        for a in root:
-            for b in root:
-                if a < b and bin((sims[a] ^ sims[b]) & (2**64 - 1)).count("1") <= simline.RADIUS or text[a] == text[b]:
-                    root[a] = root[b] = min(root[a], root[b])
+    links = [(a, b) for a in text for b in text if a < b and linked(sims[a], sims[b], text[a], text[b])]
+    root = {i: i for i in text}
+    while True:
+        before = dict(root)
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+        if root == before:
+            break
     gone = {r["doc"] for r in simline.removed_lines(docs).collect() if r["removed"]}
     assert gone == {i for i in root if root[i] != i}
+    assert any(bin((sims[a] ^ sims[b]) & (2**64 - 1)).count("1") > 3 for a, b in links)
 
 
 def test_license_scan_edges(spark, edge, empty):
