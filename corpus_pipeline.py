@@ -7,6 +7,8 @@ link with nothing, hold no passage and have no tokens.
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import functions as F
 
 from tessel.llm import bpe
@@ -47,8 +49,8 @@ def line_dedup(spark, docs, sf_dir):
 def near_dedup(spark, docs, sf_dir):
     """The document with the smallest doc_id of each class of near-duplicates stays."""
     reach(spark)
-    classes = Scratch(spark, "near").put(similar_classes(docs, percent=NEAR))
-    return _without(docs, classes.filter(~F.col("kept")))
+    gone = Scratch(spark, "near").put(similar_classes(docs, percent=NEAR).filter(~F.col("kept")).select("doc_id"))
+    return _without(docs, gone)
 
 
 def decontaminate(spark, docs, sf_dir):
@@ -75,4 +77,8 @@ def run(spark, sf_dir):
     scratch = Scratch(spark, "pipeline")
     for _, stage in STAGES[:-1]:
         docs = scratch.put(stage(spark, docs, sf_dir))
+        scratch.only(docs)
+        # plans of the stage are garbage now; collecting them lets Spark delete their shuffle files
+        gc.collect()
+        spark._jvm.System.gc()
     return STAGES[-1][1](spark, docs, sf_dir)
