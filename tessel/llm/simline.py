@@ -93,6 +93,21 @@ def _near(a: Column, b: Column, similarity: float) -> Column:
             & (F.abs(a["size"] - b["size"]) <= (1 - similarity) * F.greatest(a["size"], b["size"])))
 
 
+def _trimmed(x: str, y: str) -> str:
+    """SQL for an array of one struct: texts ``x`` and ``y`` without what both begin and end with, reversed.
+
+    No edit distance depends on what goes. The common length is searched in halving steps. Each step reads
+    the struct of the one before, so that nothing is worked out twice.
+    """
+    steps = ", ".join(str(1 << k) for k in range(20, -1, -1))
+    held = f"array(named_struct('x', {x}, 'y', {y}))"
+    for _ in range(2):
+        same = f"aggregate(array({steps}), 0, (p, k) -> if(substring(s.x, p + 1, k) = substring(s.y, p + 1, k), p + k, p))"
+        held = f"transform({held}, s -> named_struct('x', s.x, 'y', s.y, 'n', {same}))"
+        held = f"transform({held}, s -> named_struct('x', reverse(substring(s.x, s.n + 1)), 'y', reverse(substring(s.y, s.n + 1))))"
+    return held
+
+
 def _close(pairs: DataFrame, texts: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
     """``(a, b)``: ids of the pairs of lines ``(x, y)`` whose texts pass the edit similarity; texts are read for these alone."""
     near = scratch.put(pairs.dropDuplicates(["x", "y"]))
@@ -106,8 +121,9 @@ def _close(pairs: DataFrame, texts: DataFrame, similarity: float, scratch: Scrat
     met = met.join(p, ["doc_x", "line_x"]).join(q, ["doc_y", "line_y"]).select("a", "b", "most", "norm_x", "norm_y")
     # few bytes but long work: one task a shuffle partition, however small
     met = met.repartition(int(near.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
-    tries = " ".join(f"when most > {n} and levenshtein(norm_x, norm_y, {n}) >= 0 then true" for n in LIMITS)
-    out = scratch.put(met.filter(F.expr(f"case {tries} else levenshtein(norm_x, norm_y, most) >= 0 end")).select("a", "b"))
+    tries = " ".join(f"when most > {n} and levenshtein(s.x, s.y, {n}) >= 0 then true" for n in LIMITS)
+    alike = F.expr(f"exists({_trimmed('norm_x', 'norm_y')}, s -> case {tries} else levenshtein(s.x, s.y, most) >= 0 end)")
+    out = scratch.put(met.filter(alike).select("a", "b"))
     scratch.drop(near, wanted, owners, held)
     return out
 

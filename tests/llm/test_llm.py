@@ -267,6 +267,14 @@ def test_lines(spark, edge, empty):
     assert simline.drop_lines(edge).columns == edge.columns and simline.drop_lines(empty).count() == 0
 
 
+def test_trimming_keeps_the_distance(spark):
+    pairs = [("", ""), ("", "abc"), ("same", "same"), ("aaa", "aaaa"), ("abab", "ab"), ("xabcx", "xadcx"), ("é日本", "é日x本"), ("ab", "ba"),
+             ("q" * 3000 + "r", "q" * 2999 + "sr")]
+    rows = spark.createDataFrame(pairs, "x string, y string").withColumn("n", F.levenshtein("x", "y"))
+    got = rows.select("n", F.expr(f"{simline._trimmed('x', 'y')}[0]").alias("s")).select("n", "s.*").withColumn("m", F.levenshtein("x", "y")).collect()
+    assert all(r["n"] == r["m"] for r in got) and max(len(r["x"]) for r in got) <= 2
+
+
 @pytest.mark.parametrize("bucket", [64, 3])
 def test_lines_equal_brute_force(spark, bucket, monkeypatch):
     monkeypatch.setattr("tessel.llm.simline.BUCKET", bucket)
