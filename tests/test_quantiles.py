@@ -4,6 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tessel.functions import quantiles
 from tessel.functions.quantiles import exact_quantiles, quantile_report
 
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
@@ -57,3 +58,12 @@ def test_many_columns_at_once(spark):
     ids = np.arange(1000)
     for i in range(1, 9):
         np.testing.assert_allclose(got[f"c{i}"], np.quantile(ids * i % 97, [0.25, 0.5]))
+
+
+def test_sketch_is_built_from_thinned_values(spark):
+    """Every value of a column went into one sketch a task; now one of sixteen does, and counts still decide."""
+    values = np.random.default_rng(8).normal(size=5000)
+    thin = quantiles._values(frame(spark, values), [F.col("x"), -F.col("x")]).mapInArrow(quantiles._thinned(2), "c int, v double")
+    assert 500 < thin.count() < 700
+    got = exact_quantiles(frame(spark, [*values, float("nan"), float("nan"), None]), ["x"], [0.25, 0.5], open_rows=40)
+    np.testing.assert_allclose(got["x"], np.quantile([*values, np.inf, np.inf], [0.25, 0.5]), rtol=1e-12)
