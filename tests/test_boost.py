@@ -2,8 +2,11 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
 from tessel.operators.boost import BoostModel, HistogramBoost, chance
 from tessel.operators.models import LabelStats, Spec
@@ -148,3 +151,15 @@ def test_saved_model_and_edges(spark):
         HistogramBoost({"label": "y", "bins": 300}).fit(df)
     flat = spark.createDataFrame([(i, float(i), Vectors.dense([2.0])) for i in range(4)], ["id", "y", "features"])
     assert HistogramBoost({"label": "y", "features": "features"}).fit(flat).transform(flat).first()["prediction"] == 1.5
+
+
+def test_binned_rows_are_dealt_out(spark, monkeypatch):
+    """Levels of a tree read the binned rows with more than one task, also if the input has one."""
+    from tessel.operators import boost
+
+    seen = []
+    kept = boost.grow
+    monkeypatch.setattr(boost, "grow", lambda rows, *rest: seen.append(len(rows.inputFiles())) or kept(rows, *rest))
+    df = spark.range(300_000).coalesce(1).select("id", F.rand(1).alias("y"), array_to_vector(F.array(F.rand(2), F.rand(3))).alias("features"))
+    HistogramBoost({"label": "y", "rounds": 1, "depth": 1, "key": ["id"]}).fit(df)
+    assert seen[0] > 1
