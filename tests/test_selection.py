@@ -191,3 +191,24 @@ def test_stream_scores_equal_batch_scores(spark, table, data, tmp_path):
 
 def test_cross_validate_rows(data):
     assert [m["fold"] for m in cross_validate(Spec("ridge", {}), data)] == [0, 1, 2]
+
+
+def test_rows_of_one_file_are_dealt_out(spark):
+    """A table read by one task does not leave all later passes to one task."""
+    rows = spark.range(400_000).coalesce(1).select("id", F.rand(1).alias("a"), F.rand(2).alias("y"), F.lit(False).alias("is_test"))
+    made = prepare(rows, FeaturePlan(key=["id"], target="y"), k=2)
+    assert len(made.full.projected.inputFiles()) > 1
+    assert made.full.rows.count() == 400_000
+
+
+def test_linear_models_write_no_encoded_table(table):
+    """Cross-products come from the projection; a table that a tree family needs later gives the same ones."""
+    made = prepare(stratified_split(table, "id", "y").mark(table), PLAN, k=2)
+    before = cross_validate(Spec("ridge", {}), made)
+    stack_search(LINEAR, made, n_trials=2, inner=2)
+    assert all(f.written is None for f in made.folds)
+    for f in made.folds:
+        assert f.train.count() + f.held.count() == f.projected.count()
+        f.found = None
+    for a, b in zip(before, cross_validate(Spec("ridge", {}), made)):
+        assert a == pytest.approx(b)
