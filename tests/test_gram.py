@@ -3,10 +3,12 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from tessel.functions import gram
 from tessel.functions.gram import but, dot, grams, linear_metrics, merge, solve
 from tessel.functions.hashing import fold_of
 from tessel.operators.models import LabelStats, LinearModel, Spec, penalties
@@ -140,3 +142,15 @@ def test_passthrough_trials_equal_the_fitted_stack(data):
             return fit + alpha * l1 * abs(w * sd).sum() + alpha * (1 - l1) / 2 * ((w * sd) ** 2).sum()
 
         assert objective(w) <= objective(at) + 1e-9
+
+
+def test_no_array_on_the_way_to_python_is_null(spark):
+    """Dense, sparse and empty sparse vectors: none sends a null array, and all become the same dense rows."""
+    vectors = [Vectors.dense([1.0, 0.0, 2.0]), Vectors.sparse(3, [2], [5.0]), Vectors.sparse(3, [], [])]
+    df = spark.createDataFrame([(0, float(i), v) for i, v in enumerate(vectors)], StructType([
+        StructField("fold", LongType()), StructField("y", DoubleType()), StructField("features", VectorUDT())]))
+    rows = df.select("fold", "y", F.unwrap_udt("features").alias("v")).select("fold", "y", *gram.places()).coalesce(1)
+    assert rows.where("at is null or x is null").count() == 0
+    batch = rows.orderBy("y").toArrow().combine_chunks().to_batches()[0]
+    _, dense = next(gram.dense_blocks(batch, 3))
+    assert dense.tolist() == [[1, 0, 2, 0], [0, 0, 5, 1], [0, 0, 0, 2]]
