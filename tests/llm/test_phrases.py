@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,3 +82,12 @@ def test_products_beyond_64_bits(spark):
     row = spark.range(1).selectExpr("cast(900000000007 as long) a", "cast(90000000000011 as long) n", "cast(900000000008 as long) l", "cast(900000000009 as long) r")
     got = row.selectExpr("(cast(1000 as decimal(5,0)) * cast(a as decimal(15,0)) * cast(n as decimal(17,0))) div (cast(l as decimal(18,0)) * cast(r as decimal(18,0))) s").first()[0]
     assert got == 1000 * 900000000007 * 90000000000011 // (900000000008 * 900000000009)
+
+
+def test_words_held_are_bounded(monkeypatch):
+    """A small vocabulary in a long table: what a task holds does not grow with the rows."""
+    monkeypatch.setattr(phrases, "HELD", 10)
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 50, "text": ["a b c " * 200_000] + ["a b c"] * 49})
+    parts = list(phrases._words([batch] * 40))
+    assert len(parts) > 1
+    assert sum(sum(p.column("n").to_pylist()) for p in parts) == 40 * 3 * (200_000 + 49)
