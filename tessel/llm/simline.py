@@ -16,14 +16,20 @@ SIMILARITY = 0.8
 RADIUS = int(64 * (1 - SIMILARITY))
 #: Bits of the five blocks. Candidates have two equal blocks: all pairs up to three bits apart do, and many beyond.
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
-#: Lines that share a block pair are all paired up to this many; above, through leaders first.
+#: Lines that share a block pair meet one leader first. What it leaves apart is paired up to this many lines; above, further leaders follow.
 BUCKET = 64
 #: Rounds of leaders before what is still apart is paired.
 ROUNDS = 6
 #: Words of a line are told apart by the stretch of this many words they stand in; shorter lines have one stretch.
 STRETCH = 512
 #: Limits an edit distance is tried with, smallest first, before the whole allowance: close lines end at the first.
-LIMITS = (8, 64, 512, 4096)
+LIMITS = (8, 32, 128, 512, 2048, 8192)
+
+#: Upper bounds of the distance that cost one pass: the longer length, and words compared place by place. Within the allowance
+#: they settle a pair; they never refuse one.
+SURE = """when greatest(length(s.x), length(s.y)) <= most then true
+  when size(split(s.x, ' ', -1)) = size(split(s.y, ' ', -1))
+    and aggregate(zip_with(split(s.x, ' ', -1), split(s.y, ' ', -1), (v, w) -> if(v = w, 0, levenshtein(v, w))), 0, (d, e) -> d + e) <= most then true"""
 
 
 def normal(line: Column) -> Column:
@@ -41,42 +47,41 @@ def _split(texts: DataFrame) -> DataFrame:
     return each.select("doc", "line", normal(F.col("raw")).alias("norm")).filter("norm <> '' and doc is not null")
 
 
-def _votes(width: int) -> Column:
-    """Fingerprint of the word codes ``hs`` from votes counted in lanes of ``width`` bits, several to a long."""
-    lanes = 64 // width
-    ones = sum(1 << width * k for k in range(lanes))
-
-    def count(i):  # bit i votes in lane i // width of sum i % width
-        sums = F.aggregate("hs", F.lit(0).cast("long"), lambda a, h: a + F.shiftrightunsigned(h, i).bitwiseAND(F.lit(ones)))
-        return sums
+#: Votes are added in lanes of this many bits, several to a long, up to so many distinct words.
+LANES = ((8, 127), (16, 32767), (32, 2**31 - 1))
+#: Lane k of sum i holds the votes for bit ``i + width * k``. The expressions stay small, so that the stage is compiled.
+VOTES = "transform(sequence(0, width - 1), i -> aggregate(hs, 0L, (sum, h) -> sum + (shiftrightunsigned(h, i) & ones)))"
+#: A lane that outvotes half of the words, ``tie`` added, carries into its highest bit. The top lane is decided by
+#: itself, as a carry there would leave the long.
+DECIDED = """aggregate(transform(sums, (s, i) -> shiftleft(
+  (shiftrightunsigned((s & inner) + half * (ones & inner) + (shiftrightunsigned(tie, i) & ones & inner), width - 1) & ones & inner)
+  | shiftleft(shiftrightunsigned(shiftrightunsigned(s, 64 - width) + half + (shiftrightunsigned(tie, i + 64 - width) & 1), width - 1), 64 - width),
+  i)), 0L, (sim, bits) -> sim | bits)"""
 
-    sums = F.array(*[count(i) for i in range(width)])
-    return sums.alias("sums")
 
-
-def _assemble(width: int) -> Column:
-    def bit(i):
-        got = F.shiftrightunsigned(F.get("sums", i % width), width * (i // width)).bitwiseAND(F.lit((1 << width) - 1))
-        tie = F.shiftrightunsigned("low", i).bitwiseAND(F.lit(1))
-        return F.shiftleft((2 * got + tie > F.col("n")).cast("long"), i)
-    return reduce(lambda a, b: a.bitwiseOR(b), map(bit, range(64)))
+def _by_width(value) -> Column:
+    """``value(width)`` for the lanes that hold ``n`` votes."""
+    picks = [(F.col("n") <= most, F.lit(value(width))) for width, most in LANES]
+    return reduce(lambda rest, pick: F.when(pick[0], pick[1]).otherwise(rest), reversed(picks[:-1]), picks[-1][1])
 
 
 def fingerprints(split: DataFrame) -> DataFrame:
     """``(doc, line, h1, h2, size, sim)``: exact code, length and 64-bit SimHash of the distinct words of each line.
 
     A word counts as another one in each stretch of STRETCH words, so long lines over one vocabulary stay
-    apart unless their words stand in a like order. Word hashes vote bit by bit; the smallest one decides ties. Votes are added in lanes of 8 bits up to 127
-    distinct words, of 16 up to 32,767, of 32 beyond.
+    apart unless their words stand in a like order. Word hashes vote bit by bit; the smallest one decides ties.
     """
     coded = split.select("doc", "line", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(1), "norm").alias("h2"),
                          F.length("norm").alias("size"),
                          F.array_distinct(F.transform(F.split("norm", " ", -1), lambda w, i: F.xxhash64(w, (i / STRETCH).cast("int")))).alias("hs"))
     n = F.size("hs")
-    summed = coded.select("doc", "line", "h1", "h2", "size", n.alias("n"), F.array_min("hs").alias("low"),
-                          F.when(n <= 127, _votes(8)).when(n <= 32767, _votes(16)).otherwise(_votes(32)).alias("sums"))
-    sim = F.when(F.col("n") <= 127, _assemble(8)).when(F.col("n") <= 32767, _assemble(16)).otherwise(_assemble(32))
-    return summed.select("doc", "line", "h1", "h2", "size", sim.alias("sim"))
+    counted = coded.select("*", n.alias("n"), F.when(n % 2 == 0, F.array_min("hs")).otherwise(F.lit(0).cast("long")).alias("tie"))
+    ones = _by_width(lambda width: sum(1 << width * k for k in range(64 // width)))
+    laid = counted.select("*", _by_width(lambda width: width).alias("width"), ones.alias("ones"),
+                          _by_width(lambda width: (1 << 64 - width) - 1).alias("inner"),
+                          (_by_width(lambda width: (1 << width - 1) - 1) - F.shiftright("n", 1)).cast("long").alias("half"))
+    voted = laid.select("doc", "line", "h1", "h2", "size", "tie", "width", "ones", "inner", "half", F.expr(VOTES).alias("sums"))
+    return voted.select("doc", "line", "h1", "h2", "size", F.expr(DECIDED).alias("sim"))
 
 
 def block_keys(sim: Column) -> Column:
@@ -122,7 +127,7 @@ def _close(pairs: DataFrame, texts: DataFrame, similarity: float, scratch: Scrat
     # few bytes but long work: one task a shuffle partition, however small
     met = met.repartition(int(near.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
     tries = " ".join(f"when most > {n} and levenshtein(s.x, s.y, {n}) >= 0 then true" for n in LIMITS)
-    alike = F.expr(f"exists({_trimmed('norm_x', 'norm_y')}, s -> case {tries} else levenshtein(s.x, s.y, most) >= 0 end)")
+    alike = F.expr(f"exists({_trimmed('norm_x', 'norm_y')}, s -> case {SURE} {tries} else levenshtein(s.x, s.y, most) >= 0 end)")
     out = scratch.put(met.filter(alike).select("a", "b"))
     scratch.drop(near, wanted, owners, held)
     return out
@@ -134,9 +139,9 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
 
     Lines with equal normal form are one; different ones are linked if two blocks of their SimHash are equal,
     it differs in at most RADIUS bits and their edit similarity reaches the threshold. Lines that share a block
-    pair with many others are compared with leaders and left out as they join the largest class of their bucket;
-    what ROUNDS leaders left apart is paired. The first line (smallest document, then line number) of each
-    connected class is kept.
+    pair are compared with the first of them, so links grow with the lines and not with their pairs; those of
+    different classes are then paired, in large buckets after ROUNDS leaders. The first line (smallest document,
+    then line number) of each connected class is kept.
     """
     scratch = scratch or Scratch(docs.sparkSession, "lines")
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))
@@ -154,41 +159,44 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     busy = scratch.put(found.select(me.alias("me"), F.explode(block_keys(F.col("sim"))).alias("key")).transform(
         lambda d: keep_keys(d, many.select("key"), ["key"])).join(many, "key"))
     scratch.drop(many)
-    some = busy.filter(F.col("n") <= BUCKET)
-    inside = some.select("key", F.col("me").alias("x")).join(some.select("key", F.col("me").alias("y")), "key").filter("x.id < y.id").select("x", "y")
     close = _near(F.col("x"), F.col("y"), similarity)
-    edges = _close(few.unionAll(inside).filter(close), texts, similarity, scratch)
-    scratch.drop(sums)
-    hot = busy.filter(F.col("n") > BUCKET).select("key", "me")
-    hot = scratch.put(hot.join(hot.groupBy("key").agg(F.min("me").alias("lead")), "key"))
+    met = scratch.put(busy.join(busy.groupBy("key").agg(F.min("me").alias("lead")), "key"))
     scratch.drop(busy)
+
+    def led(rows):
+        return rows.filter("me.id <> lead.id").select(F.least("me", "lead").alias("x"), F.greatest("me", "lead").alias("y"))
+
+    def apart(rows):
+        return rows.select("key", F.col("me").alias("x"), F.col("label").alias("s")).join(
+            rows.select("key", F.col("me").alias("y"), F.col("label").alias("t")), "key").filter("x.id < y.id and s <> t").select("x", "y")
+
+    pairs, classes, mixed = few.unionAll(led(met)), None, None
     for turn in range(ROUNDS + 1):
-        if hot.isEmpty():
+        edges = _close(pairs.filter(close), texts, similarity, scratch)
+        if classes is None or not edges.isEmpty():
+            # the classes so far, contracted to one edge a member
+            known = None if classes is None else classes.filter("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+            fresh = components(edges if known is None else known.unionAll(edges), scratch)
+            scratch.drop(classes)
+            classes = fresh
+        scratch.drop(edges, sums, mixed)
+        if turn == ROUNDS or met.isEmpty():
             break
-        if turn < ROUNDS:
-            pairs = hot.filter("me.id <> lead.id").select(F.least("me", "lead").alias("x"), F.greatest("me", "lead").alias("y"))
-        else:  # what leaders left apart
-            pairs = hot.select("key", F.col("me").alias("x"), F.col("label").alias("s")).join(
-                hot.select("key", F.col("me").alias("y"), F.col("label").alias("t")), "key").filter("x.id < y.id and s <> t").select("x", "y")
-        fresh = _close(pairs.filter(close), texts, similarity, scratch)
-        labels = components(edges.unionAll(fresh), scratch)
-        scratch.drop(edges, fresh)
-        # the classes so far, contracted to one edge a member
-        edges = scratch.put(labels.filter("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b")))
-        if turn == ROUNDS:
-            scratch.drop(labels)
-            break
-        named = scratch.put(hot.select("key", "me", F.col("me.id").alias("id")).join(labels, "id", "left").select(
-            "key", "me", F.coalesce("component", "id").alias("label")))
-        # the next leader of a bucket: the first line outside its largest class
+        named = scratch.put(met.select("key", "n", "me", "lead", F.col("me.id").alias("id")).join(classes, "id", "left").select(
+            "key", "n", "me", "lead", F.coalesce("component", "id").alias("label")))
         tally = named.groupBy("key", "label").agg(F.count("*").alias("c"))
         tally = tally.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("labels")).filter("labels > 1")
         mixed = scratch.put(named.join(tally.select("key", "main"), "key"))
-        lead = mixed.filter("label <> main").groupBy("key").agg(F.min("me").alias("lead"))
-        scratch.drop(hot, labels, named)
-        hot = scratch.put(mixed.join(lead, "key").select("key", "me", "label", "lead"))
-        scratch.drop(mixed)
-    classes = components(edges, scratch)
+        scratch.drop(met, named)
+        if mixed.isEmpty():
+            break
+        # the next leader of a large bucket: the first line outside its largest class
+        large = mixed.filter(F.col("n") > BUCKET)
+        lead = large.filter("label <> main").groupBy("key").agg(F.min("me").alias("lead"))
+        met = scratch.put(large.drop("lead").join(lead, "key").select("key", "n", "me", "lead", "label"))
+        small = mixed.filter(F.col("n") <= BUCKET)
+        pairs = apart(met) if turn + 1 == ROUNDS else led(met)
+        pairs = pairs.unionAll(apart(small.filter("me.id <> lead.id"))) if turn == 0 else pairs
     kept = found.join(classes, "id", "left").groupBy(F.coalesce("component", "id").alias("c")).agg(F.min(F.struct("doc", "line")).alias("at"))
     kept = scratch.put(kept.select("at.doc", "at.line"))
     scratch.only(every, kept)

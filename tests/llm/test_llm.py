@@ -303,6 +303,47 @@ def test_lines_equal_brute_force(spark, bucket, monkeypatch):
     assert any(bin((sims[a] ^ sims[b]) & (2**64 - 1)).count("1") > 3 for a, b in links)
 
 
+def test_line_links_grow_with_the_lines(spark, monkeypatch):
+    """A class of near lines costs no more comparisons than its lines have block pairs, not all its pairs."""
+    rng, compared, close = random.Random(7), [], simline._close
+    base = [f"v{rng.randrange(5000)}" for _ in range(80)]
+    rows = [(i, " ".join(base[:j] + [f"u{i}"] + base[j + 1:])) for i, j in enumerate(rng.randrange(80) for _ in range(60))]
+
+    def counted(pairs, *rest):
+        compared.append(pairs.dropDuplicates(["x", "y"]).count())
+        return close(pairs, *rest)
+
+    monkeypatch.setattr(simline, "_close", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sum(len(r["removed"]) for r in simline.removed_lines(docs).collect()) > 40
+    assert 0 < sum(compared) <= 10 * len(rows)
+
+
+def test_fingerprint_is_the_majority_of_word_hashes(spark):
+    """Lanes of 8 and of 16 bits, odd and even numbers of words."""
+    rows = [(n, " ".join(f"w{n}x{i}" for i in range(n))) for n in (1, 2, 7, 8, 126, 127, 128, 300, 511)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc"]: r["sim"] for r in simline.fingerprints(simline.lines(docs, "doc_id", "text")).collect()}
+    hashed = docs.select("doc_id", F.explode(F.split("text", " ")).alias("w")).select("doc_id", F.xxhash64("w", F.lit(0)).alias("h")).collect()
+    for n, _ in rows:
+        hs = [r["h"] for r in hashed if r["doc_id"] == n]
+        votes = [2 * sum(h >> i & 1 for h in hs) + (min(hs) >> i & 1) for i in range(64)]
+        want = sum(1 << i for i in range(64) if votes[i] > n)
+        assert got[n] & (2**64 - 1) == want
+
+
+@pytest.mark.parametrize("x, y, alike", [
+    ("abcde " * 9 + "abcde", "abcde " * 9 + "abcdx", True),  # one short stretch
+    (" ".join(["same"] * 30 + ["one"]), " ".join(["sane"] * 30 + ["two"]), False),  # too far word by word: the distance decides
+    ("ab cd ef gh ij kl mn op qr st uv", "cd ef gh ij kl mn op qr st uv ab", True),  # same words moved: far place by place, near as texts
+])
+def test_bounds_agree_with_the_distance(spark, x, y, alike):
+    most = int(0.2 * max(len(x), len(y)))
+    row = spark.createDataFrame([(x, y, most)], "x string, y string, most int")
+    sure = row.select(F.expr(f"exists({simline._trimmed('x', 'y')}, s -> case {simline.SURE} else false end)").alias("sure"), F.levenshtein("x", "y").alias("d")).first()
+    assert (sure["d"] <= most) == alike and (alike or not sure["sure"])
+
+
 def test_license_scan_edges(spark, edge, empty):
     got = {r["doc_id"]: r for r in setscan.scan(edge).collect()}
     assert (got[9]["n_base"], got[9]["first_word"], got[9]["base_labels"], got[9]["score"]) == (1, 3, "mit", 1.0)
