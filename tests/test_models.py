@@ -3,6 +3,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 
 from tessel.functions.metrics import regression_metrics
+from tessel.operators import models
 from tessel.operators.models import FAMILIES, LabelStats, Spec, default_specs
 from tessel.session import shared_dir
 
@@ -74,3 +75,15 @@ def test_metrics(spark):
     m = regression_metrics(df, "y").first()
     assert abs(m["rmse"] - np.sqrt(0.11)) < 1e-12 and abs(m["r2"] - (1 - 0.33 / 2)) < 1e-12
     assert abs(m["pearson_r2"] - np.corrcoef([1, 2, 3], [1.2, 1.8, 3.5])[0, 1] ** 2) < 1e-12
+
+
+def test_forest_tasks_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    """A table in one split is dealt over tasks; one that has enough tasks is left as it is."""
+    seen = []
+    monkeypatch.setattr(models, "TASK_ROWS", 100)
+    monkeypatch.setattr(models.RandomForestRegressor, "_fit", lambda self, df: seen.append([len(p) for p in df.rdd.glom().collect()]))
+    df = spark.range(1000).coalesce(1)
+    est = models.Spec("random_forest", {"n_estimators": 1}).build(models.LabelStats(1000, 1.0, 1.0, 1), "id")
+    est.fit(df)
+    est.fit(spark.range(50).coalesce(1))
+    assert sum(seen[0]) == 1000 and len(seen[0]) == 10 and max(seen[0]) <= 110 and seen[1] == [50]
