@@ -21,6 +21,8 @@ LEAF_TOKENS = 2_000_000
 WAYS = 2
 #: Chance that a pair right at the threshold shares no leaf, over all trees.
 MISS = 1e-6
+#: Mixed nodes of up to this many blocks do not branch: their blocks meet in pairs.
+PAIRED = 8
 #: Levels of branching; below them all blocks of a mixed node meet in pairs.
 LEVELS = 8
 _SEEDS = np.random.default_rng(4711).integers(1, 2**62, (LEVELS + 1, 64)).astype(np.uint64)
@@ -273,7 +275,8 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     Equal sets become one representative. A representative's path in tree t starts at its smallest token
     under the tree's hash. Nodes of up to LEAF sets are compared exhaustively. A larger node is compared in
     blocks that all hold its first set. If that leaves it in one class, it is done; if the sets outside its
-    largest class fill half a leaf at most, they are compared with every block of that class; else the node
+    largest class fill half a leaf at most, they are compared with every block of that class; else the blocks of a
+    node of up to PAIRED of them meet in pairs, so that a group of near copies ends at once; a larger node
     branches, each set to two further nodes by hashes of that node alone, and so on. With two branches a pair
     at the threshold survives any number of levels with odds near 0.97 a tree; there are as many trees as keep the
     chance to miss it under MISS.
@@ -319,18 +322,17 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         mixed = scratch.put(held.join(tally.filter("all > most"), "node"))
         scratch.drop(held)
         ends = F.col("all") - F.col("most") <= LEAF // 2
-        if level > LEVELS:  # every two half-blocks of what is left meet once
-            halves = F.expr("pmod(xxhash64(rep, 1), 2 * blocks)")
-            pairs = mixed.withColumn("half", halves).withColumn("other", F.explode(F.expr("sequence(0L, 2 * blocks - 1)")))
-            last = pairs.select(F.xxhash64("node", F.least("half", "other"), F.greatest("half", "other")).alias("g"), "rep").distinct()
-            edges = _linked(scratch.put(last), starts, held_sets, plain, k, percent, least, scratch, edges)
-            break
         few = mixed.filter(ends)
         inside = few.filter("label = main").select("node", "blocks", "block", "rep")
         outside = few.filter("label <> main").select("node", "blocks", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), "rep")
         last = inside.unionAll(outside).select(F.xxhash64("node", "blocks", "block", F.lit("end")).alias("g"), "rep")
+        # every two half-blocks of different blocks meet once; those of one block have met
+        wide = F.lit(False) if level > LEVELS else F.col("blocks") > PAIRED
+        pairs = mixed.filter(~ends & ~wide).withColumn("half", F.expr("pmod(xxhash64(rep), 2 * blocks)")).withColumn(
+            "other", F.explode(F.expr("filter(sequence(0L, 2 * blocks - 1), x -> x % blocks <> block)")))
+        last = last.unionAll(pairs.select(F.xxhash64("node", F.least("half", "other"), F.greatest("half", "other")).alias("g"), "rep"))
         edges = _linked(scratch.put(last), starts, held_sets, plain, k, percent, least, scratch, edges)
-        again = mixed.filter(~ends)
+        again = mixed.filter(~ends & wide)
         if again.isEmpty():
             break
         where = scratch.put(again.groupBy(F.col("rep").alias("id")).agg(F.collect_set("node").alias("nodes")))

@@ -27,26 +27,28 @@ def _stars(edges: DataFrame, small: bool) -> DataFrame:
     return pairs.distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether edges from larger to smaller ids are stars: no id has two centres or is both a leaf and a centre."""
+    ends = edges.select(F.col("a").alias("u"), F.lit(1).alias("leaf"), F.lit(0).alias("centre")).unionAll(
+        edges.select("b", F.lit(0), F.lit(1)))
+    seen = ends.groupBy("u").agg(F.sum("leaf").alias("leaf"), F.max("centre").alias("centre"))
+    return seen.filter("leaf > 1 or leaf = 1 and centre = 1").isEmpty()
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """``(id, component)`` for every end of ``edges (a, b)``; the component is its smallest id.
 
     Each round is two groupings with partial minima and two joins, so a hub with any number of
     neighbours never meets in one group. Empty input gives an empty table; loops are ignored.
     """
-    now = scratch.put(edges.filter("a <> b").select("a", "b").distinct())
+    pairs = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    now = scratch.put(pairs)
     parts = 1 + now.count() // ROWS_PER_FILE
-    mark = None
-    while True:
-        if now.isEmpty():
-            break
+    while not _settled(now):
         large = scratch.put(_stars(now, small=False).coalesce(parts))
         after = scratch.put(_stars(large, small=True).coalesce(parts))
-        row = after.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         scratch.drop(now, large)
         now = after
-        if tuple(row) == mark:
-            break
-        mark = tuple(row)
     labels = now.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "id")
     roots = now.select(F.col("b").alias("id")).distinct().withColumn("component", F.col("id"))
     return scratch.put(labels.unionAll(roots.join(labels.select("id"), "id", "left_anti")).coalesce(2 * parts))

@@ -181,6 +181,42 @@ def test_near_duplicates(spark, edge, empty, leaf, monkeypatch):
     assert similar_classes(empty).count() == 0
 
 
+def near_copies():
+    rng = random.Random(2)
+    seed = [f"t{rng.randrange(400)}" for _ in range(120)]
+    rows = []
+    for i in range(60):
+        copy = list(seed)
+        for _ in range(rng.choice([0, 1, 2, 4])):
+            copy[rng.randrange(len(copy))] = f"z{rng.randrange(999)}"
+        rows.append((i, " ".join(copy)))
+    return rows
+
+
+def test_blocks_of_a_mixed_node_meet(spark, monkeypatch):
+    """Near copies of which many stay apart: a node of few blocks ends without branching."""
+    def fail(*_):
+        raise AssertionError("branched")
+
+    monkeypatch.setattr("tessel.llm.chosenpath.LEAF", 8)
+    monkeypatch.setattr("tessel.llm.chosenpath._branch", fail)
+    rows = near_copies()
+    made = similar_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in made.collect()} == brute_classes(rows, 85)
+
+
+def test_stars_need_no_round(spark, monkeypatch):
+    """Edges that are stars already are not worked on again; a chain is."""
+    rounds, plain = [], graph._stars
+    monkeypatch.setattr(graph, "_stars", lambda *a, **k: rounds.append(1) or plain(*a, **k))
+    stars = [(x, 0) for x in range(1, 9)] + [(10, x) for x in range(11, 14)]
+    for pairs, most in ((stars[:8], 0), (stars, 2), ([(i, i + 1) for i in range(9)], 99)):
+        rounds.clear()
+        got = graph.components(spark.createDataFrame(pairs, "a long, b long"), Scratch(spark, "t")).collect()
+        assert {r["id"]: r["component"] for r in got} == {x: 0 if x < 10 else 10 for p in pairs for x in p}
+        assert len(rounds) <= most
+
+
 def test_isolated_pairs_part_independently_in_each_node():
     """Pairs at the threshold in 12 large mixed nodes: one that parts at both branches of a node stays together in others."""
     rng = random.Random(8)
