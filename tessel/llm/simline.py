@@ -133,6 +133,20 @@ def _close(pairs: DataFrame, texts: DataFrame, similarity: float, scratch: Scrat
     return out
 
 
+def _tied(classes: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """``classes (id, component)`` after more ``edges (a, b)``; only classes that an edge ends in are worked on."""
+    ends = edges
+    for c in "ab":
+        side = classes.select(F.col("id").alias(c), F.col("component").alias("label"))
+        ends = ends.join(side, c, "left").withColumn(c, F.coalesce("label", c)).drop("label")
+    merged = components(ends, scratch)
+    named = merged.select(F.col("id").alias("component"), F.col("component").alias("whole"))
+    moved = classes.join(named, "component", "left").select("id", F.coalesce("whole", "component").alias("component"))
+    out = scratch.put(moved.unionAll(merged.join(classes.select("id"), "id", "left_anti").select("id", "component")))
+    scratch.drop(merged)
+    return out
+
+
 def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
                  scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
     """All lines ``(doc, line, h1, h2, ...)`` and the lines to keep ``(doc, line)``.
@@ -155,12 +169,12 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     few = sums.filter("n = 2").select(F.col("low").alias("a"), (F.col("total") - F.col("low")).alias("b"))
     x, y = (found.select(F.col("id").alias(i), me.alias(s)) for i, s in ("ax", "by"))
     few = few.distinct().join(x, "a").join(y, "b").select("x", "y")
-    many = scratch.put(sums.filter("n > 2").select("key", "n"))
+    many = scratch.put(sums.filter("n > 2").select("key"))
     busy = scratch.put(found.select(me.alias("me"), F.explode(block_keys(F.col("sim"))).alias("key")).transform(
-        lambda d: keep_keys(d, many.select("key"), ["key"])).join(many, "key"))
+        lambda d: keep_keys(d, many, ["key"])))
     scratch.drop(many)
     close = _near(F.col("x"), F.col("y"), similarity)
-    met = scratch.put(busy.join(busy.groupBy("key").agg(F.min("me").alias("lead")), "key"))
+    met = scratch.put(busy.join(busy.groupBy("key").agg(F.min("me").alias("lead"), F.count("*").alias("n")), "key"))
     scratch.drop(busy)
 
     def led(rows):
@@ -173,21 +187,24 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     pairs, classes, mixed = few.unionAll(led(met)), None, None
     for turn in range(ROUNDS + 1):
         edges = _close(pairs.filter(close), texts, similarity, scratch)
-        if classes is None or not edges.isEmpty():
-            # the classes so far, contracted to one edge a member
-            known = None if classes is None else classes.filter("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
-            fresh = components(edges if known is None else known.unionAll(edges), scratch)
+        if classes is None:
+            classes = components(edges, scratch)
+        elif not edges.isEmpty():
+            fresh = _tied(classes, edges, scratch)
             scratch.drop(classes)
             classes = fresh
         scratch.drop(edges, sums, mixed)
         if turn == ROUNDS or met.isEmpty():
             break
-        named = scratch.put(met.select("key", "n", "me", "lead", F.col("me.id").alias("id")).join(classes, "id", "left").select(
-            "key", "n", "me", "lead", F.coalesce("component", "id").alias("label")))
+        # whole rows are moved for the buckets alone that lie in several classes
+        named = met.select("key", F.col("me.id").alias("id")).join(classes, "id", "left").select("key", F.coalesce("component", "id").alias("label"))
         tally = named.groupBy("key", "label").agg(F.count("*").alias("c"))
         tally = tally.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("main"), F.count("*").alias("labels")).filter("labels > 1")
-        mixed = scratch.put(named.join(tally.select("key", "main"), "key"))
-        scratch.drop(met, named)
+        torn = scratch.put(tally.select("key", "main"))
+        rest = keep_keys(met, torn.select("key"), ["key"]).select("key", "n", "me", "lead", F.col("me.id").alias("id"))
+        mixed = scratch.put(rest.join(classes, "id", "left").select(
+            "key", "n", "me", "lead", F.coalesce("component", "id").alias("label")).join(torn, "key"))
+        scratch.drop(met, torn)
         if mixed.isEmpty():
             break
         # the next leader of a large bucket: the first line outside its largest class

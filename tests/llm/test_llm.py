@@ -217,6 +217,17 @@ def test_stars_need_no_round(spark, monkeypatch):
         assert len(rounds) <= most
 
 
+def test_classes_grow_by_further_edges(spark):
+    """Classes tied by later edges, which only the touched classes take part in, equal those of all edges at once."""
+    rng = random.Random(4)
+    first, more = ([(rng.randrange(90), rng.randrange(90)) for _ in range(n)] for n in (40, 30))
+    scratch = Scratch(spark, "t")
+    made = [spark.createDataFrame(x, "a long, b long") for x in (first, more)]
+    got = simline._tied(graph.components(made[0], scratch), made[1], scratch)
+    want = graph.components(made[0].unionAll(made[1]), scratch)
+    assert sorted(map(tuple, got.select("id", "component").collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_isolated_pairs_part_independently_in_each_node():
     """Pairs at the threshold in 12 large mixed nodes: one that parts at both branches of a node stays together in others."""
     rng = random.Random(8)
