@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tessel.functions.metrics import regression_metrics
 from tessel.operators.models import LabelStats, Spec
 from tessel.operators.splits import stratified_split
-from tessel.plans.evaluate import Trained, cross_validate, leaderboard, prepare, select_top, sweep
+from tessel.plans.evaluate import Prepared, Trained, cross_validate, leaderboard, prepare, select_top, sweep
 from tessel.plans.features import FeaturePlan
 from tessel.plans.run import RunConfig, full_run
 from tessel.plans.search import (
@@ -212,3 +212,14 @@ def test_linear_models_write_no_encoded_table(table):
         f.found = None
     for a, b in zip(before, cross_validate(Spec("ridge", {}), made)):
         assert a == pytest.approx(b)
+
+
+def test_features_are_fitted_when_asked_for(data, monkeypatch):
+    """Folds alone do not fit the full table, nor the other way round, and each is fitted once."""
+    asked, make = [], data.make
+    fresh = Prepared(data.plan, data.rows, lambda fold: asked.append(fold) or make(fold), data.k, data.parallelism)
+    fresh.full, fresh.full
+    assert asked == [None]
+    cross_validate(Spec("ridge", {}), fresh)
+    cross_validate(Spec("lasso", {}), fresh)
+    assert sorted(asked[1:]) == list(range(data.k))
