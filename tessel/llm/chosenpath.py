@@ -326,11 +326,10 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         inside = few.filter("label = main").select("node", "blocks", "block", "rep")
         outside = few.filter("label <> main").select("node", "blocks", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"), "rep")
         last = inside.unionAll(outside).select(F.xxhash64("node", "blocks", "block", F.lit("end")).alias("g"), "rep")
-        # every two half-blocks of different blocks meet once; those of one block have met
+        # every two blocks meet once
         wide = F.lit(False) if level > LEVELS else F.col("blocks") > PAIRED
-        pairs = mixed.filter(~ends & ~wide).withColumn("half", F.expr("pmod(xxhash64(rep), 2 * blocks)")).withColumn(
-            "other", F.explode(F.expr("filter(sequence(0L, 2 * blocks - 1), x -> x % blocks <> block)")))
-        last = last.unionAll(pairs.select(F.xxhash64("node", F.least("half", "other"), F.greatest("half", "other")).alias("g"), "rep"))
+        pairs = mixed.filter(~ends & ~wide).withColumn("other", F.explode(F.expr("filter(sequence(0L, blocks - 1), x -> x <> block)")))
+        last = last.unionAll(pairs.select(F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other")).alias("g"), "rep"))
         edges = _linked(scratch.put(last), starts, held_sets, plain, k, percent, least, scratch, edges)
         again = mixed.filter(~ends & wide)
         if again.isEmpty():
