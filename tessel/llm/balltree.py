@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tessel.llm.scratch import Scratch
 
 LEAF = 256
+#: Queries sent to shards in a round, for each vector: the records of a round grow with the vectors, not with their square.
+COPIES = 2
 NONE = np.iinfo(np.int64).max
 
 
@@ -76,35 +80,46 @@ def search(tree: dict, q: np.ndarray, own: np.ndarray, floor: np.ndarray, k: int
     return score, found
 
 
-def _stack(vectors, width: int) -> np.ndarray:
-    out = np.zeros((len(vectors), width))
-    for i, v in enumerate(vectors):
-        out[i, :len(v)] = v
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Lists of numbers as rows, shorter ones padded with zeros."""
+    lengths = np.diff(column.offsets.to_numpy())
+    out = np.zeros((len(column), int(lengths.max(initial=0))))
+    row = np.repeat(np.arange(len(column)), lengths)
+    out[row, np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = column.flatten().to_numpy()
     return out
 
 
-def _build(pdf: pd.DataFrame) -> pd.DataFrame:
-    width = max(len(v) for v in pdf["vec"])
-    tree = grow(_stack(pdf["vec"], width), pdf["id"].to_numpy())
-    row = {name: tree[name].astype(np.float64 if name in ("x", "center", "radius") else np.int64).tobytes()
-           for name in tree}
-    return pd.DataFrame([{"shard": pdf["shard"].iloc[0], "width": width} | row])
-
-
-def _searcher(k: int):
-    def run(parts):
-        for pdf in parts:
-            for r in pdf.itertuples():
-                width = int(r.width)
-                tree = {n: np.frombuffer(getattr(r, n), np.float64 if n in ("x", "center", "radius") else np.int64)
-                        for n in ("x", "ids", "lo", "hi", "kid", "center", "radius")}
-                tree["x"], tree["center"] = tree["x"].reshape(-1, width), tree["center"].reshape(-1, width)
-                ids = np.array([a["id"] for a in r.asked])
-                q = _stack([a["vec"][:width] for a in r.asked], width)
-                floor = np.array([-np.inf if a["floor"] is None else a["floor"] for a in r.asked], np.float64)
-                score, found = search(tree, q, ids, floor, k)
-                at = np.nonzero((found != NONE) & (score >= floor[:, None]))
-                yield pd.DataFrame({"query_id": ids[at[0]], "vec_id": found[at], "score": score[at].astype(np.int64)})
+def _wide(x: np.ndarray, width: int) -> np.ndarray:
+    """Rows of ``width`` numbers, cut or padded with zeros."""
+    return np.pad(x[:, :width], ((0, 0), (0, max(0, width - x.shape[1]))))
+
+
+def _searcher(k: int, block: int):
+    """Searches record by record: the vectors of a shard come first and become its tree, then its queries."""
+    def run(batches):
+        held, parts, tree = None, [], None
+        for batch in batches:
+            shard, query = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((np.diff(shard) != 0) | (np.diff(query.astype(int)) != 0)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(shard)]):
+                if shard[a] != held:
+                    held, parts, tree = shard[a], [], None
+                if not query[a]:
+                    parts.append((batch.column(2).slice(a, b - a).to_numpy(), _matrix(batch.column(3).slice(a, b - a))))
+                    continue
+                if parts:
+                    width = max(x.shape[1] for _, x in parts)
+                    tree, parts = grow(np.concatenate([_wide(x, width) for _, x in parts]), np.concatenate([i for i, _ in parts])), []
+                if tree is None:
+                    continue
+                for c in range(a, b, block):
+                    n = min(block, b - c)
+                    ids, q = batch.column(2).slice(c, n).to_numpy(), _wide(_matrix(batch.column(3).slice(c, n)), tree["x"].shape[1])
+                    floor = np.nan_to_num(batch.column(4).slice(c, n).to_numpy(zero_copy_only=False).astype(np.float64), nan=-np.inf, neginf=-np.inf)
+                    score, found = search(tree, q, ids, floor, k)
+                    at = np.nonzero((found != NONE) & (score >= floor[:, None]))
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[at[0]]), pa.array(found[at]), pa.array(score[at].astype(np.int64))],
+                                                     names=["query_id", "vec_id", "score"])
     return run
 
 
@@ -113,36 +128,44 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: i
 
     Returns query_id, rank (from 1), vec_id, score; ties go to the smaller id, a query's own id takes no
     part, fewer rows give fewer ranks, repeated query rows count once. A shorter vector counts as padded
-    with zeros; null and empty vectors and rows without an id take no part. Rows are dealt to shards of about ``shard_rows`` by hash; each becomes one ball tree.
-    Every block of queries searches one shard first; its kth scores are then the floor in all others.
+    with zeros; null and empty vectors and rows without an id take no part. Rows are dealt to shards of about
+    ``shard_rows``; the task that searches a shard makes a ball tree of it and takes its queries ``block`` by
+    block, so no record holds more than one vector. Every query searches one shard first; then it goes round the
+    others, several a round, and its kth score so far is the floor in the next round.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "balls")
+
     def whole(df: DataFrame) -> DataFrame:
-        return df.filter("id is not null and size(vec) > 0").select("id", "vec")
+        return df.filter("id is not null and size(vec) > 0").select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec"))
 
-    rows = whole(vectors)
-    rows = scratch.put(rows.withColumn("pick", F.xxhash64("id", "vec")))
+    # rows that repeat an id and a vector go to different shards too
+    rows = scratch.put(whole(vectors).withColumn("pick", F.xxhash64("id", F.monotonically_increasing_id())))
     asked = scratch.put(whole(queries).distinct())
     n_rows, n_asked = rows.count(), asked.count()
-    shards, blocks = max(1, -(-n_rows // shard_rows)), max(1, -(-n_asked // block))
-    binary = ", ".join(f"{n} binary" for n in ("x", "ids", "lo", "hi", "kid", "center", "radius"))
-    index = scratch.put(rows.withColumn("shard", F.expr(f"pmod(pick, {shards})")).groupBy("shard").applyInPandas(
-        _build, f"shard long, width long, {binary}"))
-    scratch.drop(rows)
-    asked = asked.withColumn("block", F.expr(f"pmod(xxhash64(id), {blocks})")).withColumn("floor", F.lit(None).cast("double"))
-
-    def packs(who: DataFrame) -> DataFrame:
-        return who.groupBy("block").agg(F.collect_list(F.struct("id", "vec", "floor")).alias("asked"))
-
-    out = "query_id long, vec_id long, score long"
-    home = F.expr(f"pmod(block, {shards})")
-    first = scratch.put(packs(asked).withColumn("shard", home).join(index, "shard").mapInPandas(_searcher(k), out))
-    floors = first.groupBy("query_id").agg(F.min("score").alias("m"), F.count("*").alias("n")).select(
-        F.col("query_id").alias("id"), F.expr(f"if(n >= {k}, cast(m as double), null)").alias("floor"))
-    others = packs(asked.drop("floor").join(floors, "id", "left")).withColumn(
-        "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<bigint>"))).filter(F.col("shard") != home)
-    rest = others.repartition(max(1, min(shards * blocks, 4096)), "shard", "block").join(index, "shard").mapInPandas(
-        _searcher(k), out)
+    shards = max(1, -(-n_rows // shard_rows))
+    dealt = rows.select(F.expr(f"pmod(pick, {shards})").alias("shard"), F.lit(False).alias("query"), "id", "vec", F.lit(None).cast("double").alias("floor"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return first.unionAll(rest).withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best, start = None, 0
+    while start < shards:
+        stop = 1 if start == 0 else min(shards, start + max(1, COPIES * n_rows // max(n_asked, 1)))
+        who = asked.withColumn("floor", F.lit(None).cast("double"))
+        if best is not None:
+            floors = best.groupBy("query_id").agg(F.min("score").alias("m"), F.count("*").alias("n")).select(
+                F.col("query_id").alias("id"), F.expr(f"if(n >= {k}, cast(m as double), null)").alias("floor"))
+            who = asked.join(floors, "id", "left")
+        home = F.expr(f"pmod(xxhash64(id), {shards})")
+        sent = who.withColumn("turn", F.explode(F.sequence(F.lit(start), F.lit(stop - 1)))).select(
+            ((home + F.col("turn")) % shards).alias("shard"), F.lit(True).alias("query"), "id", "vec", "floor")
+        found = dealt.unionAll(sent).repartition(min(shards, 4096), "shard").sortWithinPartitions("shard", "query").mapInArrow(
+            _searcher(k, block), "query_id long, vec_id long, score long")
+        found = found if best is None else best.select("query_id", "vec_id", "score").unionAll(found)
+        last, best = best, scratch.put(found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
+        scratch.drop(last)
+        if stop < shards:  # the plans of a round are garbage now; collecting them lets Spark delete their shuffle files
+            found = who = sent = last = None
+            gc.collect()
+            spark._jvm.System.gc()
+        start = stop
+    scratch.only(best)
+    return best
