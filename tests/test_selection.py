@@ -223,3 +223,24 @@ def test_features_are_fitted_when_asked_for(data, monkeypatch):
     cross_validate(Spec("ridge", {}), fresh)
     cross_validate(Spec("lasso", {}), fresh)
     assert sorted(asked[1:]) == list(range(data.k))
+
+
+def test_a_failure_is_no_result(data, table, monkeypatch, tmp_path):
+    """Errors of single models are kept and raised once the rest is done; nothing passes for a whole sweep."""
+    done = sweep({"bad": Spec("nothing", {}), "ridge": Spec("ridge", {})}, data)
+    assert isinstance(done.failed["bad"], ValueError)
+    with pytest.raises(RuntimeError, match="bad: ValueError"):
+        done.whole()
+    tuned, _ = tune_top(["ridge", "lasso"], sweep({"ridge": Spec("ridge", {}), "lasso": Spec("lasso", {})}, data).whole(), data,
+                        grids={"ridge": {"alpha": [1.0]}, "lasso": {"wrong": [1]}})
+    assert list(tuned.failed) == ["lasso"]
+    config = RunConfig(cv_splits=2, families=["ridge", "lasso"], grids={"ridge": {"alpha": [1.0]}, "lasso": {"wrong": [1]}}, output_dir=str(tmp_path))
+    with pytest.raises(RuntimeError, match="tuned lasso"):
+        full_run(table, PLAN, config)
+    assert (tmp_path / "model_results.csv").exists() and (tmp_path / "models" / "ridge_grid").exists()
+    from checks import selection
+
+    monkeypatch.setattr(selection, "sales_data", lambda *_: data)
+    monkeypatch.setattr(selection, "default_specs", lambda *_: {"bad": Spec("nothing", {}), "ridge": Spec("ridge", {})})
+    with pytest.raises(RuntimeError, match="bad"):
+        selection.baseline_sweep(data.rows.sparkSession, "")
