@@ -163,3 +163,31 @@ def test_binned_rows_are_dealt_out(spark, monkeypatch):
     df = spark.range(300_000).coalesce(1).select("id", F.rand(1).alias("y"), array_to_vector(F.array(F.rand(2), F.rand(3))).alias("features"))
     HistogramBoost({"label": "y", "rounds": 1, "depth": 1, "key": ["id"]}).fit(df)
     assert seen[0] > 1
+
+
+def test_sums_meet_in_tasks_or_on_the_driver(spark, monkeypatch):
+    """The same trees whether the driver adds the sums of a level up or tasks do, and with many rows a record."""
+    from tessel.operators import boost
+
+    x, y, df = fixture(spark, 120)
+    s = {**BASE, "rounds": 2, "label": "y", "features": "features", "key": ["id"], "subsample": 0.7}
+    for symmetric in (False, True):
+        seen = []
+        for sent, added, record in ((boost.SENT, boost.ADDED, boost.RECORD), (0, 4, 8192), (0, 256, 1)):
+            monkeypatch.setattr(boost, "SENT", sent)
+            monkeypatch.setattr(boost, "ADDED", added)
+            monkeypatch.setattr(boost, "RECORD", record)
+            seen.append([(t.slot, t.cut) for t in HistogramBoost({**s, "symmetric": symmetric}).fit(df).trees])
+        assert seen[0] == seen[1] == seen[2] and seen[0][0][0][0] >= 0
+
+
+def test_rows_share_records(spark, monkeypatch):
+    """Rows go to Python in records of many, and the rows come in one table of bytes."""
+    from tessel.operators import boost
+
+    seen = []
+    kept = boost.grow
+    monkeypatch.setattr(boost, "grow", lambda rows, *rest: seen.append((rows.count(), rows.agg(F.sum(F.length("y")) / 8).first()[0])) or kept(rows, *rest))
+    df = spark.range(20_000).select("id", F.rand(1).alias("y"), array_to_vector(F.array(F.rand(2), F.rand(3))).alias("features"))
+    HistogramBoost({"label": "y", "rounds": 1, "depth": 1, "key": ["id"]}).fit(df)
+    assert seen[0][1] == 20_000 and seen[0][0] < 20_000 / 50
