@@ -244,3 +244,16 @@ def test_a_failure_is_no_result(data, table, monkeypatch, tmp_path):
     monkeypatch.setattr(selection, "default_specs", lambda *_: {"bad": Spec("nothing", {}), "ridge": Spec("ridge", {})})
     with pytest.raises(RuntimeError, match="bad"):
         selection.baseline_sweep(data.rows.sparkSession, "")
+
+
+def test_early_stop_query_has_room_to_stop(data, monkeypatch):
+    """The query trains the full-size model: more rounds than its patience."""
+    from checks import selection
+    from checks.registry import QUERIES
+
+    seen = []
+    monkeypatch.setattr(selection, "sales_data", lambda *_: data)
+    monkeypatch.setattr(selection, "fit_and_score", lambda spec, rows, label: seen.append(spec.build(rows.stats, label)) or (None, {"n": 1, "rmse": 1.0, "r2": 1.0}))
+    QUERIES["gbt_early_stop"](data.rows.sparkSession, "")
+    s = seen[0].getOrDefault("settings")
+    assert s["rounds"] == 3000 and 0 < s["patience"] < s["rounds"] and s["held"] > 0 and s["leaves"] == 31
