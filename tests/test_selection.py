@@ -257,3 +257,22 @@ def test_early_stop_query_has_room_to_stop(data, monkeypatch):
     QUERIES["gbt_early_stop"](data.rows.sparkSession, "")
     s = seen[0].getOrDefault("settings")
     assert s["rounds"] == 3000 and 0 < s["patience"] < s["rounds"] and s["held"] > 0 and s["leaves"] == 31
+
+
+def test_scratch_tables_that_one_model_does_not_need(spark, table):
+    """One booster reads the projection, a second one has the encoded rows written; the table of a full run goes
+    once its rows are written again; dealt rows are not shuffled once more."""
+    import glob
+
+    from tessel.plans.evaluate import fit_and_score
+    from tessel.session import shared_dir
+
+    made = prepare(stratified_split(table, "id", "y").mark(table), PLAN, k=2)
+    spec = Spec("xgb", {"n_estimators": 1, "max_depth": 1})
+    first = fit_and_score(spec, made.full, "y")[1]
+    assert made.full.written is None
+    assert fit_and_score(spec, made.full, "y")[1] == pytest.approx(first) and made.full.written is not None
+    full_run(table, PLAN, RunConfig(cv_splits=2, families=["ridge"], grids={"ridge": {"alpha": [1.0]}}))
+    assert not glob.glob(f"{shared_dir(spark)}/table-*")
+    rows = table.repartition(3).withColumn("is_test", F.col("id") % 5 == 0)
+    assert len(prepare(rows, PLAN, k=2, dealt=True).rows.inputFiles()) == 3
